@@ -93,3 +93,92 @@ def metric_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""array(named_struct('resource', {resource},
             'scopeMetrics', array(named_struct('scope', {SCOPE}, 'metrics', array({metric}))))) AS resourceMetrics"""
     )
+
+
+# Shop inputs -------------------------------------------------------------------------------------
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the currency of their order."""
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "CAST(l_orderkey AS STRING) AS order_id",
+        "CAST(l_partkey AS STRING) AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        """CASE l_orderkey % 5 WHEN 0 THEN 'USD' WHEN 1 THEN 'CAD' WHEN 2 THEN 'JPY'
+           WHEN 3 THEN 'GBP' ELSE 'EUR' END AS user_currency""",
+    )
+
+
+def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog files as JSON text."""
+    cents = "CAST(round(p_retailprice * 100) AS BIGINT)"
+    return table(spark, sf_dir, "part").selectExpr(
+        f"""to_json(named_struct('products', array(named_struct(
+            'id', CAST(p_partkey AS STRING), 'name', p_name, 'description', concat(p_brand, ' ', p_type),
+            'picture', concat(p_name, '.jpg'),
+            'priceUsd', named_struct('currencyCode', 'USD', 'units', {cents} DIV 100,
+                                     'nanos', CAST({cents} % 100 * 10000000 AS INT)),
+            'categories', array(lower(p_type), 'parts'))))) AS value"""
+    )
+
+
+def products(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    cents = "CAST(round(p_retailprice * 100) AS BIGINT)"
+    return (
+        table(spark, sf_dir, "part")
+        .where(where)
+        .selectExpr(
+            "CAST(p_partkey AS STRING) AS id",
+            "p_name AS name",
+            "concat(p_brand, ' ', p_type) AS description",
+            f"""named_struct('currency_code', 'USD', 'units', {cents} DIV 100,
+                             'nanos', CAST({cents} % 100 * 10000000 AS INT)) AS price_usd""",
+        )
+    )
+
+
+def cart_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
+        table(spark, sf_dir, "events")
+        .where("event_type IN ('click', 'view', 'purchase')")
+        .selectExpr(
+            "CAST(user_id AS STRING) AS user_id",
+            "CAST(event_id % 7 AS STRING) AS product_id",
+            "1 + event_id % 3 AS quantity",
+            "if(event_type = 'purchase', 'empty', 'add') AS kind",
+            "CAST(ts AS TIMESTAMP) AS event_time",
+            "event_id AS seq",
+        )
+    )
+
+
+def charge_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS order_id",
+        """named_struct('currency_code', if(o_orderkey % 4 = 0, 'CAD', 'USD'),
+                        'units', CAST(floor(o_totalprice) AS BIGINT), 'nanos', 0) AS amount""",
+        """CASE o_orderkey % 6 WHEN 0 THEN '4432-8015-6152-0454' WHEN 1 THEN '3714 496353 98431'
+           WHEN 2 THEN '0000-0000-0000-0000' WHEN 3 THEN '4432-8015-6152-0455'
+           WHEN 4 THEN '5555-5555-5555-4444' ELSE '6011-1111-1111-1117' END AS credit_card_number""",
+        "if((o_orderkey DIV 6) % 3 = 0, 2021, 2039) AS expiration_year",
+        "CAST(1 + o_orderkey % 12 AS INT) AS expiration_month",
+        "o_orderkey % 11 = 0 AS synthetic",
+    )
+
+
+def recommendation_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each asks for two list entries, the second holding two ids."""
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS request_id",
+        """array(CAST(user_id AS STRING),
+                 concat(CAST(event_id % 100 AS STRING), ',', CAST(event_id % 37 AS STRING))) AS product_ids""",
+    )
+
+
+def ad_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS request_id",
+        """CASE event_id % 5 WHEN 0 THEN array('binoculars') WHEN 1 THEN array('accessories', 'travel')
+           WHEN 2 THEN array('books') WHEN 3 THEN CAST(array() AS ARRAY<STRING>)
+           ELSE array('telescopes', 'telescopes') END AS context_keys""",
+    )
