@@ -32,6 +32,16 @@ def _spans(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return flatten.spans(fixtures.trace_requests(spark, sf_dir, **kw))
 
 
+def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans with only what latency and throughput read."""
+    return _spans(spark, sf_dir, fields=latency.SPAN_FIELDS, envelope=False)
+
+
+def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans with ids, names and times."""
+    return _spans(spark, sf_dir, fields=selftime.SPAN_FIELDS, envelope=False)
+
+
 def _scalar_spans(spans: DataFrame) -> DataFrame:
     return spans.select(
         attributes.attribute_as(F.col("resource.attributes"), "service.name", "stringValue", "string").alias("service"),
@@ -58,7 +68,7 @@ def spans_flatten(spark, sf_dir):
 
 def traces_json_ingest(spark, sf_dir):
     lines = fixtures.trace_requests(spark, sf_dir).select(F.to_json(F.struct("resourceSpans")).alias("value"))
-    return _scalar_spans(flatten.spans(telemetry.parse(lines, schemas.trace_requests())))
+    return _scalar_spans(flatten.spans(lines, root=telemetry.payload("value", schemas.trace_requests())))
 
 
 def logs_flatten(spark, sf_dir):
@@ -93,17 +103,20 @@ def metrics_flatten(spark, sf_dir):
 
 
 def span_name_normalize(spark, sf_dir):
-    spans = _spans(spark, sf_dir, name=ROUTED_NAME)
+    fields = ("spanId", "name", "startTimeUnixNano", "endTimeUnixNano")
+    spans = _spans(spark, sf_dir, fields=fields, envelope=False, name=ROUTED_NAME)
     return spans.select("spanId", text.normalize_span_name(F.col("name")).alias("name"))
 
 
 def span_attr(spark, sf_dir):
     user = attributes.attribute_as(F.col("attributes"), "user", "intValue", "bigint")
-    return _spans(spark, sf_dir).groupBy(user.alias("user")).agg(F.count(F.lit(1)).alias("n"))
+    spans = _spans(spark, sf_dir, fields=("attributes", "startTimeUnixNano", "endTimeUnixNano"), envelope=False)
+    return spans.groupBy(user.alias("user")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def span_events(spark, sf_dir):
-    nested = _spans(spark, sf_dir).select("traceId", "spanId", F.inline("events"))
+    fields = ("traceId", "spanId", "startTimeUnixNano", "endTimeUnixNano", "events")
+    nested = _spans(spark, sf_dir, fields=fields, envelope=False).select("traceId", "spanId", F.inline("events"))
     return nested.select(
         "traceId",
         "spanId",
@@ -114,23 +127,23 @@ def span_events(spark, sf_dir):
 
 
 def spans_tumble(spark, sf_dir):
-    return latency.tumble(_spans(spark, sf_dir)).select("traceId", "spanId", "eventTime", "window_start", "window_end")
+    return latency.tumble(_linked(spark, sf_dir)).select("traceId", "spanId", "eventTime", "window_start", "window_end")
 
 
 def throughput(spark, sf_dir):
-    return latency.throughput(_spans(spark, sf_dir))
+    return latency.throughput(_timed(spark, sf_dir))
 
 
 def p95_latency(spark, sf_dir):
-    return latency.p95_latency(_spans(spark, sf_dir))
+    return latency.p95_latency(_timed(spark, sf_dir))
 
 
 def p95_latency_daily(spark, sf_dir):
-    return latency.p95_latency(_spans(spark, sf_dir), DAY)
+    return latency.p95_latency(_timed(spark, sf_dir), DAY)
 
 
 def operation_execution_time(spark, sf_dir):
-    return selftime.operation_execution_time(_spans(spark, sf_dir))
+    return selftime.operation_execution_time(_linked(spark, sf_dir))
 
 
 def execution_time_by_operation(spark, sf_dir):
@@ -138,19 +151,19 @@ def execution_time_by_operation(spark, sf_dir):
 
 
 def latency_histogram(spark, sf_dir):
-    return dashboard.latency_histogram(_spans(spark, sf_dir), *RANGE)
+    return dashboard.latency_histogram(_timed(spark, sf_dir), *RANGE)
 
 
 def request_latencies(spark, sf_dir):
-    return dashboard.request_latencies(_spans(spark, sf_dir), *RANGE)
+    return dashboard.request_latencies(_timed(spark, sf_dir), *RANGE)
 
 
 def requests_in_range(spark, sf_dir):
-    return dashboard.requests_in_range(_spans(spark, sf_dir), *RANGE)
+    return dashboard.requests_in_range(_timed(spark, sf_dir), *RANGE)
 
 
 def slowest_traces(spark, sf_dir):
-    return dashboard.slowest_traces(_spans(spark, sf_dir), *RANGE)
+    return dashboard.slowest_traces(_linked(spark, sf_dir), *RANGE)
 
 
 def throughput_series(spark, sf_dir):
@@ -163,7 +176,7 @@ def p95_series(spark, sf_dir):
 
 def sql_program(spark, sf_dir):
     """Ad-hoc SQL over the registered views and SQL functions."""
-    program.register(spark, traces=fixtures.trace_requests(spark, sf_dir))
+    program.register(spark, traces=fixtures.trace_requests(spark, sf_dir, fields=selftime.SPAN_FIELDS, envelope=False))
     return spark.sql(
         """SELECT s.name, count(*) AS n, sum(nanos_to_millis(CAST(s.endTimeUnixNano AS BIGINT)
                   - CAST(s.startTimeUnixNano AS BIGINT))) AS total_ms,
@@ -209,12 +222,17 @@ def request_counter(spark, sf_dir):
     return counters.counter(targeted, ["method", "target", "status"], name="requests")
 
 
+def _ruled(spark, sf_dir):
+    fields = ("traceId", "name", "kind", "startTimeUnixNano", "endTimeUnixNano", "attributes")
+    return _spans(spark, sf_dir, fields=fields, envelope=False)
+
+
 def trace_conformance(spark, sf_dir):
-    return conformance.check(_spans(spark, sf_dir), RULES)
+    return conformance.check(_ruled(spark, sf_dir), RULES)
 
 
 def trace_conformance_by_trace(spark, sf_dir):
-    return conformance.check(_spans(spark, sf_dir), RULES, by=("traceId",))
+    return conformance.check(_ruled(spark, sf_dir), RULES, by=("traceId",))
 
 
 QUERIES = {

@@ -6,9 +6,12 @@ or metric each, which keeps the nesting a narrow step.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewell.schemas import SPAN, pick
 from tracewell.session import configure
 
 
@@ -42,21 +45,37 @@ SCOPE = (
 )
 
 
-def trace_requests(spark: SparkSession, sf_dir: str, name: str = "event_type") -> DataFrame:
-    """Nested trace requests; ``name`` is the SQL expression of the span name."""
-    span = f"""named_struct(
-        'traceId', traceId, 'spanId', spanId, 'traceState', '', 'parentSpanId', parentSpanId,
-        'flags', event_id % 2, 'name', {name}, 'kind', CAST(1 + event_id % 5 AS INT),
-        'startTimeUnixNano', CAST(startNs AS STRING), 'endTimeUnixNano', CAST(startNs + durationNs AS STRING),
-        'attributes', array({_attr('user', 'intValue', 'CAST(user_id AS STRING)')},
-                            {_attr('http.method', 'stringValue', "if(event_id % 3 = 0, 'POST', 'GET')")},
-                            {_attr('http.status_code', 'intValue', "if(event_type = 'error', '500', '200')")},
-                            {_attr('response.body', 'stringValue', 'props')}),
-        'events', array(named_struct('timeUnixNano', CAST(startNs AS STRING), 'name', event_type,
-                                     'attributes', array({_attr('props', 'stringValue', 'props')}))))"""
+def trace_requests(
+    spark: SparkSession,
+    sf_dir: str,
+    fields: Iterable[str] | None = None,
+    envelope: bool = True,
+    name: str = "event_type",
+) -> DataFrame:
+    """Nested trace requests holding the given span fields; ``name`` is the SQL of the span name."""
+    values = {
+        "traceId": "traceId",
+        "spanId": "spanId",
+        "traceState": "''",
+        "parentSpanId": "parentSpanId",
+        "flags": "event_id % 2",
+        "name": name,
+        "kind": "CAST(1 + event_id % 5 AS INT)",
+        "startTimeUnixNano": "CAST(startNs AS STRING)",
+        "endTimeUnixNano": "CAST(startNs + durationNs AS STRING)",
+        "attributes": f"""array({_attr('user', 'intValue', 'CAST(user_id AS STRING)')},
+            {_attr('http.method', 'stringValue', "if(event_id % 3 = 0, 'POST', 'GET')")},
+            {_attr('http.status_code', 'intValue', "if(event_type = 'error', '500', '200')")},
+            {_attr('response.body', 'stringValue', 'props')})""",
+        "events": f"""array(named_struct('timeUnixNano', CAST(startNs AS STRING), 'name', event_type,
+            'attributes', array({_attr('props', 'stringValue', 'props')})))""",
+    }
+    chosen = pick(SPAN, fields).fieldNames()
+    span = "named_struct(" + ", ".join(f"'{f}', {values[f]}" for f in chosen) + ")"
+    scope, resource = (f"'scope', {SCOPE}, ", f"'resource', {RESOURCE}, ") if envelope else ("", "")
     return events(spark, sf_dir).selectExpr(
-        f"""array(named_struct('resource', {RESOURCE},
-            'scopeSpans', array(named_struct('scope', {SCOPE}, 'spans', array({span}))))) AS resourceSpans"""
+        f"""array(named_struct({resource}'scopeSpans',
+            array(named_struct({scope}'spans', array({span}))))) AS resourceSpans"""
     )
 
 

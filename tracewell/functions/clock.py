@@ -34,4 +34,4 @@ def text_to_bigint(text: Column, on_bad_record: str = "fail") -> Column:
 def timestamp_from_nanos(nanos: Column) -> Column:
     """Zone-less timestamp of the whole second; the sub-second part is discarded."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(secs=nanos_to_seconds(nanos))
+    return epoch + F.expr("INTERVAL '1' SECOND") * nanos_to_seconds(nanos)

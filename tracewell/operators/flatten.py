@@ -6,7 +6,7 @@ run in one narrow stage without a shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions import clock
@@ -40,20 +40,24 @@ METRIC_COLUMNS = (
 )
 
 
-def resource_spans(requests: DataFrame) -> DataFrame:
-    return requests.select(F.inline("resourceSpans"))
+def _unnest(df: DataFrame, array: Column | str, keep: tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*(c for c in keep if c in df.columns), F.inline(array))
 
 
-def scope_spans(requests: DataFrame) -> DataFrame:
-    return resource_spans(requests).select("resource", F.inline("scopeSpans"))
+def resource_spans(requests: DataFrame, root: Column | str = "resourceSpans") -> DataFrame:
+    return _unnest(requests, root)
 
 
-def spans(requests: DataFrame, on_bad_record: str = "fail") -> DataFrame:
+def scope_spans(requests: DataFrame, root: Column | str = "resourceSpans") -> DataFrame:
+    return _unnest(resource_spans(requests, root), "scopeSpans", ("resource",))
+
+
+def spans(requests: DataFrame, on_bad_record: str = "fail", root: Column | str = "resourceSpans") -> DataFrame:
     """Flat spans with their duration in milliseconds and event time in whole seconds.
 
-    Works on any subset of span fields that keeps both times.
+    Works on any subset of span fields that keeps both times, with or without resource and scope.
     """
-    flat = scope_spans(requests).select("resource", "scope", F.inline("spans"))
+    flat = _unnest(scope_spans(requests, root), "spans", ("resource", "scope"))
     start = clock.text_to_bigint(F.col("startTimeUnixNano"), on_bad_record)
     end = clock.text_to_bigint(F.col("endTimeUnixNano"), on_bad_record)
     return flat.withColumns(
@@ -64,28 +68,28 @@ def spans(requests: DataFrame, on_bad_record: str = "fail") -> DataFrame:
     )
 
 
-def resource_logs(requests: DataFrame) -> DataFrame:
-    return requests.select(F.inline("resourceLogs"))
+def resource_logs(requests: DataFrame, root: Column | str = "resourceLogs") -> DataFrame:
+    return _unnest(requests, root)
 
 
-def scope_logs(requests: DataFrame) -> DataFrame:
-    return resource_logs(requests).select("resource", F.inline("scopeLogs"))
+def scope_logs(requests: DataFrame, root: Column | str = "resourceLogs") -> DataFrame:
+    return _unnest(resource_logs(requests, root), "scopeLogs", ("resource",))
 
 
-def logs(requests: DataFrame) -> DataFrame:
-    flat = scope_logs(requests).select("resource", "scope", F.inline("logRecords"))
+def logs(requests: DataFrame, root: Column | str = "resourceLogs") -> DataFrame:
+    flat = _unnest(scope_logs(requests, root), "logRecords", ("resource", "scope"))
     return flat.select(*(c for c in LOG_COLUMNS if c in flat.columns))
 
 
-def resource_metrics(requests: DataFrame) -> DataFrame:
-    return requests.select(F.inline("resourceMetrics"))
+def resource_metrics(requests: DataFrame, root: Column | str = "resourceMetrics") -> DataFrame:
+    return _unnest(requests, root)
 
 
-def scope_metrics(requests: DataFrame) -> DataFrame:
-    return resource_metrics(requests).select("resource", F.inline("scopeMetrics"))
+def scope_metrics(requests: DataFrame, root: Column | str = "resourceMetrics") -> DataFrame:
+    return _unnest(resource_metrics(requests, root), "scopeMetrics", ("resource",))
 
 
-def metrics(requests: DataFrame) -> DataFrame:
+def metrics(requests: DataFrame, root: Column | str = "resourceMetrics") -> DataFrame:
     """Flat metrics; point payloads stay VARIANT."""
-    flat = scope_metrics(requests).select("resource", "scope", F.inline("metrics"))
+    flat = _unnest(scope_metrics(requests, root), "metrics", ("resource", "scope"))
     return flat.select(*(c for c in METRIC_COLUMNS if c in flat.columns))

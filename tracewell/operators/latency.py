@@ -9,6 +9,9 @@ from tracewell.functions import quantile
 
 WINDOW_WIDTH = "10 seconds"
 
+# Span fields the plans below read; pass them to the source.
+SPAN_FIELDS = ("parentSpanId", "startTimeUnixNano", "endTimeUnixNano")
+
 
 def root_spans(spans: DataFrame) -> DataFrame:
     """Top-level requests carry an empty parent id. A NULL parent id is not a root."""

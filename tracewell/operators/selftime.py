@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Span fields the plans below read; pass them to the source.
+SPAN_FIELDS = ("traceId", "spanId", "parentSpanId", "name", "startTimeUnixNano", "endTimeUnixNano")
+
 
 def child_sums(spans: DataFrame) -> DataFrame:
     """Total child duration per parent key, one row per ``(trace, parent)``."""

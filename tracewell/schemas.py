@@ -79,20 +79,28 @@ SCOPE = struct(name=STRING, version=STRING, attributes=ATTRIBUTES)
 RESOURCE = struct(attributes=ATTRIBUTES)
 
 
-def trace_requests(span_fields: Iterable[str] | None = None) -> T.StructType:
-    """One row per exporter request. ``span_fields`` narrows the read to the fields a job needs."""
-    scope_spans = struct(scope=SCOPE, spans=T.ArrayType(pick(SPAN, span_fields)))
-    return struct(resourceSpans=T.ArrayType(struct(resource=RESOURCE, scopeSpans=T.ArrayType(scope_spans))))
+def _requests(root: str, scopes: str, leaves: str, leaf: T.StructType, envelope: bool) -> T.StructType:
+    in_scope, in_resource = {leaves: T.ArrayType(leaf)}, {}
+    if envelope:
+        in_scope, in_resource = {"scope": SCOPE, **in_scope}, {"resource": RESOURCE}
+    return struct(**{root: T.ArrayType(struct(**in_resource, **{scopes: T.ArrayType(struct(**in_scope))}))})
 
 
-def log_requests(record_fields: Iterable[str] | None = None) -> T.StructType:
-    scope_logs = struct(scope=SCOPE, logRecords=T.ArrayType(pick(LOG_RECORD, record_fields)))
-    return struct(resourceLogs=T.ArrayType(struct(resource=RESOURCE, scopeLogs=T.ArrayType(scope_logs))))
+def trace_requests(span_fields: Iterable[str] | None = None, envelope: bool = True) -> T.StructType:
+    """One row per exporter request.
 
+    Column pruning does not reach through the unnesting of arrays, so a job names what it reads:
+    ``span_fields`` narrows the spans and ``envelope=False`` leaves out resource and scope.
+    """
+    return _requests("resourceSpans", "scopeSpans", "spans", pick(SPAN, span_fields), envelope)
 
-def metric_requests(metric_fields: Iterable[str] | None = None) -> T.StructType:
-    scope_metrics = struct(scope=SCOPE, metrics=T.ArrayType(pick(METRIC, metric_fields)))
-    return struct(resourceMetrics=T.ArrayType(struct(resource=RESOURCE, scopeMetrics=T.ArrayType(scope_metrics))))
+
+def log_requests(record_fields: Iterable[str] | None = None, envelope: bool = True) -> T.StructType:
+    return _requests("resourceLogs", "scopeLogs", "logRecords", pick(LOG_RECORD, record_fields), envelope)
+
+
+def metric_requests(metric_fields: Iterable[str] | None = None, envelope: bool = True) -> T.StructType:
+    return _requests("resourceMetrics", "scopeMetrics", "metrics", pick(METRIC, metric_fields), envelope)
 
 
 MONEY = struct(currency_code=STRING, units=LONG, nanos=INT)

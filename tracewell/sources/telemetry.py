@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -24,35 +24,42 @@ def traces(
     spark: SparkSession,
     path: str,
     fields: Iterable[str] | None = None,
+    envelope: bool = True,
     fmt: str = "json",
     stream: bool = False,
     **options: str,
 ) -> DataFrame:
-    return _read(spark, path, schemas.trace_requests(fields), fmt, stream, options)
+    return _read(spark, path, schemas.trace_requests(fields, envelope), fmt, stream, options)
 
 
 def logs(
     spark: SparkSession,
     path: str,
     fields: Iterable[str] | None = None,
+    envelope: bool = True,
     fmt: str = "json",
     stream: bool = False,
     **options: str,
 ) -> DataFrame:
-    return _read(spark, path, schemas.log_requests(fields), fmt, stream, options)
+    return _read(spark, path, schemas.log_requests(fields, envelope), fmt, stream, options)
 
 
 def metrics(
     spark: SparkSession,
     path: str,
     fields: Iterable[str] | None = None,
+    envelope: bool = True,
     fmt: str = "json",
     stream: bool = False,
     **options: str,
 ) -> DataFrame:
-    return _read(spark, path, schemas.metric_requests(fields), fmt, stream, options)
+    return _read(spark, path, schemas.metric_requests(fields, envelope), fmt, stream, options)
 
 
-def parse(lines: DataFrame, schema: StructType, column: str = "value") -> DataFrame:
-    """Requests from a column of JSON text, e.g. message payloads."""
-    return lines.select(F.from_json(column, schema).alias("request")).select("request.*")
+def payload(column: str, schema: StructType) -> Column:
+    """The request array of a JSON text column, e.g. message payloads.
+
+    Hand it to the flattening as its root: parsing inside the generator happens once per row, while a
+    parsed column would be evaluated again by the emptiness filter the optimizer adds.
+    """
+    return F.from_json(column, schema)[schema.fieldNames()[0]]
