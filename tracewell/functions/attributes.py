@@ -22,5 +22,9 @@ def attribute_as(attributes: Column, key: str, field: str, dtype: str) -> Column
 
 def attribute_text(attributes: Column, key: str) -> Column:
     """The attribute as text whatever its scalar type. VARIANT cannot be grouped or joined on."""
-    value = attribute(attributes, key)
-    return F.coalesce(*(F.try_variant_get(value, f"$.{field}", "string") for field in SCALAR_FIELDS))
+    matches = F.filter(attributes, lambda a: a["key"] == F.lit(key))
+    # only matching entries are unwrapped, and the array is searched once
+    texts = F.transform(
+        matches, lambda a: F.coalesce(*(F.try_variant_get(a["value"], f"$.{f}", "string") for f in SCALAR_FIELDS))
+    )
+    return F.get(texts, 0)

@@ -46,6 +46,11 @@ def _value(key: str) -> Column:
     return attributes.attribute_text(F.col("attributes"), key)
 
 
+def _keys(rules: Sequence[Rule]) -> list[str]:
+    used = {k for r in rules for k in r.selector} | {r.attribute for r in rules if r.attribute != MATCHED_COUNT}
+    return sorted(used)
+
+
 def _compare(actual: Column, op: str, expected: str | int | float) -> Column:
     if op == "contains":
         return F.contains(actual, F.lit(str(expected)))
@@ -54,16 +59,16 @@ def _compare(actual: Column, op: str, expected: str | int | float) -> Column:
     return COMPARISONS[op](actual.try_cast("double"), F.lit(float(expected)))
 
 
-def _selected(rule: Rule) -> Column:
+def _selected(rule: Rule, values: Mapping[str, Column]) -> Column:
     return reduce(
         operator.and_,
-        (F.coalesce(_value(k) == F.lit(v), F.lit(False)) for k, v in rule.selector.items()),
+        (F.coalesce(values[k] == F.lit(v), F.lit(False)) for k, v in rule.selector.items()),
         F.lit(True),
     )
 
 
-def _passes(rule: Rule) -> Column:
-    actual = _value(rule.attribute)
+def _passes(rule: Rule, values: Mapping[str, Column]) -> Column:
+    actual = values[rule.attribute]
     if rule.json_path:
         actual = F.get_json_object(actual, rule.json_path)
     return F.coalesce(_compare(actual, rule.op, rule.expected), F.lit(False))
@@ -73,16 +78,19 @@ def check(spans: DataFrame, rules: Sequence[Rule], by: Sequence[str] = ()) -> Da
     """Evaluate all rules in one pass: ``(*by, rule_id, matched, passed, ok)``.
 
     Rules are a short list written by people, so each becomes two conditional counts of a single
-    aggregation; spans are never joined to rules. ``by`` = ``["traceId"]`` checks every trace on its own.
+    aggregation; spans are never joined to rules, and each attribute is looked up once. ``by`` = ``["traceId"]`` checks every trace on its own.
     An attribute rule holds when all selected spans pass.
     """
+    keys = _keys(rules)
+    looked_up = spans.select(*by, *(_value(k).alias(f"_value_{i}") for i, k in enumerate(keys)))
+    values = {k: F.col(f"_value_{i}") for i, k in enumerate(keys)}
     counts = []
     for i, rule in enumerate(rules):
-        chosen = _selected(rule)
+        chosen = _selected(rule, values)
         counts.append(F.count_if(chosen).alias(f"matched_{i}"))
         if rule.attribute != MATCHED_COUNT:
-            counts.append(F.count_if(chosen & _passes(rule)).alias(f"passed_{i}"))
-    totals = spans.groupBy(*by).agg(*counts)
+            counts.append(F.count_if(chosen & _passes(rule, values)).alias(f"passed_{i}"))
+    totals = looked_up.groupBy(*by).agg(*counts)
     verdicts = []
     for i, rule in enumerate(rules):
         matched = F.col(f"matched_{i}")

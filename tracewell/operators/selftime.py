@@ -7,31 +7,31 @@ overlapping children may make the result negative.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Span fields the plans below read; pass them to the source.
 SPAN_FIELDS = ("traceId", "spanId", "parentSpanId", "name", "startTimeUnixNano", "endTimeUnixNano")
 
 
-def child_sums(spans: DataFrame) -> DataFrame:
-    """Total child duration per parent key, one row per ``(trace, parent)``."""
+def child_sums(spans: DataFrame, *extra: Column) -> DataFrame:
+    """Total child duration per parent key, one row per ``(trace, parent)``. ``extra`` aggregates are added."""
     return (
         spans.where(
             F.col("traceId").isNotNull() & F.col("parentSpanId").isNotNull() & F.col("elapsedTimeMillis").isNotNull()
         )
         .groupBy(F.col("traceId").alias("c_trace"), F.col("parentSpanId").alias("c_parent"))
-        .agg(F.sum("elapsedTimeMillis").alias("child_ms"))
+        .agg(F.sum("elapsedTimeMillis").alias("child_ms"), *extra)
     )
 
 
-def parent_sums(spans: DataFrame) -> DataFrame:
+def parent_sums(spans: DataFrame, *extra: Column) -> DataFrame:
     """Spans grouped by identity and name, with own duration and the number that have one.
 
     Repeated or missing span ids collapse here, before the join, so no join key is hot.
     """
     return spans.groupBy("traceId", "spanId", "name").agg(
-        F.sum("elapsedTimeMillis").alias("own_ms"), F.count("elapsedTimeMillis").alias("timed")
+        F.sum("elapsedTimeMillis").alias("own_ms"), F.count("elapsedTimeMillis").alias("timed"), *extra
     )
 
 
@@ -56,3 +56,15 @@ def signed_deltas(parents: DataFrame, children: DataFrame) -> DataFrame:
         (parents["traceId"] == children["c_trace"]) & (parents["spanId"] == children["c_parent"]),
     )
     return joined.groupBy("name").agg(F.sum(-F.col("timed") * F.col("child_ms")).alias("delta"))
+
+
+def merge_parents(parents: DataFrame) -> DataFrame:
+    """Parent sums of several batches, again one row per identity and name."""
+    return parents.groupBy("traceId", "spanId", "name").agg(
+        F.sum("own_ms").alias("own_ms"), F.sum("timed").alias("timed")
+    )
+
+
+def merge_children(children: DataFrame) -> DataFrame:
+    """Child sums of several batches, again one row per parent key."""
+    return children.groupBy("c_trace", "c_parent").agg(F.sum("child_ms").alias("child_ms"))
