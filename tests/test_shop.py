@@ -212,7 +212,7 @@ def test_order_records_are_whole_in_bounded_parts(spark):
         "cost", money.money("USD", F.lit(1), F.lit(0))
     )
     headers = spark.createDataFrame([("big", "t1"), ("small", "t2"), ("none", "t3")], "order_id string, shipping_tracking_id string")
-    got = orders.assemble(items, headers, items_per_part=50).collect()
+    got = orders.assemble(items, headers, orders.oversized(items, 50)).collect()
     big = [r for r in got if r.order_id == "big"]
     assert {r.part for r in big} == set(range(5))
     assert sorted(i["item"]["product_id"] for r in big for i in r["items"]) == sorted(f"p{i}" for i in range(250))

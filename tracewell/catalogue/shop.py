@@ -117,8 +117,9 @@ def order_total(spark, sf_dir):
 
 
 def order_assemble(spark, sf_dir):
-    merged = orders.merge_items(fixtures.items(spark, sf_dir))
-    costed = orders.enrich(merged, fixtures.products(spark, sf_dir)).withColumn("cost", F.col("price_usd"))
+    lines = fixtures.items(spark, sf_dir)
+    products = fixtures.products(spark, sf_dir).select("id", F.col("price_usd").alias("cost"))
+    costed = orders.enrich(orders.merge_items(lines), products)
     headers = fixtures.table(spark, sf_dir, "orders").selectExpr(
         "CAST(o_orderkey AS STRING) AS order_id",
         "md5(CAST(o_orderkey AS STRING)) AS shipping_tracking_id",
@@ -129,7 +130,7 @@ def order_assemble(spark, sf_dir):
     entry = lambda i: F.concat_ws(
         ":", i["item"]["product_id"], i["item"]["quantity"].cast("string"), i["cost"]["units"].cast("string")
     )
-    return orders.assemble(costed, headers).select(
+    return orders.assemble(costed, headers, orders.oversized(lines)).select(
         "order_id",
         "part",
         "shipping_tracking_id",
@@ -209,6 +210,15 @@ def recommend_topk(spark, sf_dir):
     return catalog.recommend(fixtures.recommendation_requests(spark, sf_dir), fixtures.products(spark, sf_dir))
 
 
+def recommendation_counter(spark, sf_dir):
+    """Recommended products summed by type; a request gets what there is, up to the limit."""
+    given = recommend_candidates(spark, sf_dir).select(
+        F.lit("catalog").alias("recommendation_type"),
+        F.least("candidates", F.lit(catalog.RECOMMENDED).cast("bigint")).alias("n"),
+    )
+    return counters.counter(given, ["recommendation_type"], F.col("n"), name="recommendations")
+
+
 def ads_targeted(spark, sf_dir):
     return ads.select(fixtures.ad_requests(spark, sf_dir), ad_source.ads(spark))
 
@@ -250,6 +260,7 @@ QUERIES = {
         catalog_unviewed,
         recommend_candidates,
         recommend_topk,
+        recommendation_counter,
         ads_targeted,
         ad_counter,
         payment_decision,
@@ -442,6 +453,11 @@ walk AS (SELECT req.*, s.step, (start + s.step) % n AS position FROM req, range(
 free AS (SELECT event_id, step, id FROM walk JOIN cat USING (position) WHERE NOT list_contains(asked, id)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY step) AS rank FROM free)
 SELECT event_id AS request_id, CAST(rank AS INTEGER) AS rank, id AS product_id FROM ranked WHERE rank <= 5""",
+    "recommendation_counter": """WITH size AS (SELECT count(*) AS n FROM part),
+asked AS (SELECT DISTINCT event_id, unnest([user_id, event_id % 100, event_id % 37]) AS id FROM events),
+known AS (SELECT event_id, count(*) AS k FROM asked JOIN part ON p_partkey = id GROUP BY event_id)
+SELECT 'catalog' AS recommendation_type, CAST(sum(least(n - coalesce(k, 0), 5)) AS BIGINT) AS recommendations
+FROM events e CROSS JOIN size LEFT JOIN known k ON k.event_id = e.event_id""",
     "ads_targeted": f"""WITH {_ADS},
 numbered AS (SELECT *, row_number() OVER (ORDER BY md5(redirect_url)) - 1 AS position FROM ads),
 req AS (SELECT event_id AS request_id, CASE event_id % 5 WHEN 0 THEN ['binoculars'] WHEN 1 THEN ['accessories', 'travel']

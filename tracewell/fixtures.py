@@ -19,9 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table as a file stream."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
     """Events with span identity and nanosecond times."""
-    return table(spark, sf_dir, "events").selectExpr(
+    return (stream if streaming else table)(spark, sf_dir, "events").selectExpr(
         "*",
         "CAST(event_id DIV 4 AS STRING) AS traceId",
         "CAST(event_id AS STRING) AS spanId",
@@ -51,6 +57,7 @@ def trace_requests(
     fields: Iterable[str] | None = None,
     envelope: bool = True,
     name: str = "event_type",
+    streaming: bool = False,
 ) -> DataFrame:
     """Nested trace requests holding the given span fields; ``name`` is the SQL of the span name."""
     values = {
@@ -73,7 +80,7 @@ def trace_requests(
     chosen = pick(SPAN, fields).fieldNames()
     span = "named_struct(" + ", ".join(f"'{f}', {values[f]}" for f in chosen) + ")"
     scope, resource = (f"'scope', {SCOPE}, ", f"'resource', {RESOURCE}, ") if envelope else ("", "")
-    return events(spark, sf_dir).selectExpr(
+    return events(spark, sf_dir, streaming).selectExpr(
         f"""array(named_struct({resource}'scopeSpans',
             array(named_struct({scope}'spans', array({span}))))) AS resourceSpans"""
     )

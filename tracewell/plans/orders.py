@@ -103,20 +103,24 @@ def merge_items(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id", "product_id").agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
 
 
-def assemble(items: DataFrame, headers: DataFrame, items_per_part: int = ITEMS_PER_PART) -> DataFrame:
+def oversized(lines: DataFrame, items_per_part: int = ITEMS_PER_PART) -> DataFrame:
+    """Orders with too many lines for one record: ``(order_id, parts)``. Usually empty."""
+    counted = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
+    return counted.where(F.col("lines") > items_per_part).select(
+        "order_id", F.ceil(F.col("lines") / F.lit(items_per_part)).alias("parts")
+    )
+
+
+def assemble(items: DataFrame, headers: DataFrame, large: DataFrame) -> DataFrame:
     """Nested order records from costed items ``(order_id, product_id, quantity, cost)`` and headers
     ``(order_id, shipping_tracking_id, shipping_cost, shipping_address)``.
 
-    An ordinary order is one record with ``part`` 0. One with more products than ``items_per_part`` is
-    spread by product over several records, so that no group is collected without a bound.
+    An ordinary order is one record with ``part`` 0. The orders of :func:`oversized` are spread by
+    product over several records, so that no group is collected without a bound.
     """
-    counted = items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_items"))
-    parts = counted.where(F.col("_items") > items_per_part).select(
-        "order_id", F.ceil(F.col("_items") / F.lit(items_per_part)).alias("_parts")
-    )
-    parted = skew.salted_join(items, parts, "order_id", spread="product_id", how="left").withColumn(
+    parted = skew.salted_join(items, large, "order_id", spread="product_id", how="left").withColumn(
         "part",
-        F.coalesce(F.pmod(F.xxhash64("product_id"), F.col("_parts")), F.lit(0)).cast("int"),
+        F.coalesce(F.pmod(F.xxhash64("product_id"), F.col("parts")), F.lit(0)).cast("int"),
     )
     entry = F.struct(
         F.struct("product_id", F.col("quantity").cast("int").alias("quantity")).alias("item"), "cost"

@@ -1,66 +1,72 @@
 """Logs of mergeable changes, one folder per micro-batch.
 
 A batch overwrites its own folder, so a replay after a failure changes nothing. Readers add the batches
-up. ``compact`` folds finished batches into a base table that readers prefer.
+up. ``compact`` folds finished batches into a base; readers then list only the batches after it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from tracewell.sinks import tables
 
 BATCH = "batch_id"
 UPTO = "upto"
 
+Fold = Callable[[DataFrame], DataFrame]
+
 
-def write(df: DataFrame, store: str, name: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{store.rstrip('/')}/{name}/{BATCH}={batch_id}")
+def write(df: DataFrame, store: str, name: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{tables.path(store, name)}/{BATCH}={batch_id}")
 
 
 def read(spark: SparkSession, store: str, name: str) -> DataFrame:
     """All batches of a log, with their ``batch_id``."""
-    return spark.read.parquet(f"{store.rstrip('/')}/{name}")
+    return tables.read(spark, store, name)
 
 
-def _bases(spark: SparkSession, store: str, name: str) -> list[int]:
-    """Batches up to which a complete base exists, listed through the store's own file system."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{store.rstrip('/')}/{name}_base")
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
+def _numbered(spark: SparkSession, folder: str, key: str) -> list[int]:
+    """Numbers ``n`` of the finished ``key=n`` folders, listed through the store's own file system."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    root = Path(folder)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
         return []
-    found = []
-    for status in files.listStatus(folder):
-        path = status.getPath()
-        done = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-        if path.getName().startswith(f"{UPTO}=") and files.exists(done):
-            found.append(int(path.getName().split("=")[1]))
-    return sorted(found)
-
-
-def merged(spark: SparkSession, store: str, name: str, fold: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The newest base and the batches after it, folded. ``fold`` must give the same result when it is
-    applied to partly folded rows, as sums per key do."""
-    bases = _bases(spark, store, name)
-    log = read(spark, store, name)
-    if not bases:
-        return fold(log.drop(BATCH))
-    base = spark.read.parquet(f"{store.rstrip('/')}/{name}_base/{UPTO}={bases[-1]}")
-    later = log.where(F.col(BATCH) > bases[-1]).drop(BATCH)
-    return fold(base.unionByName(later))
-
-
-def compact(
-    spark: SparkSession, store: str, name: str, upto: int, fold: Callable[[DataFrame], DataFrame]
-) -> None:
+    names = (status.getPath() for status in files.listStatus(root))
+    return sorted(
+        int(p.getName().split("=")[1])
+        for p in names
+        if p.getName().startswith(f"{key}=") and files.exists(Path(p, "_SUCCESS"))
+    )
+
+
+def _rows(spark: SparkSession, store: str, name: str, upto: int | None = None) -> DataFrame:
+    """The newest base and the batches after it, not beyond ``upto``."""
+    folder = tables.path(store, name)
+    bases = [b for b in _numbered(spark, f"{folder}_base", UPTO) if upto is None or b < upto]
+    start = bases[-1] if bases else -1
+    batches = [b for b in _numbered(spark, folder, BATCH) if b > start and (upto is None or b <= upto)]
+    found = None
+    if bases:
+        found = spark.read.parquet(f"{folder}_base/{UPTO}={start}")
+    if batches:
+        later = spark.read.parquet(*(f"{folder}/{BATCH}={b}" for b in batches))
+        found = later if found is None else found.unionByName(later)
+    if found is None:
+        raise FileNotFoundError(f"{folder} has no finished batch")
+    return found
+
+
+def merged(spark: SparkSession, store: str, name: str, fold: Fold) -> DataFrame:
+    """The log folded. ``fold`` must give the same result when it is applied to partly folded rows, as
+    sums per key do."""
+    return fold(_rows(spark, store, name))
+
+
+def compact(spark: SparkSession, store: str, name: str, upto: int, fold: Fold) -> None:
     """Fold the batches up to ``upto`` into a new base. The previous base and the batches stay readable
     until the new one is complete."""
-    bases = [b for b in _bases(spark, store, name) if b < upto]
-    rows = read(spark, store, name).where(F.col(BATCH) <= upto)
-    if bases:
-        base = spark.read.parquet(f"{store.rstrip('/')}/{name}_base/{UPTO}={bases[-1]}")
-        rows = base.unionByName(rows.where(F.col(BATCH) > bases[-1]).drop(BATCH))
-    else:
-        rows = rows.drop(BATCH)
-    fold(rows).write.mode("overwrite").parquet(f"{store.rstrip('/')}/{name}_base/{UPTO}={upto}")
+    target = f"{tables.path(store, name)}_base/{UPTO}={upto}"
+    fold(_rows(spark, store, name, upto)).write.mode("overwrite").parquet(target)

@@ -20,6 +20,7 @@ COUNTS = "latency_counts"
 SELF_DELTAS = "self_time_deltas"
 PARENTS = "self_time_parents"
 CHILDREN = "self_time_children"
+SEEN_DATE = "seen_date"
 
 
 def _start(writer, checkpoint: str, available_now: bool, interval: str) -> StreamingQuery:
@@ -92,18 +93,20 @@ def _add_self_time(spans: DataFrame, store: str, batch_id: int, lateness: timede
     sees what the first attempt saw.
 
     A pair may be split over batches by any distance. With ``lateness`` only earlier rows seen at most
-    that long before this batch are read, and file statistics skip the rest.
+    that long before this batch are read; the folders of older dates are skipped.
     """
     spark = spans.sparkSession
     seen = F.max("eventTime").alias("seen")
-    deltas.write(selftime.parent_sums(spans, seen), store, PARENTS, batch_id)
-    deltas.write(selftime.child_sums(spans, seen), store, CHILDREN, batch_id)
+    for name, sums in ((PARENTS, selftime.parent_sums(spans, seen)), (CHILDREN, selftime.child_sums(spans, seen))):
+        dated = sums.withColumn(SEEN_DATE, F.col("seen").cast("date"))
+        deltas.write(dated, store, name, batch_id, partition_by=(SEEN_DATE,))
     is_new = F.col(deltas.BATCH) == batch_id
     wanted = F.col(deltas.BATCH) < batch_id
     if lateness is not None:
         first = spans.agg(F.min("eventTime")).first()[0]
         if first is not None:
-            wanted = wanted & (F.col("seen") >= F.lit(str(first - lateness)).cast("timestamp_ntz"))
+            oldest = F.lit(str(first - lateness)).cast("timestamp_ntz")
+            wanted = wanted & (F.col(SEEN_DATE) >= oldest.cast("date")) & (F.col("seen") >= oldest)
     parents, children = deltas.read(spark, store, PARENTS), deltas.read(spark, store, CHILDREN)
     new_parents, old_parents = parents.where(is_new), parents.where(wanted)
     new_children, old_children = children.where(is_new), children.where(wanted)
