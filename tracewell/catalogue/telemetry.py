@@ -29,7 +29,7 @@ RULES = (
 
 
 def _spans(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
-    return flatten.spans(fixtures.trace_requests(spark, sf_dir, **kw))
+    return flatten.spans(fixtures.events(spark, sf_dir), root=fixtures.trace_root(**kw))
 
 
 def _timed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def traces_json_ingest(spark, sf_dir):
 
 
 def logs_flatten(spark, sf_dir):
-    return flatten.logs(fixtures.log_requests(spark, sf_dir)).select(
+    return flatten.logs(fixtures.events(spark, sf_dir), root=fixtures.log_root()).select(
         attributes.attribute_as(F.col("resource.attributes"), "service.name", "stringValue", "string").alias("service"),
         F.col("scope.name").alias("scope_name"),
         attributes.attribute_as(F.col("attributes"), "user", "intValue", "bigint").alias("user"),

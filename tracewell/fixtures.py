@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.schemas import SPAN, pick
@@ -51,15 +51,12 @@ SCOPE = (
 )
 
 
-def trace_requests(
-    spark: SparkSession,
-    sf_dir: str,
-    fields: Iterable[str] | None = None,
-    envelope: bool = True,
-    name: str = "event_type",
-    streaming: bool = False,
-) -> DataFrame:
-    """Nested trace requests holding the given span fields; ``name`` is the SQL of the span name."""
+def trace_root(fields: Iterable[str] | None = None, envelope: bool = True, name: str = "event_type") -> Column:
+    """The request array of an event, holding the given span fields; ``name`` is the SQL of the span name.
+
+    Queries unnest this expression directly. As a column it would be built twice, the second time by the
+    emptiness filter the optimizer adds below a generator.
+    """
     values = {
         "traceId": "traceId",
         "spanId": "spanId",
@@ -80,22 +77,27 @@ def trace_requests(
     chosen = pick(SPAN, fields).fieldNames()
     span = "named_struct(" + ", ".join(f"'{f}', {values[f]}" for f in chosen) + ")"
     scope, resource = (f"'scope', {SCOPE}, ", f"'resource', {RESOURCE}, ") if envelope else ("", "")
-    return events(spark, sf_dir, streaming).selectExpr(
-        f"""array(named_struct({resource}'scopeSpans',
-            array(named_struct({scope}'spans', array({span}))))) AS resourceSpans"""
+    return F.expr(
+        f"""array(named_struct({resource}'scopeSpans', array(named_struct({scope}'spans', array({span})))))"""
     )
 
 
-def log_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trace_requests(spark: SparkSession, sf_dir: str, streaming: bool = False, **shape) -> DataFrame:
+    """Nested trace requests, one per event; ``shape`` as for :func:`trace_root`."""
+    return events(spark, sf_dir, streaming).select(trace_root(**shape).alias("resourceSpans"))
+
+
+def log_root() -> Column:
+    """The request array of an event as a log record."""
     record = f"""named_struct(
         'attributes', array({_attr('user', 'intValue', 'CAST(user_id AS STRING)')}),
         'timeUnixNano', CAST(startNs AS STRING), 'observedTimeUnixNano', CAST(startNs + 1000 AS STRING),
         'severityNumber', CAST(1 + event_id % 24 AS INT), 'severityText', event_type,
         'flags', CAST(event_id % 2 AS INT), 'traceId', traceId, 'spanId', spanId,
         'eventName', concat('app.', event_type), 'body', parse_json(props))"""
-    return events(spark, sf_dir).selectExpr(
+    return F.expr(
         f"""array(named_struct('resource', {RESOURCE},
-            'scopeLogs', array(named_struct('scope', {SCOPE}, 'logRecords', array({record}))))) AS resourceLogs"""
+            'scopeLogs', array(named_struct('scope', {SCOPE}, 'logRecords', array({record})))))"""
     )
 
 

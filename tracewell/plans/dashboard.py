@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.operators import histogram, latency
+from tracewell.sinks import tables
 
 DEFAULT_RANGE = timedelta(minutes=5)
 REFRESH = timedelta(seconds=10)
@@ -25,15 +26,20 @@ def default_range(now: datetime | None = None) -> tuple[datetime, datetime]:
     return end - DEFAULT_RANGE, end
 
 
-def in_range(column: str, time_from: TimeLike = None, time_to: TimeLike = None) -> Column:
-    """Both ends inclusive; a missing end falls back to the default range."""
+def _bounds(time_from: TimeLike, time_to: TimeLike) -> tuple[Column, Column]:
     start, end = default_range()
     low, high = (F.lit(str(t)).cast("timestamp_ntz") for t in (time_from or start, time_to or end))
-    return F.col(column).between(low, high)
+    return low, high
+
+
+def in_range(column: str, time_from: TimeLike = None, time_to: TimeLike = None) -> Column:
+    """Both ends inclusive; a missing end falls back to the default range."""
+    return F.col(column).between(*_bounds(time_from, time_to))
 
 
 def _roots(spans: DataFrame, time_from: TimeLike, time_to: TimeLike) -> DataFrame:
-    return latency.root_spans(spans).where(in_range("eventTime", time_from, time_to))
+    dated = tables.in_dates(spans, *_bounds(time_from, time_to))
+    return latency.root_spans(dated).where(in_range("eventTime", time_from, time_to))
 
 
 def execution_time_by_operation(operation_execution_time: DataFrame) -> DataFrame:

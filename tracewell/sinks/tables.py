@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_DATE = "event_date"
@@ -29,12 +29,8 @@ def read(spark: SparkSession, store: str, name: str) -> DataFrame:
     return spark.read.parquet(path(store, name))
 
 
-def read_spans(spark: SparkSession, store: str, time_from: str | None = None, time_to: str | None = None) -> DataFrame:
-    """Spans of a time range; the dates of the range prune partitions, the times are pushed to the scan."""
-    spans = read(spark, store, "spans")
-    for bound, keep in ((time_from, "__ge__"), (time_to, "__le__")):
-        if bound is not None:
-            moment = F.lit(str(bound)).cast("timestamp_ntz")
-            spans = spans.where(getattr(F.col("eventTime"), keep)(moment))
-            spans = spans.where(getattr(F.col(EVENT_DATE), keep)(moment.cast("date")))
-    return spans
+def in_dates(spans: DataFrame, time_from: Column, time_to: Column) -> DataFrame:
+    """Restrict a dated table to the dates of a time range, so that other folders are not read."""
+    if EVENT_DATE not in spans.columns:
+        return spans
+    return spans.where(F.col(EVENT_DATE).between(time_from.cast("date"), time_to.cast("date")))
