@@ -1,5 +1,6 @@
 """Money, currency, orders, cart, catalog, ads, payment and shipping rules on small inputs."""
 
+import hashlib
 import json
 import random
 from datetime import date, datetime, timedelta
@@ -300,6 +301,25 @@ def test_recommendations_skip_requested_products(spark):
     assert none.count() == 0
 
 
+@pytest.mark.parametrize("n_products", [1, 3, 200, 255, 256, 257, 511, 512, 700, 1300])
+def test_recommendations_follow_the_laid_out_catalog(spark, n_products):
+    """Against a plain walk, for catalogs around the stretch sizes and requests longer than a stretch."""
+    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+    order = sorted(map(str, range(n_products)), key=lambda i: (md5(i), i))
+    rnd = random.Random(n_products)
+    asked = {r: [str(i) for i in rnd.sample(range(1400), rnd.choice((0, 2, 9, 251, 252, 600)))] for r in range(120)}
+    want = set()
+    for request, skip in asked.items():
+        start = int(md5(f"{request}|")[:8], 16) % n_products
+        free = [p for p in order[start:] + order[:start] if p not in set(skip)]
+        want |= {(request, rank + 1, p) for rank, p in enumerate(free[:5])}
+    requests = spark.createDataFrame(list(asked.items()), "request_id int, product_ids array<string>")
+    products = spark.range(n_products).select(F.col("id").cast("string").alias("id"))
+    got = catalog.recommend(requests, products).collect()
+    assert len(got) == len(want)
+    assert {(r.request_id, r["rank"], r.product_id) for r in got} == want
+
+
 def test_ads(spark):
     requests = spark.createDataFrame(
         [(1, ["accessories", "travel"]), (2, ["books"]), (3, []), (4, None), (5, ["travel", "travel", "books"])],

@@ -1,6 +1,6 @@
 """Fixed-point money: ``struct<currency_code, units, nanos>`` with whole units and billionths.
 
-Sums are exact in ``DECIMAL(38,0)`` billionths and split back, so the sign of units and nanos always
+Totals are exact in ``DECIMAL(38,0)`` billionths and split back, so the sign of units and nanos always
 agrees in a result.
 """
 
@@ -85,9 +85,29 @@ def add(left: Column, right: Column) -> Column:
     return F.struct(F.when(error.isNull(), total).otherwise(empty).alias("value"), error.alias("error"))
 
 
+def pieces(quantity: Column) -> Column:
+    """The factor of a price. Quantities below one count as one."""
+    return F.greatest(quantity.cast("bigint"), F.lit(1).cast("bigint"))
+
+
 def times(m: Column, quantity: Column) -> Column:
-    """Total billionths of ``quantity`` pieces. Quantities below one count as one."""
-    return to_nanos(m) * F.greatest(quantity.cast("bigint"), F.lit(1).cast("bigint")).cast("decimal(10,0)")
+    """Total billionths of ``quantity`` pieces."""
+    return to_nanos(m) * pieces(quantity).cast("decimal(10,0)")
+
+
+def sums(m: Column, quantity: Column | None = None) -> tuple[Column, Column]:
+    """Aggregates ``(units, nanos)`` of a sum, to be combined by :func:`total`.
+
+    Units stay 64-bit, as the result must; nanos of many rows may exceed that and are summed as
+    decimals. This costs one decimal addition per row instead of a chain of decimal operations.
+    """
+    factor = F.lit(1).cast("bigint") if quantity is None else pieces(quantity)
+    return F.sum(m["units"] * factor), F.sum((m["nanos"].cast("bigint") * factor).cast("decimal(19,0)"))
+
+
+def total(units: Column, nanos: Column) -> Column:
+    """Total billionths of summed units and nanos."""
+    return units.cast("decimal(19,0)") * F.lit(NANOS_PER_UNIT).cast("decimal(10,0)") + nanos
 
 
 def as_double(m: Column) -> Column:

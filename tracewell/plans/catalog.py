@@ -13,6 +13,7 @@ from tracewell.operators import numbering
 
 RECOMMENDED = 5
 SHOWN = 4
+STRETCH = 256
 
 
 def search(products: DataFrame, queries: Sequence[str]) -> DataFrame:
@@ -64,31 +65,69 @@ def candidate_counts(requests: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def recommend(
-    requests: DataFrame, products: DataFrame, k: int = RECOMMENDED, seed: str = ""
-) -> DataFrame:
+def _stretches(catalog: DataFrame, size: Column) -> DataFrame:
+    """The laid-out catalog cut into overlapping stretches of ids: ``(stretch, ids)``.
+
+    Stretch ``b`` holds the ``2 * STRETCH`` places from ``b * STRETCH``, around the end of the catalog
+    and on from its start, so that every walk of up to ``STRETCH`` places lies in one stretch.
+    """
+    width = F.lit(STRETCH).cast("bigint")
+    own, last = (F.call_function("div", p, width) for p in (F.col("position"), size - F.lit(1)))
+    holders = F.array_distinct(F.array(own, own - F.lit(1), last, last - F.lit(1)))
+    held = (
+        catalog.select("product_id", "position", F.explode(holders).alias("stretch"))
+        .where(F.col("stretch").between(F.lit(0), last))
+        .withColumn("offset", F.pmod(F.col("position") - F.col("stretch") * width, size))
+    )
+    end = F.lit(2 * STRETCH - 1).cast("bigint")
+    repeated = held.where(F.col("offset") <= end).select(
+        "stretch", "product_id", F.explode(F.sequence("offset", end, size)).alias("offset")
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("offset", "product_id")))
+    return repeated.groupBy("stretch").agg(F.transform(ordered, lambda e: e["product_id"]).alias("ids"))
+
+
+def recommend(requests: DataFrame, products: DataFrame, k: int = RECOMMENDED, seed: str = "") -> DataFrame:
     """Up to ``k`` products per request that were not asked for: ``(request_id, rank, product_id)``.
 
     The catalog is laid out in a fixed random order. A request starts at a hashed place and takes the
-    next products, skipping its own. ``k`` plus its own number of places always suffices, so the work
-    is linear in the requests and no request meets the whole catalog.
+    next products, skipping its own; ``k`` plus its own number of places always suffices. The walk is
+    done on one stretch of the catalog that the request is joined to, so each request is shuffled once
+    and none meets the whole catalog. Requests that ask for more products than a stretch holds walk
+    place by place instead.
     """
-    catalog = numbering.shuffled_positions(products.select(F.col("id").alias("product_id")).distinct(), "product_id")
-    size = catalog.agg(F.count(F.lit(1)).alias("n")).scalar()
+    ids = products.select(F.col("id").alias("product_id")).distinct()
+    catalog = numbering.shuffled_positions(ids, "product_id")
+    size = ids.agg(F.count(F.lit(1)).alias("n")).scalar()
     placed = requests.select(
         "request_id",
         split_ids(F.col("product_ids")).alias("asked"),
         F.try_mod(text.unit_hash(F.col("request_id"), seed=seed), size).alias("start"),
-        size.alias("size"),
+    ).where(F.col("start").isNotNull())
+    steps = F.least(size, (F.size("asked") + F.lit(k)).cast("bigint"))
+    walks = placed.withColumn("steps", steps)
+    short, long = walks.where(F.col("steps") <= STRETCH), walks.where(F.col("steps") > STRETCH)
+    return _walk_stretch(short, catalog, size, k).unionByName(_walk_places(long, catalog, size, k))
+
+
+def _walk_stretch(walks: DataFrame, catalog: DataFrame, size: Column, k: int) -> DataFrame:
+    width = F.lit(STRETCH).cast("bigint")
+    joined = walks.withColumn("stretch", F.call_function("div", F.col("start"), width)).join(
+        _stretches(catalog, size), "stretch"
     )
-    steps = F.least(F.col("size"), (F.size("asked") + F.lit(k)).cast("bigint")) - F.lit(1)
-    walked = placed.select(
-        "request_id", "asked", "start", "size", F.explode(F.sequence(F.lit(0).cast("bigint"), steps)).alias("step")
-    ).withColumn("position", F.try_mod(F.col("start") + F.col("step"), F.col("size")))
-    free = walked.join(catalog, "position").where(~F.array_contains("asked", F.col("product_id")))
-    rank = F.row_number().over(Window.partitionBy("request_id").orderBy("step"))
-    return (
-        free.select("request_id", "product_id", rank.cast("int").alias("rank"))
-        .where(F.col("rank") <= k)
-        .select("request_id", "rank", "product_id")
+    passed = F.slice("ids", (F.col("start") % width + F.lit(1)).cast("int"), F.col("steps").cast("int"))
+    free = F.filter(passed, lambda p: ~F.array_contains("asked", p))
+    return joined.select("request_id", F.posexplode(F.slice(free, 1, k)).alias("place", "product_id")).select(
+        "request_id", (F.col("place") + F.lit(1)).alias("rank"), "product_id"
     )
+
+
+def _walk_places(walks: DataFrame, catalog: DataFrame, size: Column, k: int) -> DataFrame:
+    zero, one = (F.lit(n).cast("bigint") for n in (0, 1))
+    places = walks.select(
+        "request_id", "asked", "start", F.explode(F.sequence(zero, F.col("steps") - one)).alias("step")
+    ).withColumn("position", (F.col("start") + F.col("step")) % size)
+    free = places.join(catalog, "position").where(~F.array_contains("asked", F.col("product_id")))
+    rank = F.row_number().over(Window.partitionBy("request_id").orderBy("step"))
+    ranked = free.select("request_id", rank.alias("rank"), "product_id")
+    return ranked.where(F.col("rank") <= k)

@@ -46,8 +46,10 @@ def sum_money(df: DataFrame, by: str, amount: str = "amount") -> DataFrame:
     An invalid amount or a second currency spoils the group, which then has empty money and an error.
     """
     m = F.col(amount)
+    units, nanos = money.sums(m)
     sums = df.groupBy(by).agg(
-        F.sum(money.to_nanos(m)).alias("total"),
+        units.alias("units"),
+        nanos.alias("nanos"),
         F.count_if(~money.is_valid(m)).alias("invalid"),
         F.min(m["currency_code"]).alias("low"),
         F.max(m["currency_code"]).alias("high"),
@@ -56,7 +58,7 @@ def sum_money(df: DataFrame, by: str, amount: str = "amount") -> DataFrame:
         F.col("low") != F.col("high"), F.lit(money.MISMATCH)
     )
     empty = money.money("", F.lit(0), F.lit(0))
-    value = F.when(error.isNull(), money.from_nanos(F.col("low"), F.col("total"))).otherwise(empty)
+    value = F.when(error.isNull(), money.from_nanos(F.col("low"), money.total(F.col("units"), F.col("nanos")))).otherwise(empty)
     return sums.select(by, value.alias("value"), error.alias("error")).select(by, "value.*", "error")
 
 
@@ -79,17 +81,19 @@ def totals(items: DataFrame, products: DataFrame, rates: DataFrame, cost_per_ite
         products.select(F.col("id").alias("product_id"), "price_usd"), "product_id", "left"
     )
     priced = currency.with_converted(known, rates, F.col("price_usd"), F.col("user_currency"), "cost")
+    units, nanos = money.sums(F.col("cost"), F.col("quantity"))
     per_order = priced.groupBy("order_id").agg(
         F.min("user_currency").alias("user_currency"),
         F.max("user_currency").alias("other_currency"),
         F.count_if(F.col("cost").isNull()).alias("unpriced"),
         F.sum(F.col("quantity").cast("bigint")).alias("item_count"),
-        F.sum(money.times(F.col("cost"), F.col("quantity"))).alias("items_total"),
+        units.alias("units"),
+        nanos.alias("nanos"),
     )
     usable = per_order.where((F.col("unpriced") == 0) & (F.col("user_currency") == F.col("other_currency")))
     quoted = shipping.quotes(usable, cost_per_item)
     shipped = currency.with_converted(quoted, rates, F.col("cost_usd"), F.col("user_currency"), "shipping_cost")
-    total = F.col("items_total") + money.to_nanos(F.col("shipping_cost"))
+    total = money.total(F.col("units"), F.col("nanos")) + money.to_nanos(F.col("shipping_cost"))
     return shipped.select(
         "order_id",
         "item_count",
