@@ -34,6 +34,11 @@ def test_no_query_pairs_all_rows_or_forces_a_broadcast(no_broadcast, name):
         assert operator not in text
 
 
+@pytest.mark.parametrize("name", sorted(set(BATCH) - {"money_sum"}))
+def test_rows_are_not_sorted_to_be_aggregated(no_broadcast, name):
+    assert "SortAggregate" not in plan(entry.queries()[name](no_broadcast, SF))
+
+
 def test_flatten_does_not_shuffle(spark):
     assert "Exchange" not in plan(flatten.spans(fixtures.trace_requests(spark, SF)))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.operators import skew
@@ -20,6 +20,11 @@ TIME_TO_LIVE = timedelta(minutes=60)
 ADD, EMPTY = "add", "empty"
 
 
+def _moment(t: Column, seq: Column) -> Column:
+    """Time and sequence number as one comparable number; unlike a struct its maximum is hash-aggregated."""
+    return t.cast("decimal(19,0)") * F.lit(str(10**19)).cast("decimal(20,0)") + seq.cast("decimal(19,0)")
+
+
 def _cutoffs(timed: DataFrame, ttl_us: int) -> DataFrame:
     """Per user: when the current cart began, the last time it was emptied, and the last write.
 
@@ -27,7 +32,7 @@ def _cutoffs(timed: DataFrame, ttl_us: int) -> DataFrame:
     between the first and last write of neighbouring bins. The window therefore sees one row per user
     and bin, whatever the number of writes.
     """
-    emptied = F.when(F.col("kind") == EMPTY, F.struct("t", "seq"))
+    emptied = F.when(F.col("kind") == EMPTY, _moment(F.col("t"), F.col("seq")))
     bins = timed.groupBy("user_id", F.floor(F.col("t") / F.lit(ttl_us)).alias("bin")).agg(
         F.min("t").alias("first"), F.max("t").alias("last"), F.max(emptied).alias("emptied")
     )
@@ -56,7 +61,7 @@ def state(writes: DataFrame, ttl: timedelta = TIME_TO_LIVE, as_of: datetime | No
     adds = timed.where(F.col("kind") == ADD)
     current = skew.salted_join(adds, cutoffs, "user_id", spread="seq").where(
         (F.col("t") >= F.col("begun"))
-        & (F.col("emptied").isNull() | (F.struct("t", "seq") > F.col("emptied")))
+        & (F.col("emptied").isNull() | (_moment(F.col("t"), F.col("seq")) > F.col("emptied")))
     )
     return current.groupBy("user_id", "product_id").agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
 

@@ -44,21 +44,24 @@ def sum_money(df: DataFrame, by: str, amount: str = "amount") -> DataFrame:
     """Sum per group with the errors of pairwise addition: ``(by, currency_code, units, nanos, error)``.
 
     An invalid amount or a second currency spoils the group, which then has empty money and an error.
+    Rows are first combined per group and currency: text as a key keeps that a hash aggregation, while
+    text as an aggregate would make Spark sort all rows.
     """
     m = F.col(amount)
     units, nanos = money.sums(m)
-    sums = df.groupBy(by).agg(
-        units.alias("units"),
-        nanos.alias("nanos"),
-        F.count_if(~money.is_valid(m)).alias("invalid"),
-        F.min(m["currency_code"]).alias("low"),
-        F.max(m["currency_code"]).alias("high"),
+    per_currency = df.groupBy(by, m["currency_code"].alias("code")).agg(
+        units.alias("units"), nanos.alias("nanos"), F.count_if(~money.is_valid(m)).alias("invalid")
     )
-    error = F.when(F.col("invalid") > 0, F.lit(money.INVALID)).when(
-        F.col("low") != F.col("high"), F.lit(money.MISMATCH)
+    sums = per_currency.groupBy(by).agg(
+        F.sum("units").alias("units"),
+        F.sum("nanos").alias("nanos"),
+        F.sum("invalid").alias("invalid"),
+        F.count(F.lit(1)).alias("codes"),
+        F.max("code").alias("code"),
     )
+    error = F.when(F.col("invalid") > 0, F.lit(money.INVALID)).when(F.col("codes") > 1, F.lit(money.MISMATCH))
     empty = money.money("", F.lit(0), F.lit(0))
-    value = F.when(error.isNull(), money.from_nanos(F.col("low"), money.total(F.col("units"), F.col("nanos")))).otherwise(empty)
+    value = F.when(error.isNull(), money.from_nanos(F.col("code"), money.total(F.col("units"), F.col("nanos")))).otherwise(empty)
     return sums.select(by, value.alias("value"), error.alias("error")).select(by, "value.*", "error")
 
 
@@ -74,24 +77,21 @@ def localize_items(items: DataFrame, products: DataFrame, rates: DataFrame) -> D
 def totals(items: DataFrame, products: DataFrame, rates: DataFrame, cost_per_item: Column | float) -> DataFrame:
     """Localized shipping plus the sum of price times quantity, per order.
 
-    Item totals and item counts come from one aggregation per order. Orders with a missing product, an
-    unknown currency or mixed currencies are not totalled.
+    All items of an order carry its currency. Item totals and item counts come from one aggregation.
+    Orders with a missing product or an unknown currency are not totalled.
     """
     known = items.join(
         products.select(F.col("id").alias("product_id"), "price_usd"), "product_id", "left"
     )
     priced = currency.with_converted(known, rates, F.col("price_usd"), F.col("user_currency"), "cost")
     units, nanos = money.sums(F.col("cost"), F.col("quantity"))
-    per_order = priced.groupBy("order_id").agg(
-        F.min("user_currency").alias("user_currency"),
-        F.max("user_currency").alias("other_currency"),
+    per_order = priced.groupBy("order_id", "user_currency").agg(
         F.count_if(F.col("cost").isNull()).alias("unpriced"),
         F.sum(F.col("quantity").cast("bigint")).alias("item_count"),
         units.alias("units"),
         nanos.alias("nanos"),
     )
-    usable = per_order.where((F.col("unpriced") == 0) & (F.col("user_currency") == F.col("other_currency")))
-    quoted = shipping.quotes(usable, cost_per_item)
+    quoted = shipping.quotes(per_order.where(F.col("unpriced") == 0), cost_per_item)
     shipped = currency.with_converted(quoted, rates, F.col("cost_usd"), F.col("user_currency"), "shipping_cost")
     total = money.total(F.col("units"), F.col("nanos")) + money.to_nanos(F.col("shipping_cost"))
     return shipped.select(
