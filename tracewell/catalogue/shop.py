@@ -210,6 +210,11 @@ def recommend_topk(spark, sf_dir):
     return catalog.recommend(fixtures.recommendation_requests(spark, sf_dir), fixtures.products(spark, sf_dir))
 
 
+def recommend_shown(spark, sf_dir):
+    shown = catalog.shown(recommend_topk(spark, sf_dir), fixtures.products(spark, sf_dir))
+    return shown.select("request_id", "rank", "product_id", "name", "price_usd.units")
+
+
 def recommendation_counter(spark, sf_dir):
     """Recommended products summed by type; a request gets what there is, up to the limit."""
     given = recommend_candidates(spark, sf_dir).select(
@@ -260,6 +265,7 @@ QUERIES = {
         catalog_unviewed,
         recommend_candidates,
         recommend_topk,
+        recommend_shown,
         recommendation_counter,
         ads_targeted,
         ad_counter,
@@ -333,6 +339,15 @@ runs AS (
 carts AS (
   SELECT user_id, product_id, CAST(sum(quantity) AS BIGINT) AS quantity FROM runs
   WHERE run = last_run AND NOT empties GROUP BY 1, 2)"""
+_RECOMMENDED = f"""cat AS (SELECT id, row_number() OVER (ORDER BY md5(id), id) - 1 AS position
+  FROM (SELECT CAST(p_partkey AS VARCHAR) AS id FROM part)),
+size AS (SELECT count(*) AS n FROM cat),
+req AS (SELECT event_id, {_hash("CAST(event_id AS VARCHAR) || '|'")} % n AS start, n,
+               [CAST(user_id AS VARCHAR), CAST(event_id % 100 AS VARCHAR), CAST(event_id % 37 AS VARCHAR)] AS asked
+        FROM events CROSS JOIN size),
+walk AS (SELECT req.*, s.step, (start + s.step) % n AS position FROM req, range(0, 8) s(step)),
+free AS (SELECT event_id, step, id FROM walk JOIN cat USING (position) WHERE NOT list_contains(asked, id)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY step) AS rank FROM free)"""
 _CHARGES = r"""charges AS (
   SELECT *, replace(replace(number, '-', ''), ' ', '') AS digits FROM (
     SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 4 = 0 THEN 'CAD' ELSE 'USD' END AS currency,
@@ -443,16 +458,11 @@ asked AS (SELECT DISTINCT event_id, unnest([user_id, event_id % 100, event_id %
 known AS (SELECT event_id, count(*) AS k FROM asked JOIN part ON p_partkey = id GROUP BY event_id)
 SELECT e.event_id AS request_id, n - coalesce(k, 0) AS candidates
 FROM events e CROSS JOIN size LEFT JOIN known k ON k.event_id = e.event_id""",
-    "recommend_topk": f"""WITH cat AS (SELECT id, row_number() OVER (ORDER BY md5(id), id) - 1 AS position
-  FROM (SELECT CAST(p_partkey AS VARCHAR) AS id FROM part)),
-size AS (SELECT count(*) AS n FROM cat),
-req AS (SELECT event_id, {_hash("CAST(event_id AS VARCHAR) || '|'")} % n AS start, n,
-               [CAST(user_id AS VARCHAR), CAST(event_id % 100 AS VARCHAR), CAST(event_id % 37 AS VARCHAR)] AS asked
-        FROM events CROSS JOIN size),
-walk AS (SELECT req.*, s.step, (start + s.step) % n AS position FROM req, range(0, 8) s(step)),
-free AS (SELECT event_id, step, id FROM walk JOIN cat USING (position) WHERE NOT list_contains(asked, id)),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY step) AS rank FROM free)
+    "recommend_topk": f"""WITH {_RECOMMENDED}
 SELECT event_id AS request_id, CAST(rank AS INTEGER) AS rank, id AS product_id FROM ranked WHERE rank <= 5""",
+    "recommend_shown": f"""WITH {_PRODUCTS}, {_RECOMMENDED}
+SELECT event_id AS request_id, CAST(rank AS INTEGER) AS rank, ranked.id AS product_id, name, units
+FROM ranked JOIN products ON products.id = ranked.id WHERE rank <= 4""",
     "recommendation_counter": """WITH size AS (SELECT count(*) AS n FROM part),
 asked AS (SELECT DISTINCT event_id, unnest([user_id, event_id % 100, event_id % 37]) AS id FROM events),
 known AS (SELECT event_id, count(*) AS k FROM asked JOIN part ON p_partkey = id GROUP BY event_id)

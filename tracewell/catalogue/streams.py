@@ -25,10 +25,9 @@ def _run_folder(spark: SparkSession) -> tuple[str, str]:
 
 def _maintained(spark: SparkSession, sf_dir: str, width: str) -> str:
     store, checkpoint = _run_folder(spark)
-    requests = fixtures.trace_requests(
-        spark, sf_dir, fields=selftime.SPAN_FIELDS, envelope=False, streaming=True
-    )
-    telemetry.maintain(requests, store, checkpoint, width=width, available_now=True).awaitTermination()
+    root = fixtures.trace_root(fields=selftime.SPAN_FIELDS, envelope=False)
+    events = fixtures.events(spark, sf_dir, streaming=True)
+    telemetry.maintain(events, store, checkpoint, width=width, root=root, available_now=True).awaitTermination()
     return store
 
 

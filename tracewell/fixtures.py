@@ -82,9 +82,9 @@ def trace_root(fields: Iterable[str] | None = None, envelope: bool = True, name:
     )
 
 
-def trace_requests(spark: SparkSession, sf_dir: str, streaming: bool = False, **shape) -> DataFrame:
+def trace_requests(spark: SparkSession, sf_dir: str, **shape) -> DataFrame:
     """Nested trace requests, one per event; ``shape`` as for :func:`trace_root`."""
-    return events(spark, sf_dir, streaming).select(trace_root(**shape).alias("resourceSpans"))
+    return events(spark, sf_dir).select(trace_root(**shape).alias("resourceSpans"))
 
 
 def log_root() -> Column:

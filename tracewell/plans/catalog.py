@@ -131,3 +131,9 @@ def _walk_places(walks: DataFrame, catalog: DataFrame, size: Column, k: int) ->
     rank = F.row_number().over(Window.partitionBy("request_id").orderBy("step"))
     ranked = free.select("request_id", rank.alias("rank"), "product_id")
     return ranked.where(F.col("rank") <= k)
+
+
+def shown(recommended: DataFrame, products: DataFrame, limit: int = SHOWN) -> DataFrame:
+    """The recommendations a page shows, the first ones, with their product."""
+    first = recommended.where(F.col("rank") <= limit)
+    return first.join(products.withColumnRenamed("id", "product_id"), "product_id")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -41,18 +41,27 @@ def append_table(
     return _start(writer.option("path", tables.path(store, name)), checkpoint, available_now, interval)
 
 
-def append_spans(requests: DataFrame, store: str, checkpoint: str, **trigger) -> StreamingQuery:
+# ``root`` is the request array: a column of a file source, or ``sources.telemetry.payload`` of a message.
+
+
+def append_spans(
+    requests: DataFrame, store: str, checkpoint: str, root: Column | str = "resourceSpans", **trigger
+) -> StreamingQuery:
     """The flat ``spans`` table, one folder per event date."""
-    spans = tables.with_date(flatten.spans(requests, on_bad_record="null"))
+    spans = tables.with_date(flatten.spans(requests, on_bad_record="null", root=root))
     return append_table(spans, store, "spans", checkpoint, partition_by=(tables.EVENT_DATE,), **trigger)
 
 
-def append_logs(requests: DataFrame, store: str, checkpoint: str, **trigger) -> StreamingQuery:
-    return append_table(flatten.logs(requests), store, "logs", checkpoint, **trigger)
+def append_logs(
+    requests: DataFrame, store: str, checkpoint: str, root: Column | str = "resourceLogs", **trigger
+) -> StreamingQuery:
+    return append_table(flatten.logs(requests, root), store, "logs", checkpoint, **trigger)
 
 
-def append_metrics(requests: DataFrame, store: str, checkpoint: str, **trigger) -> StreamingQuery:
-    return append_table(flatten.metrics(requests), store, "metrics", checkpoint, **trigger)
+def append_metrics(
+    requests: DataFrame, store: str, checkpoint: str, root: Column | str = "resourceMetrics", **trigger
+) -> StreamingQuery:
+    return append_table(flatten.metrics(requests, root), store, "metrics", checkpoint, **trigger)
 
 
 def windowed_throughput(
@@ -125,6 +134,7 @@ def maintain(
     checkpoint: str,
     width: str = latency.WINDOW_WIDTH,
     lateness: timedelta | None = None,
+    root: Column | str = "resourceSpans",
     available_now: bool = False,
     interval: str = "10 seconds",
 ) -> StreamingQuery:
@@ -141,7 +151,7 @@ def maintain(
         finally:
             spans.unpersist()
 
-    slim = flatten.spans(requests, on_bad_record="null").select(
+    slim = flatten.spans(requests, on_bad_record="null", root=root).select(
         "traceId", "spanId", "parentSpanId", "name", "elapsedTimeMillis", "eventTime"
     )
     return _start(slim.writeStream.foreachBatch(fold), checkpoint, available_now, interval)
