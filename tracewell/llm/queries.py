@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import packing, quality, simhash
+from tracewell.llm import lines, packing, quality, simhash, substrings
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,24 @@ def op3_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the lines that near-equal ones stand for."""
+    found = lines.dedupe_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "text", F.size("lines_removed").alias("n_lines_removed"))
+
+
+def op7_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document when repeated 200-byte strings go."""
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("starts").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
@@ -41,6 +59,8 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_simhash_balls": op3_simhash_balls,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
+    "op7_suffix_sort": op7_suffix_sort,
     "op9_best_two_fit": op9_best_two_fit,
     "op10_nbsvm_quality": op10_nbsvm_quality,
 }
