@@ -19,14 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewell.llm.common import components, forget, release, stored
-from tracewell.llm.simhash import _near, _variants
+from tracewell.llm.simhash import bucket_links
 
 SIMILARITY = 0.8
 RADIUS = 3
 #: First bit and width of the pigeonhole blocks.
 BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
-#: Keys shared by more fingerprints, and fingerprints shared by more lines, are compared through hubs.
+#: Keys shared by more fingerprints are compared along trees, fingerprints shared by more lines through their first.
 PAIRED = 32
+TREES = 3
 
 
 def normalised(line: str) -> str:
@@ -94,8 +95,8 @@ def occurrences(docs: DataFrame) -> DataFrame:
 def fingerprint_pairs(words: DataFrame) -> DataFrame:
     """Pairs ``(a, b)``, a < b, of the distinct fingerprints ``fp`` at most ``RADIUS`` bits apart.
 
-    Small buckets give all their pairs. In crowded ones fingerprints meet on whole-word balls and each is compared
-    with the smallest of every ball it is in, so that work stays linear.
+    Buckets of up to ``PAIRED`` give all their pairs. Of larger ones each fingerprint is paired along several trees
+    that connect all within the radius, so that pairs stay in proportion to rows.
     """
     parts = [F.shiftrightunsigned("fp", at).bitwiseAND((1 << width) - 1) for at, width in BLOCKS]
     two = [
@@ -103,19 +104,7 @@ def fingerprint_pairs(words: DataFrame) -> DataFrame:
         for k, (i, j) in enumerate(combinations(range(len(BLOCKS)), len(BLOCKS) - RADIUS))
     ]
     spread = words.select("fp", F.explode(F.array(*two)).alias("key"))
-    sizes = spread.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-    sizes = stored(sizes.where("n > 1"), "buckets")
-    pair = sizes.where("n = 2").where(_near("a", "b", RADIUS)).select("a", "b")
-    crowd = stored(spread.join(sizes.where("n > 2").select("key", "n"), "key"), "crowd")
-    some = crowd.where(F.col("n") <= PAIRED)
-    few = some.select("key", F.col("fp").alias("a")).join(some.select("key", F.col("fp").alias("b")), "key")
-    few = few.where("a < b").where(_near("a", "b", RADIUS)).select("a", "b")
-    hot = stored(crowd.where(F.col("n") > PAIRED).select("fp").distinct(), "hot")
-    whole = _variants(hot, RADIUS + 1, 1).select("key", "fp")
-    hubs = stored(whole.groupBy("key").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1"), "hubs")
-    star = whole.join(hubs, "key").where("fp <> hub").where(_near("fp", "hub", RADIUS))
-    star = star.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-    return pair.unionByName(few).unionByName(star).distinct()
+    return bucket_links(spread.select("key", "fp"), RADIUS, all_pairs=PAIRED, trees=TREES).distinct()
 
 
 def line_pairs(lines: DataFrame) -> DataFrame:

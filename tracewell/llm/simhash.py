@@ -23,8 +23,8 @@ from tracewell.llm.common import components, stored
 
 SHINGLE_WORDS = 4
 RADIUS = 4
-#: Buckets of more fingerprints than this are not paired; their fingerprints meet on whole-word balls instead.
-PAIRED = 32
+#: Buckets of up to so many fingerprints are linked within one task, by vectors; larger ones meet on whole-word balls.
+LINKED = 20_000
 
 
 def text_fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
@@ -68,48 +68,114 @@ def ball(bits: int, radius: int) -> list[int]:
     return [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
 
 
-def _variants(words: DataFrame, radius: int, parts: int) -> DataFrame:
-    """``(fp, part, key)``: each part of the word with every mask of its ball."""
+def variants(words: DataFrame, radius: int, parts: int) -> DataFrame:
+    """``(key, fp)``: each part of the word with every mask of its ball; the key tells the parts apart."""
     bits = 64 // parts
     masks = F.array(*[F.lit(m).cast("long") for m in ball(bits, -(-(radius // parts) // 2))])
-    cut = F.lit((1 << bits) - 1 if parts > 1 else -1).cast("long")
-    each = F.array(
-        *[
-            F.struct(F.lit(p).alias("part"), F.shiftrightunsigned("fp", bits * p).bitwiseAND(cut).alias("word"))
-            for p in range(parts)
-        ]
-    )
-    spread = words.select("fp", F.explode(each).alias("x")).select("fp", "x.part", "x.word", F.explode(masks).alias("m"))
-    return spread.select("fp", "part", F.col("word").bitwiseXOR(F.col("m")).alias("key"))
-
-
-def _near(a: str, b: str, radius: int):
+    if parts == 1:
+        return words.select("fp", F.explode(masks).alias("m")).select(F.col("fp").bitwiseXOR(F.col("m")).alias("key"), "fp")
+    cut = F.lit((1 << bits) - 1).cast("long")
+    each = [
+        F.shiftrightunsigned("fp", bits * p).bitwiseAND(cut).bitwiseOR(F.lit(p << 32).cast("long")) for p in range(parts)
+    ]
+    spread = words.select("fp", F.explode(F.array(*each)).alias("word")).select("fp", "word", F.explode(masks).alias("m"))
+    return spread.select(F.col("word").bitwiseXOR(F.col("m")).alias("key"), "fp")
+
+
+def near(a: str, b: str, radius: int):
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= radius
 
 
-def links(words: DataFrame, radius: int = RADIUS, parts: int = 2) -> DataFrame:
-    """Edges ``(a, b)`` that connect the distinct fingerprints ``fp`` exactly as all pairs within ``radius`` would.
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
+def spanning_links(words: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Links that connect distinct fingerprints as all pairs within the radius would: a breadth-first tree of each group."""
+    found, rest = [], words
+    while len(rest):
+        queue, rest = [rest[0]], rest[1:]
+        while queue and len(rest):
+            word = queue.pop()
+            close = _apart(rest, word) <= radius
+            if close.any():
+                found += [(word, x) for x in rest[close]]
+                queue += list(rest[close])
+                rest = rest[~close]
+    return found
+
+
+def bucket_links(keyed: DataFrame, radius: int, all_pairs: int = 0, trees: int = 1) -> DataFrame:
+    """Links ``(a, b)``, a < b, among the distinct fingerprints of each bucket of ``keyed(key, fp)``.
 
-    A bucket of two gives its pair from the aggregates alone; small buckets are paired by a join; fingerprints of
-    large buckets meet on whole-word balls, where sharing a variant proves the distance (for an even radius), so a
-    star to the smallest one stands for all pairs. Work is linear in the fingerprints whatever the bucket sizes.
+    Buckets of up to ``all_pairs`` give all their pairs within the radius, others trees that connect the same groups.
+    A bucket beyond ``LINKED`` is only named by its key; its fingerprints meet on whole-word balls instead, where the
+    smallest of each ball stands for all. So work is linear in the rows whatever a bucket's size.
     """
-    spread = _variants(words, radius, parts)
-    sizes = spread.groupBy("part", "key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-    sizes = stored(sizes.where("n > 1"), "buckets")
-    two = sizes.where("n = 2").where(_near("a", "b", radius)).select("a", "b")
-    more = sizes.where("n > 2").select("part", "key", "n")
-    crowd = stored(spread.join(more, ["part", "key"]).select("part", "key", "fp", "n"), "crowd")
-    some = crowd.where(F.col("n") <= PAIRED)
-    left = some.select("part", "key", F.col("fp").alias("a"))
-    right = some.select("part", "key", F.col("fp").alias("b"))
-    few = left.join(right, ["part", "key"]).where("a < b").where(_near("a", "b", radius)).select("a", "b")
-    hot = stored(crowd.where(F.col("n") > PAIRED).select("fp").distinct(), "hot")
-    whole = _variants(hot, radius, 1).select("key", "fp")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["a", "b", "crowded"]
+
+        def solve(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+            edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+            size = np.diff(edge)
+            two = edge[:-1][size == 2]
+            close = two[_apart(fp[two], fp[two + 1]) <= radius]
+            a, b, crowded = [fp[close]], [fp[close + 1]], []
+            for begin, n in zip(edge[:-1][size > 2], size[size > 2], strict=True):
+                some = fp[begin : begin + n]
+                if n > LINKED:
+                    crowded.append(key[begin])
+                elif n <= all_pairs:
+                    i, j = np.triu_indices(n, 1)
+                    good = _apart(some[i], some[j]) <= radius
+                    a.append(some[i][good])
+                    b.append(some[j][good])
+                else:
+                    order = np.random.default_rng(n)
+                    for tree in range(trees):
+                        links = spanning_links(np.sort(some) if not tree else order.permutation(some), radius)
+                        a.append(np.array([x for x, _ in links], np.int64))
+                        b.append(np.array([y for _, y in links], np.int64))
+            a, b = np.concatenate(a), np.concatenate(b)
+            none = [None] * len(crowded)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*np.minimum(a, b), *none], pa.int64()),
+                    pa.array([*np.maximum(a, b), *none], pa.int64()),
+                    pa.array([*[None] * len(a), *crowded], pa.int64()),
+                ],
+                names,
+            )
+
+        rest_key, rest_fp = np.empty(0, np.int64), np.empty(0, np.int64)
+        for batch in batches:
+            key = np.concatenate((rest_key, batch.column(0).to_numpy()))
+            fp = np.concatenate((rest_fp, batch.column(1).to_numpy()))
+            last = int(np.searchsorted(key, key[-1]))
+            if last:
+                yield solve(key[:last], fp[:last])
+            # of a crowded bucket only enough is held to know it by
+            rest_key, rest_fp = key[last:][: LINKED + 1], fp[last:][: LINKED + 1]
+        if len(rest_key):
+            yield solve(rest_key, rest_fp)
+
+    grouped = keyed.repartition("key").sortWithinPartitions("key")
+    found = stored(grouped.mapInArrow(run, "a long, b long, crowded long").distinct(), "bucket_links")
+    links = found.where("a is not null").select("a", "b")
+    crowded = found.where("crowded is not null").select(F.col("crowded").alias("key"))
+    if crowded.isEmpty():
+        return links
+    hot = stored(keyed.join(crowded, "key").select("fp").distinct(), "crowded")
+    whole = stored(variants(hot, radius + radius % 2, 1), "balls")
     hubs = stored(whole.groupBy("key").agg(F.min("fp").alias("hub"), F.count("*").alias("n")).where("n > 1"), "hubs")
-    star = whole.join(hubs, "key").where("fp <> hub").where(_near("fp", "hub", radius))
-    star = star.select(F.col("hub").alias("a"), F.col("fp").alias("b"))
-    return two.unionByName(few).unionByName(star).distinct()
+    star = whole.join(hubs, "key").where("fp <> hub").where(near("fp", "hub", radius))
+    return links.unionByName(star.select(F.col("hub").alias("a"), F.col("fp").alias("b"))).distinct()
+
+
+def links(words: DataFrame, radius: int = RADIUS, parts: int = 2) -> DataFrame:
+    """Links ``(a, b)`` that connect the distinct fingerprints ``fp`` exactly as all pairs within ``radius`` would."""
+    return bucket_links(variants(words, radius, parts), radius)
 
 
 def near_duplicates(
