@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import decontam, lines, packing, quality, simhash, substrings
+from tracewell.llm import decontam, lines, packing, quality, simhash, substrings, vectors
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,11 @@ def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.size("lines_removed").alias("n_lines_removed"))
 
 
+def op5_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op6_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item found in every document."""
     found = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -68,6 +73,7 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_simhash_balls": op3_simhash_balls,
     "op4_fuzzy_lines": op4_fuzzy_lines,
+    "op5_nn_descent": op5_nn_descent,
     "op6_latent_decontamination": op6_latent_decontamination,
     "op7_suffix_sort": op7_suffix_sort,
     "op9_best_two_fit": op9_best_two_fit,
