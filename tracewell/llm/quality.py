@@ -18,7 +18,9 @@ from pyspark.sql import types as T
 
 BUCKETS = 1 << 18
 #: Rows the margin model is fitted on: the training rows with the smallest hashes.
-FIT_ROWS = 12_000
+FIT_ROWS = 6_000
+#: Tasks that turn them into features; the features, not the texts, go to the driver, in proportion to FIT_ROWS.
+FIT_TASKS = 12
 SMOOTHING = 1.0
 COST = 1.0
 EPOCHS = 12
@@ -124,12 +126,13 @@ def descend(rows: list[np.ndarray], sign: np.ndarray, ratio: np.ndarray, cost: n
     """Weights over buckets and the bias of the hinge-loss model, by dual coordinate descent over the rows."""
     order = np.random.default_rng(7)
     weights, bias, alpha = np.zeros(len(ratio)), 0.0, np.zeros(len(rows))
-    values = [ratio[r] / max(1.0, np.sqrt(len(r))) for r in rows]
-    norms = np.array([v @ v + 1.0 for v in values])
+    scale = np.array([1.0 / max(1.0, np.sqrt(len(r))) for r in rows])
+    norms = np.array([s * s * (ratio[r] @ ratio[r]) + 1.0 for r, s in zip(rows, scale, strict=True)])
     for _ in range(epochs):
         moved = 0.0
         for i in order.permutation(len(rows)):
-            y, r, v = sign[i], rows[i], values[i]
+            y, r = sign[i], rows[i]
+            v = ratio[r] * scale[i]
             slack = y * (weights[r] @ v + bias) - 1.0
             new = min(max(alpha[i] - slack / norms[i], 0.0), cost[i])
             if step := new - alpha[i]:
@@ -173,7 +176,7 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS, e
             found = [text_features(data, buckets).astype(np.int32) for data in _bytes_of(batch.column(0))]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["label", "found"])
 
-    sample = picked.select("text", F.col("label").cast("int")).mapInArrow(run, "label int, found array<int>").toArrow()
+    sample = picked.select("text", F.col("label").cast("int")).repartition(FIT_TASKS).mapInArrow(run, "label int, found array<int>").toArrow()
     rows = [x.values.to_numpy() for x in sample["found"].combine_chunks()] if sample.num_rows else []
     label = sample["label"].to_numpy() if sample.num_rows else np.empty(0)
     ones = label.sum()
