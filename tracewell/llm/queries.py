@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import decontam, lines, packing, quality, simhash, substrings, vectors
+from tracewell.llm import decontam, lines, packing, quality, simhash, substrings, vectors, wrappers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,12 @@ def op7_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_wrapper_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found = wrappers.extract(table(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
@@ -76,6 +82,7 @@ QUERIES = {
     "op5_nn_descent": op5_nn_descent,
     "op6_latent_decontamination": op6_latent_decontamination,
     "op7_suffix_sort": op7_suffix_sort,
+    "op8_wrapper_inference": op8_wrapper_inference,
     "op9_best_two_fit": op9_best_two_fit,
     "op10_nbsvm_quality": op10_nbsvm_quality,
 }
