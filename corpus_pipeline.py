@@ -7,10 +7,14 @@ columns of documents. Between stages rows are written as Parquet to the shared f
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tracewell.llm import packing, quality, queries
+from tracewell.llm import decontam, lines, packing, quality, queries, simhash
 from tracewell.llm.common import stored
 
+#: Words of a shingle in the near-duplicate stage.
+SHINGLE_WORDS = 5
+
 #: No SQL: scores and packing depend on a fitted model and on tokenization. Tests compare with brute force instead.
 ORACLE_SQL = None
 
@@ -22,13 +26,32 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.score(docs, model).where(f"score >= {quality.CUTOFF}").select(docs.columns)
 
 
+def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without repeated lines; a document may lose all its lines."""
+    kept = lines.dedupe_lines(docs).drop("lines_removed")
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the one with the smallest id, one row of it if it repeats."""
+    return simhash.one_of_each(docs, width=SHINGLE_WORDS).select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark item."""
+    return decontam.clean(docs, queries.table(spark, sf_dir, "benchmark")).select(docs.columns)
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences."""
     return packing.pack_documents(docs, queries.tokenizer_path()).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
-    ("quality", quality_stage),
+    ("quality_classifier", quality_stage),
+    ("line_dedup", lines_stage),
+    ("simhash_near_dedup", simhash_stage),
+    ("decontamination", decontamination_stage),
     ("packing", packing_stage),
 ]
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import decontam, lines, packing, quality, simhash, substrings, vectors, wrappers
+from tracewell.llm import chat, decontam, lines, packing, quality, simhash, substrings, surrogates, vectors, wrappers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,61 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: The key of the registered query; a real corpus takes a secret one.
+SURROGATE_KEY = "tracewell"
+
+
+def op1_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions of a preference pair from every conversation."""
+    turns = chat.turns_of(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    found = chat.format_pairs(chat.derived_pairs(turns))
+    spans = {f"{c}_mask": F.array_join(F.transform(f"{c}_mask", lambda s: F.concat_ws("-", s["begin"], s["end"])), ",") for c in ("chosen", "rejected")}
+    return found.withColumns(spans).select(
+        F.col("id").alias("conv_id"), "prefix_turns", "prompt", "chosen_text", "chosen_mask", "rejected_text", "rejected_mask"
+    )
+
+
+OP1_SQL = """
+WITH numbered AS (
+  SELECT conv_id, role, text, turn,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS k
+  FROM conversations
+), facts AS (
+  SELECT conv_id, count(*) AS n, max(k) FILTER (role = 'assistant') AS last_k,
+         count(*) FILTER (role = 'assistant') AS n_answers,
+         arg_min(text, k) FILTER (role = 'assistant') AS first_answer, arg_max(text, k) FILTER (role = 'assistant') AS last_answer
+  FROM numbered GROUP BY conv_id
+), pairs AS (
+  SELECT *, CASE WHEN n_answers > 1 THEN first_answer ELSE '' END AS other,
+         n_answers = 0 OR last_answer IS NOT DISTINCT FROM CASE WHEN n_answers > 1 THEN first_answer ELSE '' END AS equal
+  FROM facts
+), prompts AS (
+  SELECT p.conv_id, count(k) AS prefix_turns,
+         coalesce(string_agg('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), '' ORDER BY k), '') AS prompt
+  FROM pairs p LEFT JOIN numbered n
+    ON n.conv_id IS NOT DISTINCT FROM p.conv_id
+   AND k <= CASE WHEN n_answers = 0 THEN p.n WHEN equal THEN last_k ELSE last_k - 1 END
+  GROUP BY p.conv_id
+), completions AS (
+  SELECT conv_id,
+         CASE WHEN equal THEN '' ELSE '<|im_start|>assistant' || chr(10) || coalesce(last_answer, '') || '<|im_end|>' || chr(10) END AS chosen_text,
+         CASE WHEN equal THEN '' ELSE '<|im_start|>assistant' || chr(10) || coalesce(other, '') || '<|im_end|>' || chr(10) END AS rejected_text
+  FROM pairs
+)
+SELECT conv_id, CAST(prefix_turns AS INTEGER) AS prefix_turns, prompt, chosen_text,
+       CASE WHEN chosen_text = '' THEN '' ELSE '22-' || length(chosen_text) END AS chosen_mask, rejected_text,
+       CASE WHEN rejected_text = '' THEN '' ELSE '22-' || length(rejected_text) END AS rejected_mask
+FROM prompts JOIN completions USING (conv_id)
+"""
+
+
+def op2_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with surrogates for personal data."""
+    found = surrogates.pseudonymise(table(spark, sf_dir, "documents"), SURROGATE_KEY)
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("entities", lambda e: e["kind"]))), ",")
+    return found.select(F.col("id").alias("doc_id"), "text", F.size("entities").alias("n_entities"), kinds.alias("kinds"))
+
+
 def op3_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -77,6 +132,8 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_preference_format": op1_preference_format,
+    "op2_surrogates": op2_surrogates,
     "op3_simhash_balls": op3_simhash_balls,
     "op4_fuzzy_lines": op4_fuzzy_lines,
     "op5_nn_descent": op5_nn_descent,
@@ -86,4 +143,4 @@ QUERIES = {
     "op9_best_two_fit": op9_best_two_fit,
     "op10_nbsvm_quality": op10_nbsvm_quality,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_preference_format": OP1_SQL}

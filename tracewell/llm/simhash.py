@@ -202,3 +202,27 @@ def near_duplicates(
     names = member.groupBy("component").agg(F.min("first").alias("component_id"))
     names = stored(member.join(names, "component").select("fp", "component_id"), "names")
     return prints.join(names, "fp").select("id", "fp", "component_id")
+
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group one row, that with the smallest id (null last).
+
+    Of rows that repeat both id and text one stays. Columns pass unchanged, whatever their names.
+    """
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text, own = F.col(f"row.`{text_col}`"), F.col(f"row.`{id_col}`")
+    row = row.withColumns({"th": F.xxhash64(F.coalesce(text, F.lit(""))), "own": own})
+    key = F.struct(F.col("own").isNull().alias("none"), "own", "th")
+    found = near_duplicates(row.select(key.alias("id"), text.alias("text")), "id", "text", **how)
+    kept = stored(found.where("id = component_id").groupBy("id.own", "id.th").agg(F.count("*").alias("n")), "kept")
+
+    def among(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        on = (F.col("r.th") == F.col("k.th")) & F.col("r.own").eqNullSafe(F.col("k.own"))
+        return rows.alias("r").join(keys.alias("k"), on, "left_semi")
+
+    repeated = kept.where("n > 1")
+    if repeated.isEmpty():
+        return among(row, kept).select("row.*")
+    single = among(row, repeated).dropDuplicates(["own", "th"])
+    return among(row, kept.where("n = 1")).unionByName(single).select("row.*")
