@@ -9,10 +9,11 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from tracewell.catalogue import shop, streams, telemetry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES = {**telemetry.QUERIES, **shop.QUERIES, **streams.QUERIES}
+ORACLE = {**telemetry.ORACLE, **shop.ORACLE, **streams.ORACLE}
 
 
 @pytest.fixture(scope="module")

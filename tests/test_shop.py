@@ -207,18 +207,21 @@ def test_orders_with_missing_products(spark, folder):
     assert row.total.units * 10**9 + row.total.nanos == want
 
 
-def test_order_records_are_whole_in_bounded_parts(spark):
-    rows = [("big", f"p{i}", 1) for i in range(250)] + [("small", "p1", 2), ("small", "p2", 3)]
+def test_order_records_have_one_shape_whatever_their_size(spark):
+    rows = [("big", f"p{i}", 1) for i in range(12_000)] + [("small", "p1", 2), ("small", "p2", 3)]
     items = spark.createDataFrame(rows, "order_id string, product_id string, quantity int").withColumn(
         "cost", money.money("USD", F.lit(1), F.lit(0))
     )
     headers = spark.createDataFrame([("big", "t1"), ("small", "t2"), ("none", "t3")], "order_id string, shipping_tracking_id string")
-    got = orders.assemble(items, headers, orders.oversized(items, 50)).collect()
-    big = [r for r in got if r.order_id == "big"]
-    assert {r.part for r in big} == set(range(5))
-    assert sorted(i["item"]["product_id"] for r in big for i in r["items"]) == sorted(f"p{i}" for i in range(250))
-    (small,) = [r for r in got if r.order_id == "small"]
-    assert small.part == 0 and [i["item"]["quantity"] for i in small["items"]] == [2, 3]
+    got = {r.order_id: r for r in orders.assemble(items, headers).collect()}
+    assert {k: (r.part, len(r["items"])) for k, r in got.items()} == {"big": (0, 12_000), "small": (0, 2)}
+    assert [i["item"]["quantity"] for i in got["small"]["items"]] == [2, 3]
+    parted = [r for r in orders.assemble(items, headers, parts=5).collect() if r.order_id == "big"]
+    assert {r.part for r in parted} == set(range(5)) and sum(len(r["items"]) for r in parted) == 12_000
+    assert {r.order_id: r["count"] for r in orders.lines(items, headers).groupBy("order_id").count().collect()} == {
+        "big": 12_000,
+        "small": 2,
+    }
 
 
 START = datetime(2024, 1, 1)
@@ -285,18 +288,19 @@ def test_recommendations_skip_requested_products(spark):
     products = spark.range(30).select(F.col("id").cast("string").alias("id"))
     products = products.union(products.limit(3))  # a catalog may list a product twice
     requests = spark.createDataFrame(
-        [(1, ["0", "1,2"]), (2, []), (3, [str(i) for i in range(27)]), (4, [",".join(map(str, range(30)))]), (5, ["zz"])],
+        [(1, ["0", "1,2"]), (2, []), (3, [str(i) for i in range(27)]), (4, [",".join(map(str, range(30)))]), (5, ["zz"]), (6, None), (7, [None, "1"])],
         "request_id int, product_ids array<string>",
     )
     got = {}
     for r in catalog.recommend(requests, products).collect():
         got.setdefault(r.request_id, {})[r["rank"]] = r.product_id
-    assert {k: sorted(v) for k, v in got.items()} == {k: [1, 2, 3, 4, 5][: (3 if k == 3 else 5)] for k in (1, 2, 3, 5)}
+    assert {k: sorted(v) for k, v in got.items()} == {k: [1, 2, 3, 4, 5][: (3 if k == 3 else 5)] for k in (1, 2, 3, 5, 6, 7)}
     assert all(len(set(v.values())) == len(v) for v in got.values())
     assert not {"0", "1", "2"} & set(got[1].values())
     assert set(got[3].values()) == {"27", "28", "29"}
     counts = {r.request_id: r.candidates for r in catalog.candidate_counts(requests, products).collect()}
-    assert counts == {1: 27, 2: 30, 3: 3, 4: 0, 5: 30}
+    assert counts == {1: 27, 2: 30, 3: 3, 4: 0, 5: 30, 6: 30, 7: 29}
+    assert {k: min(5, n) for k, n in counts.items() if n} == {k: len(v) for k, v in got.items()}
     none = catalog.recommend(requests, products.where("false"))
     assert none.count() == 0
 
@@ -351,6 +355,7 @@ def test_payments(spark):
         ("5555-5555-5555-4444", 2030, 1, False, "accepted", True),
         ("2223003122003222", 2030, 1, False, "accepted", True),
         ("abc", 2030, 1, False, "invalid", False),
+        ("6011-1111-1111-1117", 2030, 1, False, "brand_not_accepted", False),
     ]
     df = spark.createDataFrame(
         [(i, ("USD", 1, 0), n, y, m, s) for i, (n, y, m, s, *_) in enumerate(cards)],
@@ -364,6 +369,8 @@ def test_payments(spark):
     assert rows[5].message == "Credit card info is invalid." and rows[0].message is None
     assert payment.transactions_by_currency(decided).first().payments == 5
     assert payment.decide(df.drop("synthetic")).where("charged").count() >= 1
+    taken = payment.decide(df, date(2024, 1, 31), brands={"house": r"^6011\d{12}$"}, accepted=["house"])
+    assert [r.i for r in taken.where("charged").collect()] == [10]
 
 
 def test_shipping_quotes(spark):

@@ -94,7 +94,7 @@ def conversion_counter(spark, sf_dir):
 
 
 def order_enrich(spark, sf_dir):
-    found = orders.enrich(fixtures.items(spark, sf_dir), fixtures.products(spark, sf_dir, IN_CATALOG))
+    found = orders.enrich(fixtures.items(spark, sf_dir), fixtures.products(spark, sf_dir))
     return found.select("order_id", "product_id", "quantity", "name", "price_usd.*")
 
 
@@ -116,21 +116,26 @@ def order_total(spark, sf_dir):
     ).select("order_id", "item_count", F.col("shipping_cost.units").alias("shipping_units"), "total.*")
 
 
-def order_assemble(spark, sf_dir):
-    lines = fixtures.items(spark, sf_dir)
-    products = fixtures.products(spark, sf_dir).select("id", F.col("price_usd").alias("cost"))
-    costed = orders.enrich(orders.merge_items(lines), products)
-    headers = fixtures.table(spark, sf_dir, "orders").selectExpr(
+def _costed(spark, sf_dir):
+    merged = orders.merge_items(fixtures.items(spark, sf_dir))
+    return orders.localize_items(merged, fixtures.products(spark, sf_dir, IN_CATALOG), rate_source.rates(spark))
+
+
+def _headers(spark, sf_dir):
+    return fixtures.table(spark, sf_dir, "orders").selectExpr(
         "CAST(o_orderkey AS STRING) AS order_id",
         "md5(CAST(o_orderkey AS STRING)) AS shipping_tracking_id",
         "named_struct('currency_code', 'USD', 'units', o_orderkey % 90, 'nanos', 0) AS shipping_cost",
         """named_struct('street_address', o_orderpriority, 'city', 'c', 'state', 's', 'country', 'x',
                         'zip_code', CAST(o_custkey AS STRING)) AS shipping_address""",
     )
+
+
+def order_assemble(spark, sf_dir):
     entry = lambda i: F.concat_ws(
         ":", i["item"]["product_id"], i["item"]["quantity"].cast("string"), i["cost"]["units"].cast("string")
     )
-    return orders.assemble(costed, headers, orders.oversized(lines)).select(
+    return orders.assemble(_costed(spark, sf_dir), _headers(spark, sf_dir)).select(
         "order_id",
         "part",
         "shipping_tracking_id",
@@ -141,6 +146,19 @@ def order_assemble(spark, sf_dir):
     )
 
 
+def order_lines(spark, sf_dir):
+    return orders.lines(_costed(spark, sf_dir), _headers(spark, sf_dir)).select(
+        "order_id",
+        "product_id",
+        "quantity",
+        F.col("cost.currency_code").alias("currency_code"),
+        F.col("cost.units").alias("units"),
+        F.col("cost.nanos").alias("nanos"),
+        "shipping_tracking_id",
+        F.col("shipping_address.zip_code").alias("zip_code"),
+    )
+
+
 def order_running_count(spark, sf_dir):
     placed = fixtures.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return numbering.running_count(placed, "o_orderkey")
@@ -192,11 +210,7 @@ def catalog_search(spark, sf_dir):
 
 
 def catalog_unviewed(spark, sf_dir):
-    viewed = (
-        fixtures.table(spark, sf_dir, "lineitem")
-        .where("l_discount = 0.1 AND l_tax = 0.08")
-        .selectExpr("CAST(l_partkey AS STRING) AS product_id")
-    )
+    viewed = fixtures.table(spark, sf_dir, "events").selectExpr("CAST(event_id % 150 AS STRING) AS product_id")
     return catalog.unviewed(fixtures.products(spark, sf_dir), viewed).select("id", "name")
 
 
@@ -255,6 +269,7 @@ QUERIES = {
         order_complete,
         order_total,
         order_assemble,
+        order_lines,
         order_running_count,
         cart_item_count,
         shipping_quote,
@@ -309,6 +324,12 @@ _PRODUCTS = """products AS (
          CAST(CAST(round(p_retailprice * 100) AS BIGINT) // 100 AS DOUBLE)
            + CAST(CAST(round(p_retailprice * 100) AS BIGINT) % 100 * 10000000 AS DOUBLE) / CAST(1e9 AS DOUBLE) AS price
   FROM part)"""
+_COSTED = f"""failed AS (
+  SELECT order_id FROM items WHERE product_id NOT IN (SELECT id FROM products WHERE {IN_CATALOG})),
+merged AS (SELECT order_id, product_id, user_currency, CAST(sum(quantity) AS BIGINT) AS quantity
+           FROM items WHERE order_id NOT IN (SELECT order_id FROM failed) GROUP BY 1, 2, 3),
+costed AS (SELECT merged.*, price / (SELECT rate FROM rates WHERE code = 'USD') * rate AS v
+           FROM merged JOIN products ON id = product_id JOIN rates ON code = user_currency)"""
 _COUNTS = "counts AS (SELECT order_id, CAST(sum(quantity) AS BIGINT) AS item_count FROM items GROUP BY order_id)"
 _QUOTES = f"""quotes AS (
   SELECT order_id, item_count,
@@ -329,7 +350,7 @@ converted AS (
 _WRITES = """writes AS (
   SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(event_id % 7 AS VARCHAR) AS product_id,
          1 + event_id % 3 AS quantity, event_type = 'purchase' AS empties, epoch_us(ts) AS t, event_id AS seq
-  FROM events WHERE event_type IN ('click', 'view', 'purchase')),
+  FROM events),
 marked AS (
   SELECT *, CASE WHEN empties OR t - lag(t) OVER w > 172800000000 THEN 1 ELSE 0 END AS breaks
   FROM writes WINDOW w AS (PARTITION BY user_id ORDER BY t, seq)),
@@ -359,7 +380,8 @@ _CHARGES = r"""charges AS (
 checked AS (
   SELECT *, CASE WHEN digits[1] = '4' AND length(digits) IN (13, 16, 19) THEN 'visa'
               WHEN substr(digits, 1, 2) BETWEEN '51' AND '55' AND length(digits) = 16 THEN 'mastercard'
-              WHEN substr(digits, 1, 2) IN ('34', '37') AND length(digits) = 15 THEN 'amex' END AS card_type,
+              WHEN substr(digits, 1, 2) IN ('34', '37') AND length(digits) = 15 THEN 'amex'
+              WHEN substr(digits, 1, 4) = '6011' AND length(digits) = 16 THEN 'discover' END AS card_type,
          list_sum(list_transform(range(1, length(digits) + 1), lambda i:
            CASE WHEN i % 2 = 1 THEN CAST(digits[length(digits) - i + 1] AS INTEGER)
                 WHEN CAST(digits[length(digits) - i + 1] AS INTEGER) > 4
@@ -367,7 +389,7 @@ checked AS (
                 ELSE 2 * CAST(digits[length(digits) - i + 1] AS INTEGER) END)) % 10 = 0 AS luhn
   FROM charges),
 decided AS (
-  SELECT *, CASE WHEN card_type IS NULL OR NOT luhn THEN 'invalid' WHEN card_type = 'amex' THEN 'brand_not_accepted'
+  SELECT *, CASE WHEN card_type IS NULL OR NOT luhn THEN 'invalid' WHEN card_type IN ('amex', 'discover') THEN 'brand_not_accepted'
               WHEN 2024 * 12 + 1 > y * 12 + m THEN 'expired' ELSE 'accepted' END AS decision FROM checked)"""
 
 ORACLE = {
@@ -400,7 +422,7 @@ FROM converted WHERE v IS NOT NULL""",
 SELECT to_code AS currency_code, count(*) AS conversions FROM converted WHERE v IS NOT NULL GROUP BY 1""",
     "order_enrich": f"""WITH {_ITEMS}, {_PRODUCTS}
 SELECT order_id, product_id, CAST(quantity AS INTEGER) AS quantity, name, 'USD' AS currency_code, units, nanos
-FROM items JOIN products ON id = product_id WHERE {IN_CATALOG}""",
+FROM items JOIN products ON id = product_id""",
     "order_rejects": f"""WITH {_ITEMS}, {_PRODUCTS}
 SELECT order_id, count(*) AS missing FROM items
 WHERE product_id NOT IN (SELECT id FROM products WHERE {IN_CATALOG}) GROUP BY order_id""",
@@ -421,14 +443,17 @@ shipped AS (SELECT order_id, item_count, user_currency, total,
 added AS (SELECT *, total + CAST({_units('v')} AS HUGEINT) * 1000000000 + {_nanos('v')} AS grand FROM shipped)
 SELECT order_id, item_count, {_units('v')} AS shipping_units, user_currency AS currency_code,
        CAST(grand // 1000000000 AS BIGINT) AS units, CAST(grand % 1000000000 AS INTEGER) AS nanos FROM added""",
-    "order_assemble": f"""WITH {_ITEMS}, {_PRODUCTS},
-merged AS (SELECT order_id, product_id, CAST(sum(quantity) AS BIGINT) AS quantity FROM items GROUP BY 1, 2),
+    "order_assemble": f"""WITH {_RATES}, {_ITEMS}, {_PRODUCTS}, {_COSTED},
 packed AS (SELECT order_id, CAST(count(*) AS INTEGER) AS n_items,
-                  string_agg(product_id || ':' || quantity || ':' || units, ';' ORDER BY product_id) AS items
-           FROM merged JOIN products ON id = product_id GROUP BY order_id)
+                  string_agg(product_id || ':' || quantity || ':' || {_units('v')}, ';' ORDER BY product_id) AS items
+           FROM costed GROUP BY order_id)
 SELECT order_id, CAST(0 AS INTEGER) AS part, md5(order_id) AS shipping_tracking_id, o_orderkey % 90 AS shipping_units,
        CAST(o_custkey AS VARCHAR) AS zip_code, n_items, items
 FROM orders JOIN packed ON order_id = CAST(o_orderkey AS VARCHAR)""",
+    "order_lines": f"""WITH {_RATES}, {_ITEMS}, {_PRODUCTS}, {_COSTED}
+SELECT order_id, product_id, quantity, user_currency AS currency_code, {_units('v')} AS units, {_nanos('v')} AS nanos,
+       md5(order_id) AS shipping_tracking_id, CAST(o_custkey AS VARCHAR) AS zip_code
+FROM orders JOIN costed ON order_id = CAST(o_orderkey AS VARCHAR)""",
     "order_running_count": """SELECT o_orderkey, o_custkey, count(*) OVER (ORDER BY o_orderkey
        ROWS UNBOUNDED PRECEDING) AS running_count FROM orders""",
     "cart_item_count": f"WITH {_ITEMS}, {_COUNTS} SELECT order_id, item_count FROM counts",
@@ -452,7 +477,7 @@ SELECT *, round(CAST(units AS DOUBLE) + CAST(nanos AS DOUBLE) / CAST(1e9 AS DOUB
 SELECT query, id, name FROM products JOIN q ON contains(lower(name), lower(query))
                                           OR contains(lower(description), lower(query))""",
     "catalog_unviewed": f"""WITH {_PRODUCTS} SELECT id, name FROM products WHERE id NOT IN (
-  SELECT CAST(l_partkey AS VARCHAR) FROM lineitem WHERE l_discount = 0.1 AND l_tax = 0.08)""",
+  SELECT CAST(event_id % 150 AS VARCHAR) FROM events)""",
     "recommend_candidates": """WITH size AS (SELECT count(*) AS n FROM part),
 asked AS (SELECT DISTINCT event_id, unnest([user_id, event_id % 100, event_id % 37]) AS id FROM events),
 known AS (SELECT event_id, count(*) AS k FROM asked JOIN part ON p_partkey = id GROUP BY event_id)

@@ -72,7 +72,16 @@ def traces_json_ingest(spark, sf_dir):
 
 
 def logs_flatten(spark, sf_dir):
-    return flatten.logs(fixtures.events(spark, sf_dir), root=fixtures.log_root()).select(
+    return _scalar_logs(flatten.logs(fixtures.events(spark, sf_dir), root=fixtures.log_root()))
+
+
+def logs_json_ingest(spark, sf_dir):
+    lines = fixtures.events(spark, sf_dir).select(F.to_json(F.struct(fixtures.log_root().alias("resourceLogs"))).alias("value"))
+    return _scalar_logs(flatten.logs(lines, root=telemetry.payload("value", schemas.log_requests())))
+
+
+def _scalar_logs(logs):
+    return logs.select(
         attributes.attribute_as(F.col("resource.attributes"), "service.name", "stringValue", "string").alias("service"),
         F.col("scope.name").alias("scope_name"),
         attributes.attribute_as(F.col("attributes"), "user", "intValue", "bigint").alias("user"),
@@ -89,7 +98,16 @@ def logs_flatten(spark, sf_dir):
 
 
 def metrics_flatten(spark, sf_dir):
-    return flatten.metrics(fixtures.metric_requests(spark, sf_dir)).select(
+    return _scalar_metrics(flatten.metrics(fixtures.metric_requests(spark, sf_dir)))
+
+
+def metrics_json_ingest(spark, sf_dir):
+    lines = fixtures.metric_requests(spark, sf_dir).select(F.to_json(F.struct("resourceMetrics")).alias("value"))
+    return _scalar_metrics(flatten.metrics(lines, root=telemetry.payload("value", schemas.metric_requests())))
+
+
+def _scalar_metrics(metrics):
+    return metrics.select(
         "name",
         "description",
         "unit",
@@ -241,7 +259,9 @@ QUERIES = {
         spans_flatten,
         traces_json_ingest,
         logs_flatten,
+        logs_json_ingest,
         metrics_flatten,
+        metrics_json_ingest,
         span_name_normalize,
         span_attr,
         span_events,
@@ -418,3 +438,6 @@ FROM b GROUP BY 1, 2, 3, 4""",
     "trace_conformance": _conformance(),
     "trace_conformance_by_trace": _conformance("traceId"),
 }
+
+ORACLE["logs_json_ingest"] = ORACLE["logs_flatten"]
+ORACLE["metrics_json_ingest"] = ORACLE["metrics_flatten"]

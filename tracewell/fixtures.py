@@ -6,13 +6,14 @@ or metric each, which keeps the nesting a narrow step.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.schemas import SPAN, pick
-from tracewell.session import configure
+from tracewell.session import checkpoint_path, configure
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,14 +21,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table as a file stream."""
+    """A table as a file stream, whether it is one file or a folder of files."""
     schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+    reader = spark.readStream.schema(schema)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory():
+        return reader.parquet(f"{sf_dir}/{name}.parquet")
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+
+
+def replay(spark: SparkSession, sf_dir: str, name: str, order: str, batches: int = 3) -> DataFrame:
+    """A table as a stream of several micro-batches, the largest values of ``order`` first.
+
+    The whole table is laid out anew in as many files, below the checkpoint root.
+    """
+    rows = table(spark, sf_dir, name)
+    folder = checkpoint_path(spark, f"replay-{uuid.uuid4().hex}")
+    rows.repartitionByRange(batches, F.col(order).desc()).write.parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
 def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
-    """Events with span identity and nanosecond times."""
-    return (stream if streaming else table)(spark, sf_dir, "events").selectExpr(
+    """Events with span identity and nanosecond times; streamed in several batches, children before parents."""
+    source = replay(spark, sf_dir, "events", "event_id") if streaming else table(spark, sf_dir, "events")
+    return source.selectExpr(
         "*",
         "CAST(event_id DIV 4 AS STRING) AS traceId",
         "CAST(event_id AS STRING) AS spanId",
@@ -168,7 +185,6 @@ def products(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame
 def cart_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
-        .where("event_type IN ('click', 'view', 'purchase')")
         .selectExpr(
             "CAST(user_id AS STRING) AS user_id",
             "CAST(event_id % 7 AS STRING) AS product_id",

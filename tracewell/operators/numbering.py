@@ -10,17 +10,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK = 65_536
-HASH_BLOCKS = 65_536
 
 
 def running_count(df: DataFrame, position: str, name: str = "running_count", block: int = BLOCK) -> DataFrame:
     """``count(*) over (order by position)`` for an integer position such as a log offset.
 
     Offsets are unique, so a block holds at most ``block`` rows. The only unpartitioned window runs
-    over one row per ``block * block`` offsets.
+    over one row per ``block * block`` offsets. Rows without a position come first, as in SQL; rows that share
+    a position get consecutive counts in any order.
     """
     size = F.lit(block).cast("bigint")
-    blocked = df.withColumn("_block", F.floor(F.col(position) / size).cast("bigint"))
+    nulls = F.lit(-(1 << 62)).cast("bigint")  # they come first
+    blocked = df.withColumn("_block", F.coalesce(F.floor(F.col(position) / size).cast("bigint"), nulls))
     sizes = (
         blocked.groupBy("_block")
         .agg(F.count(F.lit(1)).alias("_rows"))

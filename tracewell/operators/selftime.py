@@ -38,7 +38,8 @@ def parent_sums(spans: DataFrame, *extra: Column) -> DataFrame:
 def operation_execution_time(spans: DataFrame) -> DataFrame:
     """Self time in milliseconds by operation name, as ``(name, elapsed)``."""
     slim = spans.select("traceId", "spanId", "parentSpanId", "name", "elapsedTimeMillis")
-    parents, children = parent_sums(slim), child_sums(slim)
+    # laid out by the join key, parents are grouped and joined without moving again
+    parents, children = parent_sums(slim.repartition("traceId", "spanId")), child_sums(slim)
     joined = parents.join(
         children,
         (parents["traceId"] == children["c_trace"]) & (parents["spanId"] == children["c_parent"]),

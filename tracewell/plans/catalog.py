@@ -14,6 +14,7 @@ from tracewell.operators import numbering
 RECOMMENDED = 5
 SHOWN = 4
 STRETCH = 256
+COPIES = 16
 
 
 def search(products: DataFrame, queries: Sequence[str]) -> DataFrame:
@@ -36,8 +37,9 @@ def search_counts(products: DataFrame, queries: Sequence[str]) -> DataFrame:
 
 
 def split_ids(product_ids: Column) -> Column:
-    """Requested ids; an entry may itself be a comma-separated list."""
-    return F.array_distinct(F.flatten(F.transform(product_ids, lambda i: F.split(i, ","))))
+    """Requested ids; an entry may itself be a comma-separated list. A null list is empty, null entries don't count."""
+    given = F.array_compact(F.coalesce(product_ids, F.array().cast("array<string>")))
+    return F.array_distinct(F.flatten(F.transform(given, lambda i: F.split(i, ","))))
 
 
 def unviewed(products: DataFrame, viewed: DataFrame) -> DataFrame:
@@ -65,36 +67,24 @@ def candidate_counts(requests: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def _stretches(catalog: DataFrame, size: Column) -> DataFrame:
-    """The laid-out catalog cut into overlapping stretches of ids: ``(stretch, ids)``.
+def _stretches(catalog: DataFrame) -> DataFrame:
+    """The laid-out catalog cut into stretches of ids, each repeated ``COPIES`` times: ``(stretch, copy, ids)``.
 
-    Stretch ``b`` holds the ``2 * STRETCH`` places from ``b * STRETCH``, around the end of the catalog
-    and on from its start, so that every walk of up to ``STRETCH`` places lies in one stretch.
+    The copies spread the requests of a stretch over tasks, also when the catalog is one stretch only.
     """
-    width = F.lit(STRETCH).cast("bigint")
-    own, last = (F.call_function("div", p, width) for p in (F.col("position"), size - F.lit(1)))
-    holders = F.array_distinct(F.array(own, own - F.lit(1), last, last - F.lit(1)))
-    held = (
-        catalog.select("product_id", "position", F.explode(holders).alias("stretch"))
-        .where(F.col("stretch").between(F.lit(0), last))
-        .withColumn("offset", F.pmod(F.col("position") - F.col("stretch") * width, size))
-    )
-    end = F.lit(2 * STRETCH - 1).cast("bigint")
-    repeated = held.where(F.col("offset") <= end).select(
-        "stretch", "product_id", F.explode(F.sequence("offset", end, size)).alias("offset")
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("offset", "product_id")))
-    return repeated.groupBy("stretch").agg(F.transform(ordered, lambda e: e["product_id"]).alias("ids"))
+    ordered = F.array_sort(F.collect_list(F.struct("position", "product_id")))
+    own = F.call_function("div", F.col("position"), F.lit(STRETCH).cast("bigint"))
+    cut = catalog.groupBy(own.alias("stretch")).agg(F.transform(ordered, lambda e: e["product_id"]).alias("ids"))
+    return cut.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
 
 
 def recommend(requests: DataFrame, products: DataFrame, k: int = RECOMMENDED, seed: str = "") -> DataFrame:
     """Up to ``k`` products per request that were not asked for: ``(request_id, rank, product_id)``.
 
     The catalog is laid out in a fixed random order. A request starts at a hashed place and takes the
-    next products, skipping its own; ``k`` plus its own number of places always suffices. The walk is
-    done on one stretch of the catalog that the request is joined to, so each request is shuffled once
-    and none meets the whole catalog. Requests that ask for more products than a stretch holds walk
-    place by place instead.
+    next products, around the end and on from the start, skipping its own; ``k`` plus its own number of places
+    always suffices. Its walk is cut at the borders of stretches, joined to each stretch it touches (one or
+    two, unless it asks for hundreds of products), and put together again in order.
     """
     ids = products.select(F.col("id").alias("product_id")).distinct()
     catalog = numbering.shuffled_positions(ids, "product_id")
@@ -103,34 +93,27 @@ def recommend(requests: DataFrame, products: DataFrame, k: int = RECOMMENDED, se
         "request_id",
         split_ids(F.col("product_ids")).alias("asked"),
         F.try_mod(text.unit_hash(F.col("request_id"), seed=seed), size).alias("start"),
+        size.alias("size"),
     ).where(F.col("start").isNotNull())
-    steps = F.least(size, (F.size("asked") + F.lit(k)).cast("bigint"))
-    walks = placed.withColumn("steps", steps)
-    short, long = walks.where(F.col("steps") <= STRETCH), walks.where(F.col("steps") > STRETCH)
-    return _walk_stretch(short, catalog, size, k).unionByName(_walk_places(long, catalog, size, k))
-
-
-def _walk_stretch(walks: DataFrame, catalog: DataFrame, size: Column, k: int) -> DataFrame:
-    width = F.lit(STRETCH).cast("bigint")
-    joined = walks.withColumn("stretch", F.call_function("div", F.col("start"), width)).join(
-        _stretches(catalog, size), "stretch"
+    zero, width = F.lit(0).cast("bigint"), F.lit(STRETCH).cast("bigint")
+    end = F.col("start") + F.least(F.col("size"), (F.size("asked") + F.lit(k)).cast("bigint"))
+    leg = lambda a, b, step: F.struct(a.alias("from"), b.alias("to"), step.alias("step"))
+    ahead = leg(F.col("start"), F.least(end, F.col("size")), zero)
+    around = leg(zero, end - F.col("size"), F.col("size") - F.col("start"))
+    legs = placed.select("request_id", "asked", F.inline(F.array(ahead, around))).where("from < to")
+    first, last = (F.call_function("div", p, width) for p in (F.col("from"), F.col("to") - F.lit(1).cast("bigint")))
+    parts = legs.withColumn("stretch", F.explode(F.sequence(first, last))).withColumn(
+        "copy", F.pmod(F.xxhash64("request_id"), F.lit(COPIES)).cast("int")
     )
-    passed = F.slice("ids", (F.col("start") % width + F.lit(1)).cast("int"), F.col("steps").cast("int"))
-    free = F.filter(passed, lambda p: ~F.array_contains("asked", p))
-    return joined.select("request_id", F.posexplode(F.slice(free, 1, k)).alias("place", "product_id")).select(
-        "request_id", (F.col("place") + F.lit(1)).alias("rank"), "product_id"
+    begin = F.greatest(F.col("from"), F.col("stretch") * width)
+    stop = F.least(F.col("to"), (F.col("stretch") + 1) * width)
+    passed = F.slice("ids", (begin - F.col("stretch") * width + 1).cast("int"), (stop - begin).cast("int"))
+    free = F.slice(F.filter(passed, lambda p: ~F.array_contains("asked", p)), 1, k)
+    met = parts.join(_stretches(catalog), ["stretch", "copy"]).select(
+        "request_id", (F.col("step") + begin - F.col("from")).alias("step"), F.posexplode(free).alias("place", "product_id")
     )
-
-
-def _walk_places(walks: DataFrame, catalog: DataFrame, size: Column, k: int) -> DataFrame:
-    zero, one = (F.lit(n).cast("bigint") for n in (0, 1))
-    places = walks.select(
-        "request_id", "asked", "start", F.explode(F.sequence(zero, F.col("steps") - one)).alias("step")
-    ).withColumn("position", (F.col("start") + F.col("step")) % size)
-    free = places.join(catalog, "position").where(~F.array_contains("asked", F.col("product_id")))
-    rank = F.row_number().over(Window.partitionBy("request_id").orderBy("step"))
-    ranked = free.select("request_id", rank.alias("rank"), "product_id")
-    return ranked.where(F.col("rank") <= k)
+    rank = F.row_number().over(Window.partitionBy("request_id").orderBy("step", "place"))
+    return met.select("request_id", rank.alias("rank"), "product_id").where(F.col("rank") <= k)
 
 
 def shown(recommended: DataFrame, products: DataFrame, limit: int = SHOWN) -> DataFrame:

@@ -9,11 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions import money
-from tracewell.operators import skew
 from tracewell.plans import currency, shipping
 
-ITEMS_PER_PART = 10_000
-
 
 def enrich(items: DataFrame, products: DataFrame) -> DataFrame:
     """Items whose product is in the catalog, with the product's columns.
@@ -37,7 +34,7 @@ def failed_orders(items: DataFrame, products: DataFrame) -> DataFrame:
 def complete_orders(items: DataFrame, products: DataFrame) -> DataFrame:
     """Enriched items of the orders without a missing product."""
     failed = failed_orders(items, products).select("order_id")
-    return skew.salted_join(enrich(items, products), failed, "order_id", spread="product_id", how="left_anti")
+    return enrich(items, products).join(failed, "order_id", "left_anti")
 
 
 def sum_money(df: DataFrame, by: str, amount: str = "amount") -> DataFrame:
@@ -66,12 +63,11 @@ def sum_money(df: DataFrame, by: str, amount: str = "amount") -> DataFrame:
 
 
 def localize_items(items: DataFrame, products: DataFrame, rates: DataFrame) -> DataFrame:
-    """Enriched items with ``cost``, the unit price in the order's ``user_currency``.
+    """Enriched items of complete orders with ``cost``, the unit price in the order's ``user_currency``.
 
     Checkout always converts, also from dollars to dollars.
     """
-    enriched = enrich(items, products)
-    return currency.with_converted(enriched, rates, F.col("price_usd"), F.col("user_currency"), "cost")
+    return currency.with_converted(complete_orders(items, products), rates, F.col("price_usd"), F.col("user_currency"), "cost")
 
 
 def totals(items: DataFrame, products: DataFrame, rates: DataFrame, cost_per_item: Column | float) -> DataFrame:
@@ -103,31 +99,26 @@ def totals(items: DataFrame, products: DataFrame, rates: DataFrame, cost_per_ite
 
 
 def merge_items(items: DataFrame) -> DataFrame:
-    """One row per order and product; quantities of repeated products add up."""
-    return items.groupBy("order_id", "product_id").agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
+    """One row per order, its currency and product; quantities of repeated products add up."""
+    by = [c for c in ("order_id", "user_currency", "product_id") if c in items.columns]
+    return items.groupBy(*by).agg(F.sum(F.col("quantity").cast("bigint")).alias("quantity"))
 
 
-def oversized(lines: DataFrame, items_per_part: int = ITEMS_PER_PART) -> DataFrame:
-    """Orders with too many lines for one record: ``(order_id, parts)``. Usually empty."""
-    counted = lines.groupBy("order_id").agg(F.count(F.lit(1)).alias("lines"))
-    return counted.where(F.col("lines") > items_per_part).select(
-        "order_id", F.ceil(F.col("lines") / F.lit(items_per_part)).alias("parts")
-    )
+def lines(items: DataFrame, headers: DataFrame) -> DataFrame:
+    """Orders as flat rows: every costed item with its order's header, however many items an order has."""
+    return items.select("order_id", "product_id", "quantity", "cost").join(headers, "order_id")
 
 
-def assemble(items: DataFrame, headers: DataFrame, large: DataFrame) -> DataFrame:
+def assemble(items: DataFrame, headers: DataFrame, parts: int = 1) -> DataFrame:
     """Nested order records from costed items ``(order_id, product_id, quantity, cost)`` and headers
     ``(order_id, shipping_tracking_id, shipping_cost, shipping_address)``.
 
-    An ordinary order is one record with ``part`` 0. The orders of :func:`oversized` are spread by
-    product over several records, so that no group is collected without a bound.
+    Every order is ``parts`` records or fewer, its items dealt by product, whatever its size; the record holds
+    its items in memory. Where orders have no bound, :func:`lines` gives the same as flat rows.
     """
-    parted = skew.salted_join(items, large, "order_id", spread="product_id", how="left").withColumn(
-        "part",
-        F.coalesce(F.pmod(F.xxhash64("product_id"), F.col("parts")), F.lit(0)).cast("int"),
-    )
+    part = F.pmod(F.xxhash64("product_id"), F.lit(parts)).cast("int")
     entry = F.struct(
         F.struct("product_id", F.col("quantity").cast("int").alias("quantity")).alias("item"), "cost"
     )
-    grouped = parted.groupBy("order_id", "part").agg(F.array_sort(F.collect_list(entry)).alias("items"))
+    grouped = items.groupBy("order_id", part.alias("part")).agg(F.array_sort(F.collect_list(entry)).alias("items"))
     return headers.join(grouped, "order_id")

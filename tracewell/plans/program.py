@@ -77,19 +77,25 @@ def register(spark: SparkSession, **inputs: DataFrame) -> dict[str, DataFrame]:
 
 
 def run_batch(store: str, only: Iterable[str] = MAINTAINED, **inputs: DataFrame) -> list[str]:
-    """Write the maintained views below ``store``. ``spans`` are written first and the aggregates read
-    them back, so requests are parsed and flattened once."""
+    """Write the maintained views named in ``only`` below ``store``. The aggregates read the stored ``spans``, which are
+    written first if they are asked for or not there yet, so requests are parsed and flattened once. Spans and logs
+    lie in folders by date."""
     wanted = set(only)
     found = views(**inputs)
     written = []
-    for name in ("metrics", "logs"):
-        if name in wanted and name in found:
-            tables.write(found[name], store, name)
-            written.append(name)
-    if "spans" in found:
-        tables.write(tables.with_date(found["spans"]), store, "spans", partition_by=("event_date",))
-        written.append("spans")
-        spans = tables.read(found["spans"].sparkSession, store, "spans")
+    if "metrics" in wanted and "metrics" in found:
+        tables.write(found["metrics"], store, "metrics")
+        written.append("metrics")
+    if "logs" in wanted and "logs" in found:
+        tables.write(tables.with_log_date(found["logs"]), store, "logs", partition_by=(tables.EVENT_DATE,))
+        written.append("logs")
+    aggregated = wanted & {"p95_latency", "throughput", "operation_execution_time"}
+    if "spans" in found and (aggregated or "spans" in wanted):
+        spark = found["spans"].sparkSession
+        if "spans" in wanted or not tables.exists(spark, store, "spans"):
+            tables.write(tables.with_date(found["spans"]), store, "spans", partition_by=(tables.EVENT_DATE,))
+            written.append("spans")
+        spans = tables.read(spark, store, "spans")
         aggregates = {
             "p95_latency": latency.p95_latency(spans),
             "throughput": latency.throughput(spans),

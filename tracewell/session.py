@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -26,13 +27,13 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for stream checkpoints.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that setting
-    gets a temporary folder; on a cluster a machine-local folder would be lost with its host.
+    The cluster names it in ``spark.checkpoint.dir``. Only a single-process session without that setting,
+    as in tests, gets a temporary folder; on a cluster a machine-local folder would be lost with its host.
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
     created = tempfile.mkdtemp(prefix="tracewell-")
     spark.conf.set(CHECKPOINT_KEY, created)

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tracewell.sinks import tables
 
@@ -22,51 +23,60 @@ def write(df: DataFrame, store: str, name: str, batch_id: int, partition_by: Seq
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{tables.path(store, name)}/{BATCH}={batch_id}")
 
 
-def read(spark: SparkSession, store: str, name: str) -> DataFrame:
-    """All batches of a log, with their ``batch_id``."""
-    return tables.read(spark, store, name)
+def read(spark: SparkSession, store: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """All finished batches of a log, with their ``batch_id``. ``schema`` is that of the written rows; with it a log
+    none of whose batches holds a row can be read too."""
+    folder = tables.path(store, name)
+    return _folders(spark, folder, BATCH, _numbered(spark, folder, BATCH), schema)
+
+
+def _folders(spark: SparkSession, folder: str, key: str, numbers: list[int], schema: StructType | None) -> DataFrame:
+    if schema is not None:
+        schema = StructType([*(f for f in schema.fields if f.name != BATCH), StructField(BATCH, IntegerType())])
+        if not numbers:
+            return spark.createDataFrame([], schema)
+    elif not numbers:
+        raise FileNotFoundError(f"{folder} has no finished batch")
+    reader = spark.read.option("basePath", folder)
+    return (reader if schema is None else reader.schema(schema)).parquet(*(f"{folder}/{key}={n}" for n in numbers))
 
 
 def _numbered(spark: SparkSession, folder: str, key: str) -> list[int]:
-    """Numbers ``n`` of the finished ``key=n`` folders, listed through the store's own file system."""
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    root = Path(folder)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(root):
-        return []
-    names = (status.getPath() for status in files.listStatus(root))
-    return sorted(
-        int(p.getName().split("=")[1])
-        for p in names
-        if p.getName().startswith(f"{key}=") and files.exists(Path(p, "_SUCCESS"))
-    )
-
-
-def _rows(spark: SparkSession, store: str, name: str, upto: int | None = None) -> DataFrame:
+    """Numbers ``n`` of the finished ``key=n`` folders, found by one listing of the store's own file system."""
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{key}=*/_SUCCESS")
+    found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done)
+    return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or ())
+
+
+def rows(spark: SparkSession, store: str, name: str, upto: int | None = None, schema: StructType | None = None) -> DataFrame:
     """The newest base and the batches after it, not beyond ``upto``."""
     folder = tables.path(store, name)
     bases = [b for b in _numbered(spark, f"{folder}_base", UPTO) if upto is None or b < upto]
     start = bases[-1] if bases else -1
     batches = [b for b in _numbered(spark, folder, BATCH) if b > start and (upto is None or b <= upto)]
-    found = None
+    found = _folders(spark, folder, BATCH, batches, schema).drop(BATCH) if batches or not bases else None
     if bases:
-        found = spark.read.parquet(f"{folder}_base/{UPTO}={start}")
-    if batches:
-        later = spark.read.parquet(*(f"{folder}/{BATCH}={b}" for b in batches))
-        found = later if found is None else found.unionByName(later)
-    if found is None:
-        raise FileNotFoundError(f"{folder} has no finished batch")
+        base = _folders(spark, f"{folder}_base", UPTO, bases[-1:], schema).drop(BATCH, UPTO)
+        found = base if found is None else found.unionByName(base)
     return found
 
 
 def merged(spark: SparkSession, store: str, name: str, fold: Fold) -> DataFrame:
     """The log folded. ``fold`` must give the same result when it is applied to partly folded rows, as
     sums per key do."""
-    return fold(_rows(spark, store, name))
+    return fold(rows(spark, store, name))
 
 
-def compact(spark: SparkSession, store: str, name: str, upto: int, fold: Fold) -> None:
-    """Fold the batches up to ``upto`` into a new base. The previous base and the batches stay readable
-    until the new one is complete."""
-    target = f"{tables.path(store, name)}_base/{UPTO}={upto}"
-    fold(_rows(spark, store, name, upto)).write.mode("overwrite").parquet(target)
+def compact(
+    spark: SparkSession, store: str, name: str, upto: int, fold: Fold, schema: StructType | None = None
+) -> None:
+    """Fold the batches up to ``upto`` into a new base. The previous base and the batches since it stay, for readers
+    that have listed them; what the previous base had folded goes."""
+    folder = tables.path(store, name)
+    older = [b for b in _numbered(spark, f"{folder}_base", UPTO) if b < upto]
+    fold(rows(spark, store, name, upto, schema)).write.mode("overwrite").parquet(f"{folder}_base/{UPTO}={upto}")
+    if older:
+        gone = [f"{folder}/{BATCH}={b}" for b in _numbered(spark, folder, BATCH) if b <= older[-1]]
+        gone += [f"{folder}_base/{UPTO}={b}" for b in older[:-1]]
+        for place in map(spark._jvm.org.apache.hadoop.fs.Path, gone):
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -19,6 +19,17 @@ def with_date(spans: DataFrame) -> DataFrame:
     return spans.withColumn(EVENT_DATE, F.col("eventTime").cast("date"))
 
 
+def with_log_date(logs: DataFrame) -> DataFrame:
+    """Add the partition column of log records; records without a time lie in one folder."""
+    seconds = (F.col("timeUnixNano").try_cast("bigint") / F.lit(1_000_000_000)).cast("bigint")
+    return logs.withColumn(EVENT_DATE, F.date_from_unix_date(F.floor(seconds / F.lit(86_400)).cast("int")))
+
+
+def exists(spark: SparkSession, store: str, name: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path(store, name)}/_SUCCESS")
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def write(
     df: DataFrame, store: str, name: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:

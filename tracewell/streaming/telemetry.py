@@ -7,11 +7,13 @@ their window whenever they arrive, no operator state grows, and a replayed batch
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType, TimestampNTZType
 
 from tracewell.operators import flatten, latency, selftime
 from tracewell.sinks import deltas, tables
@@ -55,7 +57,9 @@ def append_spans(
 def append_logs(
     requests: DataFrame, store: str, checkpoint: str, root: Column | str = "resourceLogs", **trigger
 ) -> StreamingQuery:
-    return append_table(flatten.logs(requests, root), store, "logs", checkpoint, **trigger)
+    """The flat ``logs`` table, one folder per date."""
+    logs = tables.with_log_date(flatten.logs(requests, root))
+    return append_table(logs, store, "logs", checkpoint, partition_by=(tables.EVENT_DATE,), **trigger)
 
 
 def append_metrics(
@@ -96,33 +100,76 @@ def fold_deltas(rows: DataFrame) -> DataFrame:
     return rows.groupBy("name").agg(F.sum("delta").alias("delta"))
 
 
+def fold_parents(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("traceId", "spanId", "name", SEEN_DATE).agg(
+        F.sum("own_ms").alias("own_ms"), F.sum("timed").alias("timed"), F.max("seen").alias("seen")
+    )
+
+
+def fold_children(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("c_trace", "c_parent", SEEN_DATE).agg(
+        F.sum("child_ms").alias("child_ms"), F.max("seen").alias("seen")
+    )
+
+
+# Fixed by the folds: what the pairing logs hold.
+PARENT_ROWS = (
+    StructType()
+    .add("traceId", "string")
+    .add("spanId", "string")
+    .add("name", "string")
+    .add("own_ms", "long")
+    .add("timed", "long")
+    .add("seen", TimestampNTZType())
+    .add(SEEN_DATE, "date")
+)
+CHILD_ROWS = (
+    StructType()
+    .add("c_trace", "string")
+    .add("c_parent", "string")
+    .add("child_ms", "long")
+    .add("seen", TimestampNTZType())
+    .add(SEEN_DATE, "date")
+)
+
+
 def _add_self_time(spans: DataFrame, store: str, batch_id: int, lateness: timedelta | None) -> None:
     """Contributions of one batch: own durations, minus those of children for every parent/child pair
     in which at least one side is new. Earlier sides are read from earlier batches only, so a replay
-    sees what the first attempt saw.
+    sees what the first attempt saw, and are cut to the keys of this batch before they are grouped.
 
     A pair may be split over batches by any distance. With ``lateness`` only earlier rows seen at most
     that long before this batch are read; the folders of older dates are skipped.
     """
     spark = spans.sparkSession
     seen = F.max("eventTime").alias("seen")
-    for name, sums in ((PARENTS, selftime.parent_sums(spans, seen)), (CHILDREN, selftime.child_sums(spans, seen))):
+    new = {}
+    for name, sums, schema in (
+        (PARENTS, selftime.parent_sums(spans, seen), PARENT_ROWS),
+        (CHILDREN, selftime.child_sums(spans, seen), CHILD_ROWS),
+    ):
         dated = sums.withColumn(SEEN_DATE, F.col("seen").cast("date"))
         deltas.write(dated, store, name, batch_id, partition_by=(SEEN_DATE,))
-    is_new = F.col(deltas.BATCH) == batch_id
-    wanted = F.col(deltas.BATCH) < batch_id
-    if lateness is not None:
-        first = spans.agg(F.min("eventTime")).first()[0]
-        if first is not None:
-            oldest = F.lit(str(first - lateness)).cast("timestamp_ntz")
-            wanted = wanted & (F.col(SEEN_DATE) >= oldest.cast("date")) & (F.col("seen") >= oldest)
-    parents, children = deltas.read(spark, store, PARENTS), deltas.read(spark, store, CHILDREN)
-    new_parents, old_parents = parents.where(is_new), parents.where(wanted)
-    new_children, old_children = children.where(is_new), children.where(wanted)
+        written = deltas.read(spark, store, name, schema)
+        new[name] = written.where(F.col(deltas.BATCH) == batch_id).drop(deltas.BATCH)
+    first = spans.agg(F.min("eventTime")).first()[0] if lateness is not None else None
+
+    def earlier(name: str, schema: StructType) -> DataFrame:
+        rows = deltas.rows(spark, store, name, batch_id - 1, schema)
+        if first is None:
+            return rows
+        oldest = F.lit(str(first - lateness)).cast("timestamp_ntz")
+        return rows.where((F.col(SEEN_DATE) >= oldest.cast("date")) & (F.col("seen") >= oldest))
+
+    parents, children = new[PARENTS], new[CHILDREN]
+    wanted = parents.select(F.col("traceId").alias("c_trace"), F.col("spanId").alias("c_parent")).distinct()
+    old_children = earlier(CHILDREN, CHILD_ROWS).join(wanted, ["c_trace", "c_parent"], "left_semi")
+    asking = children.select(F.col("c_trace").alias("traceId"), F.col("c_parent").alias("spanId")).distinct()
+    old_parents = earlier(PARENTS, PARENT_ROWS).join(asking, ["traceId", "spanId"], "left_semi")
     changes = [
-        new_parents.groupBy("name").agg(F.sum("own_ms").alias("delta")),
-        selftime.signed_deltas(new_parents, selftime.merge_children(old_children.unionByName(new_children))),
-        selftime.signed_deltas(selftime.merge_parents(old_parents), new_children),
+        parents.groupBy("name").agg(F.sum("own_ms").alias("delta")),
+        selftime.signed_deltas(parents, selftime.merge_children(old_children.unionByName(children))),
+        selftime.signed_deltas(selftime.merge_parents(old_parents), children),
     ]
     combined = changes[0].unionByName(changes[1]).unionByName(changes[2])
     deltas.write(fold_deltas(combined), store, SELF_DELTAS, batch_id)
@@ -137,19 +184,26 @@ def maintain(
     root: Column | str = "resourceSpans",
     available_now: bool = False,
     interval: str = "10 seconds",
+    tables_kept: Sequence[str] = (COUNTS, SELF_DELTAS),
+    compact_every: int = 64,
 ) -> StreamingQuery:
     """Keep latency, throughput and self time up to date from a stream of trace requests.
 
-    Narrow the source to :data:`tracewell.operators.selftime.SPAN_FIELDS`; nothing else is read.
+    ``tables_kept`` names what is wanted: counts per window and latency, self time, or both. After every
+    ``compact_every`` batches the finished ones are folded, and what an earlier fold had replaced is deleted. Narrow the source to :data:`tracewell.operators.selftime.SPAN_FIELDS`; nothing else is read.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spans = batch.persist()
         try:
-            deltas.write(latency.latency_counts(spans, width), store, COUNTS, batch_id)
-            _add_self_time(spans, store, batch_id, lateness)
+            if COUNTS in tables_kept:
+                deltas.write(latency.latency_counts(spans, width), store, COUNTS, batch_id)
+            if SELF_DELTAS in tables_kept:
+                _add_self_time(spans, store, batch_id, lateness)
         finally:
             spans.unpersist()
+        if batch_id and batch_id % compact_every == 0:
+            compact(batch.sparkSession, store, batch_id - 1, tables_kept)
 
     slim = flatten.spans(requests, on_bad_record="null", root=root).select(
         "traceId", "spanId", "parentSpanId", "name", "elapsedTimeMillis", "eventTime"
@@ -176,7 +230,11 @@ def operation_execution_time(spark: SparkSession, store: str) -> DataFrame:
     return deltas.merged(spark, store, SELF_DELTAS, fold_deltas).select("name", F.col("delta").alias("elapsed"))
 
 
-def compact(spark: SparkSession, store: str, upto: int) -> None:
-    """Fold the change logs up to a finished batch, so reads stay short."""
-    deltas.compact(spark, store, COUNTS, upto, fold_counts)
-    deltas.compact(spark, store, SELF_DELTAS, upto, fold_deltas)
+def compact(spark: SparkSession, store: str, upto: int, tables_kept: Sequence[str] = (COUNTS, SELF_DELTAS)) -> None:
+    """Fold the change logs up to a finished batch, so reads stay short and pairing reads each key once."""
+    if COUNTS in tables_kept:
+        deltas.compact(spark, store, COUNTS, upto, fold_counts)
+    if SELF_DELTAS in tables_kept:
+        deltas.compact(spark, store, SELF_DELTAS, upto, fold_deltas)
+        deltas.compact(spark, store, PARENTS, upto, fold_parents, PARENT_ROWS)
+        deltas.compact(spark, store, CHILDREN, upto, fold_children, CHILD_ROWS)
