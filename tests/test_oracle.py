@@ -9,11 +9,11 @@ import os
 import duckdb
 import pytest
 
-from tracewell.catalogue import shop, streams, telemetry
+from tracewell.catalogue import shop, stores, streams, telemetry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = {**telemetry.QUERIES, **shop.QUERIES, **streams.QUERIES}
-ORACLE = {**telemetry.ORACLE, **shop.ORACLE, **streams.ORACLE}
+QUERIES = {**telemetry.QUERIES, **shop.QUERIES, **streams.QUERIES, **stores.QUERIES}
+ORACLE = {**telemetry.ORACLE, **shop.ORACLE, **streams.ORACLE, **stores.ORACLE}
 
 
 @pytest.fixture(scope="module")

@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewell import fixtures, schemas
+from tracewell.catalogue import streams
+from tracewell.catalogue import telemetry as telemetry_queries
 from tracewell.operators import flatten, latency, selftime
 from tracewell.plans import cart, dashboard
 from tracewell.sinks import deltas, tables
@@ -92,6 +94,37 @@ def test_replayed_batch_changes_nothing(spark, request_files, tmp_path):
     assert rows(stream.operation_execution_time(spark, store)) == rows(selftime.operation_execution_time(spans))
 
 
+def test_empty_first_batch_and_unfinished_batches(spark, request_files, tmp_path):
+    store = str(tmp_path / "store")
+    spans = flatten.spans(telemetry.traces(spark, request_files)).drop("resource", "scope", "attributes", "events")
+    for batch_id, part in enumerate((spans.where("false"), spans)):
+        stream._add_self_time(part, store, batch_id, lateness=None)
+    (tmp_path / "store" / stream.SELF_DELTAS / "batch_id=2").mkdir()  # without _SUCCESS: not finished
+    assert deltas.read(spark, store, stream.SELF_DELTAS).select("batch_id").distinct().count() <= 2
+    assert rows(stream.operation_execution_time(spark, store)) == rows(selftime.operation_execution_time(spans))
+
+
+def test_streams_read_folders_of_files_in_several_batches(spark, tmp_path):
+    fixtures.table(spark, SF, "events").repartition(4).write.parquet(str(tmp_path / "events.parquet"))
+    assert fixtures.stream(spark, str(tmp_path), "events").isStreaming
+    store = streams._maintained(spark, str(tmp_path), "1 day", stream.SELF_DELTAS)
+    assert deltas.read(spark, store, stream.SELF_DELTAS).select("batch_id").distinct().count() == 3
+    got = stream.operation_execution_time(spark, store)
+    assert rows(got) == rows(telemetry_queries.operation_execution_time(spark, SF))
+
+
+def test_scheduled_compaction_keeps_results_and_deletes_folded_batches(spark, request_files, tmp_path):
+    store = str(tmp_path / "store")
+    source = telemetry.traces(
+        spark, request_files, fields=selftime.SPAN_FIELDS, envelope=False, stream=True, maxFilesPerTrigger="1"
+    )
+    stream.maintain(source, store, str(tmp_path / "cp"), available_now=True, compact_every=2).awaitTermination()
+    spans = flatten.spans(telemetry.traces(spark, request_files))
+    assert rows(stream.operation_execution_time(spark, store)) == rows(selftime.operation_execution_time(spans))
+    assert rows(stream.throughput(spark, store)) == rows(latency.throughput(spans))
+    assert sorted(p.name for p in (tmp_path / "store" / stream.COUNTS).iterdir()) == [f"batch_id={i}" for i in (2, 3, 4)]
+
+
 def test_flat_tables_append(spark, request_files, tmp_path):
     store = str(tmp_path / "store")
     source = telemetry.traces(spark, request_files, stream=True, maxFilesPerTrigger="2")
@@ -212,7 +245,7 @@ def test_cart_stream_equals_batch(spark, tmp_path):
         source = spark.readStream.schema(schemas.CART_EVENT).option("maxFilesPerTrigger", 1).json(str(tmp_path))
         seen = []
         query = (
-            cart_stream.carts(source)
+            cart_stream.carts(source, lateness="0 seconds")
             .writeStream.outputMode("update")
             .foreachBatch(lambda df, i: seen.extend((i, r) for r in df.collect()))
             .option("checkpointLocation", str(tmp_path / "cp"))

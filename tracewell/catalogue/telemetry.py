@@ -72,15 +72,15 @@ def traces_json_ingest(spark, sf_dir):
 
 
 def logs_flatten(spark, sf_dir):
-    return _scalar_logs(flatten.logs(fixtures.events(spark, sf_dir), root=fixtures.log_root()))
+    return scalar_logs(flatten.logs(fixtures.events(spark, sf_dir), root=fixtures.log_root()))
 
 
 def logs_json_ingest(spark, sf_dir):
     lines = fixtures.events(spark, sf_dir).select(F.to_json(F.struct(fixtures.log_root().alias("resourceLogs"))).alias("value"))
-    return _scalar_logs(flatten.logs(lines, root=telemetry.payload("value", schemas.log_requests())))
+    return scalar_logs(flatten.logs(lines, root=telemetry.payload("value", schemas.log_requests())))
 
 
-def _scalar_logs(logs):
+def scalar_logs(logs):
     return logs.select(
         attributes.attribute_as(F.col("resource.attributes"), "service.name", "stringValue", "string").alias("service"),
         F.col("scope.name").alias("scope_name"),
@@ -98,15 +98,15 @@ def _scalar_logs(logs):
 
 
 def metrics_flatten(spark, sf_dir):
-    return _scalar_metrics(flatten.metrics(fixtures.metric_requests(spark, sf_dir)))
+    return scalar_metrics(flatten.metrics(fixtures.metric_requests(spark, sf_dir)))
 
 
 def metrics_json_ingest(spark, sf_dir):
     lines = fixtures.metric_requests(spark, sf_dir).select(F.to_json(F.struct("resourceMetrics")).alias("value"))
-    return _scalar_metrics(flatten.metrics(lines, root=telemetry.payload("value", schemas.metric_requests())))
+    return scalar_metrics(flatten.metrics(lines, root=telemetry.payload("value", schemas.metric_requests())))
 
 
-def _scalar_metrics(metrics):
+def scalar_metrics(metrics):
     return metrics.select(
         "name",
         "description",

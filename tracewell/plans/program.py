@@ -76,12 +76,14 @@ def register(spark: SparkSession, **inputs: DataFrame) -> dict[str, DataFrame]:
     return found
 
 
-def run_batch(store: str, only: Iterable[str] = MAINTAINED, **inputs: DataFrame) -> list[str]:
+def run_batch(
+    store: str, only: Iterable[str] = MAINTAINED, window: str = latency.WINDOW_WIDTH, **inputs: DataFrame
+) -> list[str]:
     """Write the maintained views named in ``only`` below ``store``. The aggregates read the stored ``spans``, which are
     written first if they are asked for or not there yet, so requests are parsed and flattened once. Spans and logs
     lie in folders by date."""
     wanted = set(only)
-    found = views(**inputs)
+    found = views(**inputs, window=window)
     written = []
     if "metrics" in wanted and "metrics" in found:
         tables.write(found["metrics"], store, "metrics")
@@ -97,8 +99,8 @@ def run_batch(store: str, only: Iterable[str] = MAINTAINED, **inputs: DataFrame)
             written.append("spans")
         spans = tables.read(spark, store, "spans")
         aggregates = {
-            "p95_latency": latency.p95_latency(spans),
-            "throughput": latency.throughput(spans),
+            "p95_latency": latency.p95_latency(spans, window),
+            "throughput": latency.throughput(spans, window),
             "operation_execution_time": selftime.operation_execution_time(spans),
         }
         for name, df in aggregates.items():

@@ -26,20 +26,20 @@ class CartProcessor(StatefulProcessor):
     limit of the micro-batch, set on the source."""
 
     def __init__(self, ttl: timedelta = TIME_TO_LIVE):
-        self._ttl_ms = int(ttl.total_seconds() * 1000)
+        self._ttl_us = ttl // timedelta(microseconds=1)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
         self._items = handle.getMapState("items", "product_id string", "quantity bigint")
-        self._written = handle.getValueState("written", "at_ms bigint")
+        self._written = handle.getValueState("written", "at_us bigint")
 
-    def _rows(self, user: str, changed: dict[str, int], at_ms: int) -> pd.DataFrame:
+    def _rows(self, user: str, changed: dict[str, int], at_us: int) -> pd.DataFrame:
         return pd.DataFrame(
             {
                 "user_id": pd.Series([user] * len(changed), dtype=object),
                 "product_id": pd.Series(list(changed), dtype=object),
                 "quantity": pd.Series(list(changed.values()), dtype="int64"),
-                "as_of": pd.to_datetime([at_ms] * len(changed), unit="ms"),
+                "as_of": pd.to_datetime([at_us] * len(changed), unit="us"),
             }
         )
 
@@ -48,18 +48,19 @@ class CartProcessor(StatefulProcessor):
             changed[product] = 0
         self._items.clear()
 
-    def _reset_timer(self, at_ms: int) -> None:
+    def _reset_timer(self, at_us: int) -> None:
+        """A cart ends once more than the time to live has passed; timers count whole milliseconds."""
         for timer in list(self._handle.listTimers()):
             self._handle.deleteTimer(timer)
-        self._handle.registerTimer(at_ms + self._ttl_ms)
+        self._handle.registerTimer((at_us + self._ttl_us) // 1000 + 1)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         writes = pd.concat(list(rows)).sort_values(["event_time", "seq"])
         changed: dict[str, int] = {}
         last = self._written.get()[0] if self._written.exists() else None
         for write in writes.itertuples(index=False):
-            at_ms = int(write.event_time.timestamp() * 1000)
-            if last is not None and at_ms - last > self._ttl_ms:
+            at_us = write.event_time.value // 1000
+            if last is not None and at_us - last > self._ttl_us:
                 self._clear(changed)
             if write.kind == EMPTY:
                 self._clear(changed)
@@ -67,7 +68,7 @@ class CartProcessor(StatefulProcessor):
                 held = self._items.getValue((write.product_id,))[0] if self._items.containsKey((write.product_id,)) else 0
                 changed[write.product_id] = held + int(write.quantity)
                 self._items.updateValue((write.product_id,), (changed[write.product_id],))
-            last = at_ms if last is None else max(last, at_ms)
+            last = at_us if last is None else max(last, at_us)
         self._written.update((last,))
         self._reset_timer(last)
         yield self._rows(key[0], changed, last)
@@ -76,15 +77,17 @@ class CartProcessor(StatefulProcessor):
         changed: dict[str, int] = {}
         self._clear(changed)
         self._written.clear()
-        yield self._rows(key[0], changed, expiredTimerInfo.getExpiryTimeInMs())
+        yield self._rows(key[0], changed, expiredTimerInfo.getExpiryTimeInMs() * 1000)
 
     def close(self) -> None:
         pass
 
 
-def carts(writes: DataFrame, ttl: timedelta = TIME_TO_LIVE, lateness: str = "0 seconds") -> DataFrame:
+def carts(writes: DataFrame, lateness: str, ttl: timedelta = TIME_TO_LIVE) -> DataFrame:
     """Changed cart items as a streaming frame for update mode.
 
+    Writes that are more than ``lateness`` older than the newest one seen are not applied, as event time has passed
+    them; choose it no shorter than sources may lag. The query's progress counts them (``numRowsDroppedByWatermark``).
     ``writes`` has the columns of a cart write. Needs the RocksDB state store (:data:`STATE_STORE`).
     """
     timed = writes.withColumn("event_time", F.col("event_time").cast("timestamp"))
