@@ -8,11 +8,13 @@ Candidate lines are verified by edit similarity, linked, and each connected grou
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import chain, combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,9 +32,17 @@ PAIRED = 32
 TREES = 3
 
 
+_words, _digit = re.compile(r"\w+").findall, re.compile(r"\d")
+
+
 def normalised(line: str) -> str:
     """Lower-cased words joined by single spaces, digits as 0."""
-    return re.sub(r"\d", "0", " ".join(re.findall(r"\w+", line.lower())))
+    plain = " ".join(_words(line.lower()))
+    return _digit.sub("0", plain) if _digit.search(plain) else plain
+
+
+#: For each byte its bits as the bytes of one number, so that eight counters add up at once.
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
 
 
 def word_fingerprints(lines: list[str]) -> np.ndarray:
@@ -45,10 +55,13 @@ def word_fingerprints(lines: list[str]) -> np.ndarray:
     for part in np.split(full, np.searchsorted(np.cumsum(size[full]), np.arange(50_000, int(size.sum()) + 1, 50_000))):
         if not len(part):
             continue
-        hashes = np.fromiter((digest(w) for i in part for w in words[i]), np.uint64, int(size[part].sum()))
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        hashes = np.array(list(map(digest, chain.from_iterable(words[i] for i in part))), np.uint64)
+        spread = _SPREAD[hashes.astype("<u8").view(np.uint8)].reshape(-1, 8)
         starts = np.cumsum(size[part]) - size[part]
-        count = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+        # counters are bytes, so no more than 255 words are added up before they are widened
+        cuts = np.unique(np.concatenate((starts, *[np.arange(s, s + n, 255) for s, n in zip(starts, size[part], strict=True) if n > 255])))
+        some = np.add.reduceat(spread, cuts, axis=0).view(np.uint8)
+        count = np.add.reduceat(some, np.searchsorted(cuts, starts), axis=0, dtype=np.int32)
         out[part] = np.packbits(2 * count > size[part][:, None], axis=1, bitorder="little").view("<i8")[:, 0]
     return out
 
@@ -142,16 +155,72 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return joined.select("d.text", "w.lines").mapInArrow(run, "lh long, text string").dropDuplicates(["lh"])
 
 
-def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose texts' edit similarity, one less the distance by the longer length, is enough.
-
-    The distance is looked for in a narrow band first, as most candidates are close.
+def _shared(a: str, b: str) -> int:
+    """The length of the longest common prefix."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    return low
+
+
+def _distance(a: str, b: str) -> int:
+    """Levenshtein distance, all cells of a column at once in the bits of a number."""
+    if len(a) < len(b):
+        a, b = b, a
+    if not b:
+        return len(a)
+    masks: dict[str, int] = {}
+    for i, c in enumerate(b):
+        masks[c] = masks.get(c, 0) | 1 << i
+    full, top = (1 << len(b)) - 1, 1 << len(b) - 1
+    up, down, score = full, 0, len(b)
+    for c in a:
+        eq = masks.get(c, 0)
+        across = (((eq & up) + up) ^ up) | eq | down
+        right, left = down | (full & ~(across | up)), up & across
+        score += bool(right & top) - bool(left & top)
+        right, left = (right << 1 | 1) & full, left << 1 & full
+        eq |= down
+        up, down = left | (full & ~(eq | right)), right & eq
+    return score
+
+
+def edit_similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
+    """Whether one less the edit distance by the longer length is at least ``similarity``.
+
+    Bounds settle most pairs: what is left between common ends, words replaced in place, characters that differ.
     """
+    most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
+    if abs(len(a) - len(b)) > most:
+        return False
+    start = _shared(a, b)
+    a, b = a[start:], b[start:]
+    stop = _shared(a[::-1], b[::-1])
+    a, b = a[: len(a) - stop], b[: len(b) - stop]
+    if max(len(a), len(b)) <= most:
+        return True
+    x, y = a.split(" "), b.split(" ")
+    if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y, strict=True) if p != q) <= most:
+        return True
+    p, q = Counter(a), Counter(b)
+    if max((p - q).total(), (q - p).total()) > most:
+        return False
+    return _distance(a, b) <= most
+
+
+def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` whose texts are similar enough in edits."""
     both = pairs.join(texts.select(F.col("lh").alias("a"), F.col("text").alias("s")), "a")
     both = both.join(texts.select(F.col("lh").alias("b"), F.col("text").alias("t")), "b")
-    most = f"cast(floor({1 - similarity:.6f} * greatest(length(s), length(t)) + 1e-9) as int)"
-    found = " or ".join(f"levenshtein(s, t, least({most}, {band})) >= 0" for band in (16, 128, 1 << 30))
-    return both.where(f"abs(length(s) - length(t)) <= {most}").where(found).select("a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s, t = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            good = pa.array([edit_similar(x, y, similarity) for x, y in zip(s, t, strict=True)], pa.bool_())
+            yield batch.select(["a", "b"]).filter(good)
+
+    return both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
 
 
 def drop_lists(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -199,14 +268,16 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, gone_lists = batch.column(0).field(at).to_pylist(), batch.column(1).to_pylist()
-            removed = [sorted(g) if g else [] for g in gone_lists]
-            for i, lines in enumerate(removed):
-                if lines:
-                    drop = set(lines)
-                    texts[i] = "\n".join(x for k, x in enumerate(texts[i].split("\n")) if k not in drop)
+            text = batch.column(0).field(at)
+            removed = [sorted(g) if g else [] for g in batch.column(1).to_pylist()]
+            new = []
+            for i, numbers in enumerate(removed):
+                if numbers:
+                    drop = set(numbers)
+                    new.append("\n".join(x for k, x in enumerate(text[i].as_py().split("\n")) if k not in drop))
+            changed = pa.array([bool(r) for r in removed], pa.bool_())
             columns = [batch.column(0).field(i) for i in range(len(names) - 1)]
-            columns[at] = pa.array(texts, columns[at].type)
+            columns[at] = pc.replace_with_mask(text, changed, pa.array(new, text.type))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(removed, pa.list_(pa.int32()))], names=names)
 
     fields = [*docs.schema.fields, T.StructField("lines_removed", T.ArrayType(T.IntegerType()))]
