@@ -188,6 +188,11 @@ def test_program_views_and_batch_tables(spark, load, tmp_path):
     assert spark.sql("SELECT nanos_to_seconds(-1999999999) AS s, nanos_to_millis(-1999999) AS m").first() == (-1, -1)
     store = str(tmp_path / "store")
     assert program.run_batch(store, traces=requests) == ["spans", *program.MAINTAINED[3:]]
+    assert program.run_batch(store, only=("throughput",), traces=requests.where("false")) == ["throughput"]
+    assert spark.read.parquet(f"{store}/spans").count() == found["spans"].count()  # what is there and not asked for stays
+    named = program.views(traces=requests, normalize_names=True)["spans"]
+    names = found["spans"].select(text.normalize_span_name(F.col("name")))
+    assert sorted(named.select("name").collect()) == sorted(names.collect())
     assert spark.read.parquet(f"{store}/throughput").first().throughput == 1
 
 

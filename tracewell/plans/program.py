@@ -8,7 +8,9 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tracewell.functions import text
 from tracewell.operators import flatten, latency, selftime
 from tracewell.session import configure
 from tracewell.sinks import tables
@@ -38,8 +40,9 @@ def views(
     metrics: DataFrame | None = None,
     window: str = latency.WINDOW_WIDTH,
     on_bad_record: str = "fail",
+    normalize_names: bool = False,
 ) -> dict[str, DataFrame]:
-    """All views reachable from the given inputs, by name."""
+    """All views reachable from the given inputs, by name. ``normalize_names`` gives product routes one span name."""
     found: dict[str, DataFrame] = {}
     if metrics is not None:
         found["rsMetrics"] = flatten.resource_metrics(metrics)
@@ -51,6 +54,8 @@ def views(
         found["logs"] = flatten.logs(logs)
     if traces is not None:
         spans = flatten.spans(traces, on_bad_record)
+        if normalize_names:
+            spans = spans.withColumn("name", text.normalize_span_name(F.col("name")))
         found["rsSpans"] = flatten.resource_spans(traces)
         found["spans_array"] = flatten.scope_spans(traces)
         found["spans"] = spans

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType, TimestampNTZType
 
+from tracewell.functions import text
 from tracewell.operators import flatten, latency, selftime
 from tracewell.sinks import deltas, tables
 
@@ -47,10 +48,17 @@ def append_table(
 
 
 def append_spans(
-    requests: DataFrame, store: str, checkpoint: str, root: Column | str = "resourceSpans", **trigger
+    requests: DataFrame,
+    store: str,
+    checkpoint: str,
+    root: Column | str = "resourceSpans",
+    normalize_names: bool = False,
+    **trigger,
 ) -> StreamingQuery:
-    """The flat ``spans`` table, one folder per event date."""
+    """The flat ``spans`` table, one folder per event date. ``normalize_names`` gives product routes one span name."""
     spans = tables.with_date(flatten.spans(requests, on_bad_record="null", root=root))
+    if normalize_names:
+        spans = spans.withColumn("name", text.normalize_span_name(F.col("name")))
     return append_table(spans, store, "spans", checkpoint, partition_by=(tables.EVENT_DATE,), **trigger)
 
 
