@@ -23,7 +23,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that the quality classifier doesn't reject."""
     labels = queries.table(spark, sf_dir, "labels")
     model = quality.fit(quality.training_rows(docs, labels, "doc_id", "text", "quality"))
-    return quality.score(docs, model).where(f"score >= {quality.CUTOFF}").select(docs.columns)
+    out = "_".join(["score", *docs.columns])  # no column of this name can be there
+    return quality.score(docs, model, out=out).where(F.col(f"`{out}`") >= quality.CUTOFF).select(docs.columns)
 
 
 def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -191,15 +191,15 @@ def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS, e
     return model
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with a column ``score`` in 0 to 1; null texts are empty. Other columns, of any name, stay as they are."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` with a column ``out`` in 0 to 1; null texts are empty. Other columns stay as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [model.score(text_features(data, len(model.weights))) for data in _bytes_of(batch.column(at))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=names)
 
-    at, names = docs.columns.index(text_col), [*docs.columns, "score"]
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    at, names = docs.columns.index(text_col), [*docs.columns, out]
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
