@@ -1,8 +1,9 @@
 """Document quality by a linear support vector machine over naive-Bayes-scaled n-gram indicators.
 
-n-grams are hashed to buckets. The class counts of every bucket come from all labelled training rows, aggregated by
-Spark; their log ratios scale the indicators. The hinge-loss model is fitted by dual coordinate descent on a bounded
-sample of the training rows, and the margin is turned into a score by a logistic curve fitted on the same sample.
+n-grams are hashed to buckets. The class counts of every bucket come from a bounded sample of the labelled training
+rows, aggregated by Spark; their log ratios scale the indicators. The hinge-loss model is fitted by dual coordinate
+descent on a smaller sample, and the margin is turned into a score by a logistic curve fitted on the same rows. Both
+samples are the rows with the smallest hashes. Labels are sampled before they meet texts, so they can be broadcast.
 """
 
 from __future__ import annotations
@@ -17,7 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 1 << 18
-#: Rows the margin model is fitted on: the training rows with the smallest hashes.
+#: Labelled training rows that class counts are taken from, those with the smallest hashes. They are broadcast: at 16
+#: bytes a row that is a megabyte at most.
+COUNT_ROWS = 60_000
+#: Rows of these that the margin model is fitted on.
 FIT_ROWS = 6_000
 #: Tasks that turn them into features; the features, not the texts, go to the driver, in proportion to FIT_ROWS.
 FIT_TASKS = 12
@@ -163,7 +167,7 @@ def calibrate(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS, epochs: int = EPOCHS) -> Model:
     """A model of the rows ``(id, text, label)``; rows whose label isn't 0 or 1 are passed over.
 
-    Counts come from all rows, the margin from the ``fit_rows`` rows with the smallest hashes of id and text. With no
+    Counts come from all these rows, the margin from the ``fit_rows`` rows with the smallest hashes of id and text. With no
     rows, or rows of one label only, scores are that label's share (a half if there are none).
     """
     labelled = labelled.where("label in (0, 1)")
@@ -202,10 +206,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())]))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``(id, text, label)`` of the labelled rows not held out."""
+def training_rows(
+    docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, count_rows: int = COUNT_ROWS
+) -> DataFrame:
+    """``(id, text, label)`` of the ``count_rows`` labelled rows not held out that have the smallest hashes."""
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where(~held_out("id"))
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(known, "id")
+    known = known.where("label in (0, 1)").orderBy(F.xxhash64("id"), "label").limit(count_rows)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(known), "id")
 
 
 def classify(
