@@ -115,6 +115,7 @@ def bucket_links(keyed: DataFrame, radius: int, all_pairs: int = 0, trees: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "crowded"]
+        every = {n: np.triu_indices(n, 1) for n in range(3, all_pairs + 1)}
 
         def solve(key: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
             edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
@@ -127,14 +128,14 @@ def bucket_links(keyed: DataFrame, radius: int, all_pairs: int = 0, trees: int =
                 if n > LINKED:
                     crowded.append(key[begin])
                 elif n <= all_pairs:
-                    i, j = np.triu_indices(n, 1)
+                    i, j = every[n]
                     good = _apart(some[i], some[j]) <= radius
                     a.append(some[i][good])
                     b.append(some[j][good])
                 else:
-                    order = np.random.default_rng(n)
                     for tree in range(trees):
-                        links = spanning_links(np.sort(some) if not tree else order.permutation(some), radius)
+                        order = np.random.default_rng(tree).permutation(some) if tree else np.sort(some)
+                        links = spanning_links(order, radius)
                         a.append(np.array([x for x, _ in links], np.int64))
                         b.append(np.array([y for _, y in links], np.int64))
             a, b = np.concatenate(a), np.concatenate(b)
