@@ -167,13 +167,16 @@ def calibrate(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tupl
 def fit(labelled: DataFrame, fit_rows: int = FIT_ROWS, buckets: int = BUCKETS, epochs: int = EPOCHS) -> Model:
     """A model of the rows ``(id, text, label)``; rows whose label isn't 0 or 1 are passed over.
 
-    Counts come from all these rows, the margin from the ``fit_rows`` rows with the smallest hashes of id and text. With no
+    Counts come from all these rows, the margin from the ``fit_rows`` rows with the smallest hashes of id and text (twice as many at most where rows repeat). With no
     rows, or rows of one label only, scores are that label's share (a half if there are none).
     """
     labelled = labelled.where("label in (0, 1)")
     counts = bucket_counts(labelled, buckets) + SMOOTHING
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    picked = labelled.orderBy(F.xxhash64("id", "text"), "label").limit(fit_rows)
+    # only hashes are sorted; equal rows tie, so the limit holds the bound
+    place = F.xxhash64("id", "text")
+    last = labelled.select(place.alias("h")).orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
+    picked = labelled.where(place <= F.lit(last)).limit(2 * fit_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
