@@ -2,8 +2,10 @@
 
 import hashlib
 import itertools
+import random
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 
@@ -166,3 +168,48 @@ def test_a_very_long_text(spark, words, rng):
     assert (got[1].kept, len(got[0].starts)) == (b"", 1)
     assert hashlib.sha256(got[0].kept).digest() == hashlib.sha256((long[:1000] + long[1500:]).encode()).digest()
     assert got[2].kept == b""
+
+
+def one_word_changes(n, seed=5):
+    """Pairs of a distinct sf0.01 line and the line with one word replaced, of edit similarity 0.8 at least."""
+    draw = random.Random(seed)
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column(0).to_pylist()
+    kinds = sorted({plain for t in texts for raw in (t or "").split("\n") if (plain := lines.normalised(raw))})
+    vocabulary = [w for k in kinds[::20] for w in k.split()]
+    pairs = []
+    for line in draw.sample(kinds, n):
+        changed = line.split()
+        changed[draw.randrange(len(changed))] = draw.choice(vocabulary)
+        changed = " ".join(changed)
+        if changed != line and lines.edit_similar(line, changed):
+            pairs.append((line, changed))
+    return pairs
+
+
+def test_changed_words_are_compared():
+    pairs = one_word_changes(3000)
+    keys = [list(map(set, lines.line_keys([p[side] for p in pairs]))) for side in (0, 1)]
+    prints = [lines.word_fingerprints([p[side] for p in pairs]) for side in (0, 1)]
+    met = [bool(a & b) and (int(p) ^ int(q)) & (1 << 64) - 1 for a, b, p, q in zip(*keys, *prints, strict=True)]
+    met = [m is not False and m.bit_count() <= lines.RADIUS for m in met]
+    for least, most in [(1, 5), (6, 10), (11, 20), (21, 40), (41, 80), (81, 10**6)]:
+        own = [m for m, (a, _) in zip(met, pairs, strict=True) if least <= len(a.split()) <= most]
+        print(f"{least}-{most} words: {sum(own)} of {len(own)}")
+        assert sum(own) >= 0.95 * len(own), (least, most)
+
+
+def test_lines_against_all_pairs_by_edit_similarity(spark):
+    pairs = one_word_changes(150, 6)
+    docs = [(i, a) for i, (a, _) in enumerate(pairs)] + [(1000 + i, b) for i, (_, b) in enumerate(pairs)]
+    # many lines of one set of words, the smallest unlike the two that are alike
+    shuffled = [" ".join(random.Random(i).sample(pairs[0][0].split(), len(pairs[0][0].split()))) for i in range(60)]
+    docs += [(2000 + i, x) for i, x in enumerate(shuffled)] + [(3000 + i, x[:-1] + "q") for i, x in enumerate(shuffled)]
+    docs += [(4000 + i, f"same first half of the words {i * 'x '}and {i * 'qy'}") for i in range(60)]
+    kinds = sorted({lines.normalised(t) for _, t in docs})
+    of = groups(kinds, [(a, b) for a, b in itertools.combinations(kinds, 2) if lines.edit_similar(a, b)])
+    first = {}
+    for i, t in docs:
+        first[of[lines.normalised(t)]] = min(i, first.get(of[lines.normalised(t)], i))
+    got = {r.doc_id for r in lines.dedupe_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect() if r.text}
+    assert got >= set(first.values())
+    assert len(got - set(first.values())) <= 0.01 * len(docs)

@@ -1,8 +1,10 @@
 """Fuzzy line dedup: of each group of near-equal lines one occurrence stays.
 
-Lines are normalised and get a SimHash of their words. Fingerprints that differ in at most ``RADIUS`` of 64 bits agree
-in whole in at least two of five blocks, so each emits one key for each two blocks (pigeonhole) and meets others there.
-Candidate lines are verified by edit similarity, linked, and each connected group keeps its first occurrence.
+Lines are normalised. Lines that may have edit similarity 0.8 meet on keys: bands of minimal hashes of their character
+n-grams, halves of their words, and for lines under ten characters all texts with one character left out. Candidates
+whose character SimHashes are within ``RADIUS`` bits are verified by edit similarity and linked, and each connected
+group keeps its first occurrence. Of a key shared by more than ``PAIRED`` lines the links are a breadth-first forest by
+edit similarity, which connects its lines exactly as all of its pairs would.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, combinations
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,15 +23,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewell.llm.common import components, forget, release, stored
-from tracewell.llm.simhash import bucket_links
 
 SIMILARITY = 0.8
-RADIUS = 3
-#: First bit and width of the pigeonhole blocks.
-BLOCKS = [(0, 13), (13, 13), (26, 13), (39, 13), (52, 12)]
-#: Keys shared by more fingerprints are compared along trees, fingerprints shared by more lines through their first.
+#: Bits by which SimHashes of lines of similarity 0.8 may differ; 26 was the most among 11,501 such pairs made from sf0.1 lines.
+RADIUS = 26
+GRAM = 3
+#: Shortest line with bands, length of the n-grams and minimal hashes a band, by line length.
+CLASSES = [(10, 3, 4), (32, 3, 5), (100, 4, 5), (200, 6, 6)]
+BANDS = 16
+#: Lines are spread over their keys in so many passes, to hold less on disk at once.
+PASSES = 4
+#: Keys shared by more lines are searched breadth first.
 PAIRED = 32
-TREES = 3
 
 
 _words, _digit = re.compile(r"\w+").findall, re.compile(r"\d")
@@ -43,38 +48,103 @@ def normalised(line: str) -> str:
 
 #: For each byte its bits as the bytes of one number, so that eight counters add up at once.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
+_ODD = np.random.default_rng(4).integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def _grams(lines: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the padded character n-grams of all lines, each line's first and its number of them."""
+    pad = "\0" * (n - 1)
+    code = np.frombuffer((pad + pad.join(lines) + pad).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    hashes = np.zeros(max(0, len(code) - n + 1), np.uint64)
+    for j in range(n):
+        hashes = hashes * np.uint64(0x100000001B3) + code[j : j + len(hashes)]
+    size = np.fromiter(map(len, lines), np.int64, len(lines)) + n - 1
+    return _mixed(hashes), np.cumsum(size) - size, size
 
 
 def word_fingerprints(lines: list[str]) -> np.ndarray:
-    """SimHash of each normalised line's words, repeats included, as signed 64-bit numbers; no words: 0."""
-    digest = xxhash.xxh64_intdigest
-    words = [line.encode().split() for line in lines]
-    size = np.fromiter(map(len, words), np.int64, len(words))
+    """SimHash of each normalised line's characters by padded n-grams, as signed 64-bit numbers; empty: 0."""
     out = np.zeros(len(lines), np.int64)
-    full = np.flatnonzero(size)
-    for part in np.split(full, np.searchsorted(np.cumsum(size[full]), np.arange(50_000, int(size.sum()) + 1, 50_000))):
-        if not len(part):
-            continue
-        hashes = np.array(list(map(digest, chain.from_iterable(words[i] for i in part))), np.uint64)
+    for i, line in enumerate(lines):
+        if len(line) > 20_000:
+            bits = np.unpackbits(_grams([line], GRAM)[0].astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64)
+            out[i] = np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(bits), bitorder="little").view("<i8")[0]
+    some = [i for i, line in enumerate(lines) if 0 < len(line) <= 20_000]
+    for at in range(0, len(some), 500):
+        part = some[at : at + 500]
+        hashes, starts, size = _grams([lines[i] for i in part], GRAM)
         spread = _SPREAD[hashes.astype("<u8").view(np.uint8)].reshape(-1, 8)
-        starts = np.cumsum(size[part]) - size[part]
-        # counters are bytes, so no more than 255 words are added up before they are widened
-        cuts = np.unique(np.concatenate((starts, *[np.arange(s, s + n, 255) for s, n in zip(starts, size[part], strict=True) if n > 255])))
-        some = np.add.reduceat(spread, cuts, axis=0).view(np.uint8)
-        count = np.add.reduceat(some, np.searchsorted(cuts, starts), axis=0, dtype=np.int32)
-        out[part] = np.packbits(2 * count > size[part][:, None], axis=1, bitorder="little").view("<i8")[:, 0]
+        # counters are bytes, so no more than 255 grams are added up before they are widened
+        cuts = np.unique(np.concatenate((starts, *[np.arange(s, s + n, 255) for s, n in zip(starts, size, strict=True) if n > 255])))
+        added = np.add.reduceat(spread, cuts, axis=0).view(np.uint8)
+        count = np.add.reduceat(added, np.searchsorted(cuts, starts), axis=0, dtype=np.int32)
+        out[part] = np.packbits(2 * count > size[:, None], axis=1, bitorder="little").view("<i8")[:, 0]
     return out
 
 
+def _bands(lines: list[str], n: int, rows: int, bands: range) -> np.ndarray:
+    """A row of keys for each line, one for each band, a key from ``rows`` minimal hashes of n-grams."""
+    hashes, starts, _ = _grams(lines, n)
+    out = np.empty((len(lines), len(bands)), np.uint64)
+    for at, band in enumerate(bands):
+        key = np.full(len(lines), 100 * n + band + 1, np.uint64)
+        for i in range(band * rows, (band + 1) * rows):
+            key = _mixed(key * np.uint64(31) + np.minimum.reduceat(hashes * _ODD[i] + _ODD[-1 - i], starts))
+        out[:, at] = key
+    return out.view(np.int64)
+
+
+def line_keys(lines: list[str], bands: range = range(BANDS)) -> list[list[int]]:
+    """The keys of each normalised line; those other than bands come with the first band.
+
+    A line a fifth longer may be of the next class, so a line near the end of its class has the keys of both. Halves
+    are the first and last words, half of them rounded either way: a line with one word replaced, put in or left out
+    has one of them in common.
+    """
+    digest = xxhash.xxh3_64_intdigest
+    keys: list[set[int]] = [set() for _ in lines]
+
+    def put(i: int, text: str) -> None:
+        key = digest(text)
+        keys[i].add(key - (1 << 64) if key >> 63 else key)
+
+    of: dict[int, list[int]] = {}
+    for i, line in enumerate(lines):
+        if 3 < len(line) < 10 and 0 in bands:
+            put(i, "1" + line)
+            for k in range(len(line)):
+                put(i, "1" + line[:k] + line[k + 1 :])
+        words = line.split(" ")
+        if len(words) > 3 and 0 in bands:
+            for half in {len(words) // 2, (len(words) + 1) // 2}:
+                put(i, "2" + " ".join(words[:half]))
+                put(i, "3" + " ".join(words[-half:]))
+        for c, (least, *_) in enumerate(CLASSES):
+            top = CLASSES[c + 1][0] if c + 1 < len(CLASSES) else len(line) + 1
+            if len(line) < top and int(len(line) / SIMILARITY + 1e-9) >= least:
+                of.setdefault(c, []).append(i)
+    for c, members in of.items():
+        for at in range(0, len(members), 500):
+            part = members[at : at + 500]
+            for i, row in zip(part, _bands([lines[i] for i in part], *CLASSES[c][1:], bands).tolist(), strict=True):
+                keys[i].update(row)
+    return [list(k) for k in keys]
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``(id, th, line, lh, fp)`` for every line with a word of ``docs(id, th, text)``; lh names the normalised line."""
+    """``(id, th, line, lh)`` for every line with a word of ``docs(id, th, text)``; lh names the normalised line."""
     schema = T.StructType(
         [
             docs.schema["id"],
             T.StructField("th", T.LongType()),
             T.StructField("line", T.IntegerType()),
             T.StructField("lh", T.LongType()),
-            T.StructField("fp", T.LongType()),
         ]
     )
 
@@ -97,7 +167,6 @@ def occurrences(docs: DataFrame) -> DataFrame:
                         some.column(1).take(take),
                         pa.array(line, pa.int32()),
                         pa.array(lh, pa.int64()),
-                        pa.array(word_fingerprints(text), pa.int64()),
                     ],
                     schema.names,
                 )
@@ -105,37 +174,129 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return docs.select("id", "th", "text").mapInArrow(run, schema)
 
 
-def fingerprint_pairs(words: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)``, a < b, of the distinct fingerprints ``fp`` at most ``RADIUS`` bits apart.
+def printed(texts: DataFrame) -> DataFrame:
+    """``texts(lh, text)`` with the fingerprints ``fp``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = pa.array(word_fingerprints(batch.column(1).to_pylist()), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, fp], ["lh", "text", "fp"])
+
+    return texts.select("lh", "text").mapInArrow(run, "lh long, text string, fp long")
 
-    Buckets of up to ``PAIRED`` give all their pairs. Of larger ones each fingerprint is paired along several trees
-    that connect all within the radius, so that pairs stay in proportion to rows.
-    """
-    parts = [F.shiftrightunsigned("fp", at).bitwiseAND((1 << width) - 1) for at, width in BLOCKS]
-    two = [
-        F.shiftleft(parts[i], 13).bitwiseOR(parts[j]).bitwiseOR(F.lit(k << 26).cast("long"))
-        for k, (i, j) in enumerate(combinations(range(len(BLOCKS)), len(BLOCKS) - RADIUS))
-    ]
-    spread = words.select("fp", F.explode(F.array(*two)).alias("key"))
-    return bucket_links(spread.select("key", "fp"), RADIUS, all_pairs=PAIRED, trees=TREES).distinct()
-
-
-def line_pairs(lines: DataFrame) -> DataFrame:
-    """Candidate pairs ``(a, b)`` of the lines ``(lh, fp)``; lines of a crowded fingerprint meet through its smallest."""
-    kinds = lines.groupBy("fp").agg(F.count("*").alias("n"), F.min("lh").alias("hub"))
-    kinds = stored(kinds, "kinds")
-    near = stored(fingerprint_pairs(kinds.select("fp")), "near")
-    many = kinds.where("n > 1")
-    full = lines.join(many, "fp")
-    same = full.where(F.col("n") <= PAIRED).select("fp", F.col("lh").alias("a"))
-    same = same.join(same.select("fp", F.col("a").alias("b")), "fp").where("a < b").select("a", "b")
-    star = full.where(F.col("n") > PAIRED).where("lh <> hub").select(F.col("hub").alias("a"), F.col("lh").alias("b"))
-    lone = kinds.where(F.col("n") <= PAIRED).join(lines, "fp").select("fp", "lh")
-    shown = lone.unionByName(kinds.where(F.col("n") > PAIRED).select("fp", F.col("hub").alias("lh")))
-    left = near.join(shown.select(F.col("fp").alias("a"), F.col("lh").alias("x")), "a")
-    cross = left.join(shown.select(F.col("fp").alias("b"), F.col("lh").alias("y")), "b")
-    cross = cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return same.unionByName(star).unionByName(cross).distinct()
+
+def keyed_lines(texts: DataFrame, bands: range) -> DataFrame:
+    """``(key, lh, fp, size)``: the keys of the bands of each line of ``texts(lh, text, fp)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 2000):
+                lh, text, fp = batch.slice(begin, 2000).columns
+                text = text.to_pylist()
+                keys = line_keys(text, bands)
+                take = pa.array(np.repeat(np.arange(len(text)), list(map(len, keys))))
+                size = pa.array(list(map(len, text)), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(chain.from_iterable(keys), pa.int64()), lh.take(take), fp.take(take), size.take(take)],
+                    ["key", "lh", "fp", "size"],
+                )
+
+    return texts.select("lh", "text", "fp").mapInArrow(run, "key long, lh long, fp long, size int")
+
+
+def _near(fp: np.ndarray, size: np.ndarray, other: np.ndarray, other_size: np.ndarray) -> np.ndarray:
+    """Whether fingerprints are within ``RADIUS`` bits and lengths leave room for the similarity."""
+    close = np.bitwise_count((fp ^ other).view(np.uint64)) <= RADIUS
+    return close & (np.minimum(size, other_size) >= SIMILARITY * np.maximum(size, other_size) - 1e-6)
+
+
+def line_pairs(keyed: DataFrame) -> DataFrame:
+    """Candidates ``(a, b, crowded)`` of ``keyed(key, lh, fp, size)``: pairs, or a line ``a`` and its ``crowded`` key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = {n: np.triu_indices(n, 1) for n in range(2, PAIRED + 1)}
+
+        def solve(rows: list[np.ndarray]) -> pa.RecordBatch:
+            key, lh, fp, size = rows
+            edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
+            many = np.diff(edge)
+            first, second, members, names = [], [], [], []
+            for n in np.unique(many[many > 1]):
+                begin = edge[:-1][many == n]
+                if n <= PAIRED:
+                    i, j = (x.ravel() for x in (begin[:, None] + every[int(n)][0], begin[:, None] + every[int(n)][1]))
+                    good = _near(fp[i], size[i], fp[j], size[j])
+                    first.append(lh[i][good])
+                    second.append(lh[j][good])
+                else:
+                    at = (begin[:, None] + np.arange(n)).ravel()
+                    members.append(lh[at])
+                    names.append(key[at])
+            none = np.empty(0, np.int64)
+            a, b, c, k = (np.concatenate([none, *x]) for x in (first, second, members, names))
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate((np.minimum(a, b), c))),
+                    pa.concat_arrays([pa.array(np.maximum(a, b)), pa.nulls(len(c), pa.int64())]),
+                    pa.concat_arrays([pa.nulls(len(a), pa.int64()), pa.array(k)]),
+                ],
+                ["a", "b", "crowded"],
+            )
+
+        rest = None
+        for batch in batches:
+            rows = [c.to_numpy() for c in batch.columns]
+            rows = rows if rest is None else [np.concatenate(x) for x in zip(rest, rows, strict=True)]
+            last = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0
+            if last:
+                yield solve([x[:last] for x in rows])
+            rest = [x[last:] for x in rows]
+        if rest is not None and len(rest[0]):
+            yield solve(rest)
+
+    grouped = keyed.repartition("key").sortWithinPartitions("key")
+    return grouped.mapInArrow(run, "a long, b long, crowded long").distinct()
+
+
+def forest(lh: np.ndarray, text: list[str], similarity: float) -> list[tuple[int, int]]:
+    """Links that connect the lines exactly as all pairs within the radius and similar in edits would."""
+    fp, size = word_fingerprints(text), np.fromiter(map(len, text), np.int64, len(text))
+    found, rest = [], np.arange(len(text))
+    while len(rest):
+        queue, rest = [rest[0]], rest[1:]
+        while queue and len(rest):
+            i = queue.pop()
+            maybe = np.flatnonzero(_near(fp[rest], size[rest], fp[i], size[i]))
+            good = maybe[[edit_similar(text[i], text[j], similarity) for j in rest[maybe]]] if len(maybe) else maybe
+            found += [(int(lh[i]), int(lh[j])) for j in rest[good]]
+            queue += rest[good].tolist()
+            rest = np.delete(rest, good)
+    return found
+
+
+def crowded_links(crowded: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links ``(a, b)`` of the lines ``crowded(key, lh)`` that share a key, by their texts; a key's lines are in one task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, text = None, [], []
+
+        def solve() -> pa.RecordBatch:
+            links = np.array(forest(np.array(held, np.int64), text, similarity), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(links.min(axis=1)), pa.array(links.max(axis=1))], ["a", "b"])
+
+        for batch in batches:
+            for key, lh, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if key != now and held:
+                    yield solve()
+                    held, text = [], []
+                now = key
+                held.append(lh)
+                text.append(line)
+        if held:
+            yield solve()
+
+    both = crowded.join(texts, "lh").select("key", "lh", "text")
+    return both.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -227,16 +388,21 @@ def drop_lists(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(id, th, gone)``: the numbers of the lines to remove from each text that loses any."""
     spark = docs.sparkSession
     seen = stored(occurrences(docs), "occurrences")
-    lines = seen.groupBy("lh").agg(
-        F.first("fp").alias("fp"), F.count("*").alias("n"), F.min(F.struct("id", "line", "th")).alias("at")
-    )
+    lines = seen.groupBy("lh").agg(F.count("*").alias("n"), F.min(F.struct("id", "line", "th")).alias("at"))
     lines = stored(lines, "lines")
-    pairs = stored(line_pairs(lines.select("lh", "fp")), "pairs")
-    release(spark)
-    ends = pairs.select(F.col("a").alias("lh")).unionByName(pairs.select(F.col("b").alias("lh"))).distinct()
-    texts = stored(_texts(docs, lines.join(ends, "lh").select("lh", "at.id", "at.th", "at.line")), "texts")
+    texts = stored(printed(_texts(docs, lines.select("lh", "at.id", "at.th", "at.line"))), "texts")
     release(spark)
-    group = components(stored(similar(pairs, texts, similarity), "similar")).withColumnRenamed("node", "lh")
+    alike = None
+    for turn in range(PASSES):
+        found = stored(line_pairs(keyed_lines(texts, range(turn, BANDS, PASSES))), "pairs")
+        release(spark)
+        close = similar(found.where("crowded is null").select("a", "b"), texts, similarity)
+        crowded = found.where("crowded is not null").select(F.col("crowded").alias("key"), F.col("a").alias("lh"))
+        now = stored(close.unionByName(crowded_links(crowded, texts, similarity)), "similar")
+        forget(found)
+        release(spark)
+        alike = now if alike is None else alike.unionByName(now)
+    group = components(alike).withColumnRenamed("node", "lh")
     group = stored(lines.join(group, "lh", "left").select("lh", "n", "at", F.coalesce("component", "lh").alias("g")), "groups")
     keep = group.groupBy("g").agg(F.sum("n").alias("all"), F.min("at").alias("keep")).where("all > 1")
     keep = stored(group.join(keep, "g").select("lh", "keep"), "keep")
