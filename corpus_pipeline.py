@@ -45,7 +45,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences."""
-    return packing.pack_documents(docs, queries.tokenizer_path()).withColumnRenamed("id", "doc_id")
+    packed = packing.pack_documents(docs, queries.tokenizer_path(), added_tokens=True)
+    return packed.withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

@@ -238,6 +238,21 @@ def test_packing_round_trip(spark, words, rng):
     assert packing.pack_documents(table.where("false"), path).count() == 0
 
 
+def test_packed_ids_are_those_of_the_tokenizer_at_its_defaults(spark, tmp_path):
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    texts = ["<|endoftext|> x", "a <|endoftext|>\n<|endoftext|><|endoftext", "no marker", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    ids = [[*tokenizer.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    assert ids[0][:2] == [50256, 2124]
+    want = [(i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(ids)]
+    for got in (corpus_pipeline.packing_stage(spark, docs, ""), queries.op9_best_two_fit(spark, str(tmp_path))):
+        assert sorted((r.doc_id, r.length, r.ids_crc32) for r in got.collect()) == want
+
+
 def test_best_two_fit_replaces_the_smallest():
     bins = packing.best_two_fit(np.array([60, 25, 22, 17]), 100)  # 60 + 25 leaves 15; for 25, 22 + 17 fit closer
     assert sorted(map(sorted, bins)) == [[17, 22, 60], [25]]

@@ -122,7 +122,8 @@ def op8_wrapper_inference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 2048 tokens."""
-    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path()).withColumnRenamed("id", "doc_id")
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path(), added_tokens=True)
+    return packed.withColumnRenamed("id", "doc_id")
 
 
 def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
