@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.llm import chat, decontam, lines, packing, quality, simhash, substrings, surrogates, vectors, wrappers
+from tracewell.llm import (
+    chat,
+    decontam,
+    importance,
+    infill,
+    lines,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    substrings,
+    surrogates,
+    vectors,
+    wrappers,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -132,6 +146,108 @@ def op10_nbsvm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw towards the benchmark's words."""
+    found = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+#: A byte's checksum is worked out from the rule of the CRC; words are few against texts, so each is hashed once.
+OP11_SQL = r"""
+WITH crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+         lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS steps
+), texts AS (
+  SELECT row_number() OVER () AS row, doc_id, true AS is_document, text FROM documents
+  UNION ALL SELECT 0, NULL, false, text FROM benchmark
+), words AS (
+  SELECT row, is_document, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM texts
+), counted AS (
+  SELECT row, is_document, word, count(*) AS n FROM words GROUP BY ALL
+), vocabulary AS (
+  SELECT DISTINCT word, hex(encode(word)) AS hexed FROM counted
+), hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+           list_transform(range(1, length(hexed), 2), lambda i: CAST('0x' || substr(hexed, i, 2) AS BIGINT))),
+           lambda c, b: xor(c // 256, steps[xor(c % 256, b) + 1])), 4294967295) % 10000 AS bucket
+  FROM vocabulary, crc
+), buckets AS (
+  SELECT bucket, coalesce(sum(n) FILTER (is_document), 0) AS s, coalesce(sum(n) FILTER (NOT is_document), 0) AS t
+  FROM counted JOIN hashed USING (word) GROUP BY bucket
+), totals AS (
+  SELECT sum(s) AS s_all, sum(t) AS t_all FROM buckets
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(((t + 1.0::DOUBLE) * (s_all + 10000)) / ((s + 1.0::DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM buckets, totals
+), sums AS (
+  SELECT row, sum(n) AS n_features, sum(n * gain) AS gained
+  FROM counted JOIN hashed USING (word) JOIN gains USING (bucket) WHERE is_document GROUP BY row
+), scored AS (
+  SELECT doc_id, CAST(coalesce(n_features, 0) AS BIGINT) AS n_features,
+         CAST(coalesce(floor(gained::DOUBLE / n_features), 0) AS BIGINT) AS weight,
+         CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS h
+  FROM texts LEFT JOIN sums USING (row) WHERE is_document
+), noisy AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score FROM scored
+), placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+  FROM noisy WHERE n_features >= 20
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM noisy LEFT JOIN placed USING (doc_id)
+"""
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and digests of every document's rearrangement, and of the text rebuilt from it."""
+    found = infill.transform(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP12_SQL = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents
+), drawn AS (
+  SELECT *, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS a,
+         CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS b,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4
+  FROM split
+), cut AS (
+  SELECT *, coalesce(array_to_string(units[1:least(a, b)], ''), '') AS prefix,
+         coalesce(array_to_string(units[least(a, b) + 1:greatest(a, b)], ''), '') AS middle,
+         coalesce(array_to_string(units[greatest(a, b) + 1:], ''), '') AS suffix,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50
+              THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
+def op13_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a mix of all sources takes of every document."""
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 QUERIES = {
     "op1_preference_format": op1_preference_format,
     "op2_surrogates": op2_surrogates,
@@ -143,5 +259,12 @@ QUERIES = {
     "op8_wrapper_inference": op8_wrapper_inference,
     "op9_best_two_fit": op9_best_two_fit,
     "op10_nbsvm_quality": op10_nbsvm_quality,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_entropy_mixing": op13_entropy_mixing,
+}
+ORACLE: dict[str, str] = {
+    "op1_preference_format": OP1_SQL,
+    "op11_importance_resampling": OP11_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
-ORACLE: dict[str, str] = {"op1_preference_format": OP1_SQL}
