@@ -9,10 +9,10 @@ making up for what the ones before left over.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +42,6 @@ def targets(counts: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int =
     Sources are taken in code point order, null last. A target over ``most`` times its source's size stops there, and
     the excess is shared by weight among the others, until none is above.
     """
-    spark = counts.sparkSession
     per = counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n"))
     place = F.row_number().over(Window.orderBy(F.asc_nulls_last(F.col("source").cast("binary")))) - 1
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (place % len(weights) + 1).cast("int"))
@@ -75,7 +74,6 @@ def balanced(counts: DataFrame, sources: DataFrame, most: int = MOST_COPIES) ->
     leaves the bracket of the root is replaced by its middle. Sources that give all copies they may, or have no
     words, need no step: their multiplier is infinite, or 0.
     """
-    spark = counts.sparkSession
     full = F.col("target") >= F.col("source_size") * F.lit(float(most))
     start = F.when(F.col("source_size") == 0, 0.0).when(full, F.lit(float("inf"))).otherwise(0.0)
     state = sources.withColumns(
@@ -115,39 +113,60 @@ def balanced(counts: DataFrame, sources: DataFrame, most: int = MOST_COPIES) ->
     return state.select("source", "source_size", "mean", "target", "multiplier")
 
 
+def best_moves(size: np.ndarray, given: np.ndarray, room: np.ndarray, left: float) -> list[tuple[int, int]]:
+    """The one copy more or less of each of two cells (or of one) that comes nearest to ``left`` words; none if no such
+    move comes nearer than staying."""
+    up, down = np.flatnonzero((given < room) & (size > 0)), np.flatnonzero((given > 0) & (size > 0))
+    cell = np.concatenate((up, down, [-1]))
+    by = np.concatenate((np.ones(len(up), int), -np.ones(len(down), int), [0]))
+    words = np.append(size[cell[:-1]], 0) * by
+    order = np.argsort(words, kind="stable")
+    cell, by, words = cell[order], by[order], words[order]
+    best, found = abs(left), []
+    place = np.searchsorted(words, left - words)
+    for near in (place - 1, place):
+        near = np.clip(near, 0, len(words) - 1)
+        error = np.abs(left - words - words[near])
+        error[cell == cell[near]] = np.inf
+        i = int(np.argmin(error))
+        if error[i] < best - 0.5:
+            best, found = error[i], [(int(cell[k]), int(by[k])) for k in (i, near[i]) if cell[k] >= 0]
+    return found
+
+
+def settle(cells: pd.DataFrame, most: int) -> pd.DataFrame:
+    """Whole copies for the cells of one source: ``more`` of a cell's documents get one copy above ``copies``."""
+    cells = cells.sort_values(["size", "block"], ascending=[False, True], ignore_index=True)
+    size, n, rates = (cells[c].tolist() for c in ("size", "n", "rate"))
+    left, given = 0.0, []
+    for c, k, r in zip(size, n, rates, strict=True):
+        low, exact = math.floor(r) * k, r * k
+        copies = min(max(round(exact + left / c), low), math.ceil(r) * k) if c else k
+        left += (exact - copies) * c
+        given.append(copies)
+    c, k, g = np.array(size), np.array(n), np.array(given)
+    while abs(left) >= 1 and (moves := best_moves(c, g, most * k, left)):
+        for i, by in moves:
+            g[i] += by
+            left -= by * size[i]
+    cells["copies"], cells["more"] = g // k, g % k
+    return cells.drop(columns=["n", "rate"])
+
+
 def rounded(cells: DataFrame, most: int = MOST_COPIES) -> DataFrame:
     """``cells`` (one row for each source, size and block, with ``n`` documents and the source's balance) as ``(source,
-    size, block, source_size, target, copies, more)``: ``more`` of the cell's documents get one copy above ``copies``.
+    size, block, source_size, target, copies, more)``.
 
-    A source's cells are taken by falling size. The words that a rounding gives too many or too few are carried on to
-    the next cell, so that in the end about half a small document is left. A task holds a source's cells: a source of
-    D different sizes has at least D * D / 2 words, so ten billion words make 141,000 at most, and a cell is cut only
-    by every ``CELL_ROWS`` documents.
+    A source's cells are taken by falling size and rounded up or down. The words that a rounding gives too many or too
+    few are carried on to the next cell; what small documents could not make up for in the end goes to one copy more
+    or less of two others, as long as that comes nearer. A group holds a source's cells: a source of D different sizes has at
+    least D * D / 2 words, so ten billion words make 141,000 at most, and only every ``CELL_ROWS`` documents of one size
+    add another.
     """
-    schema = "source string, size long, block long, source_size long, target double, copies long, more long"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, left = object(), 0.0
-        for batch in batches:
-            rows = batch.to_pydict()
-            copies, more = [], []
-            for source, size, n, tilted in zip(rows["source"], rows["size"], rows["n"], rows["rate"], strict=True):
-                if source != current:
-                    current, left = source, 0.0
-                low = min(int(tilted), most)
-                part = tilted - low
-                up = min(n, max(0, round(n * part + left / size))) if size and part > 0 else 0
-                left += (n * part - up) * size
-                copies.append(low)
-                more.append(up)
-            columns = [batch.column(c) for c in ("source", "size", "block", "source_size", "target")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(copies, pa.int64()), pa.array(more, pa.int64())], schema_names)
-
-    schema_names = [part.split()[0] for part in schema.split(", ")]
     tilted = rate(F.col("multiplier"), F.col("size"), F.col("mean"), most).alias("rate")
-    rows = cells.select("source", "size", "block", "n", "source_size", "target", tilted)
-    dealt = rows.repartition("source").sortWithinPartitions("source", F.desc("size"), "block")
-    return dealt.mapInArrow(run, schema)
+    rows = cells.select("source", "size", "block", "source_size", "target", "n", tilted)
+    schema = "source string, size long, block long, source_size long, target double, copies long, more long"
+    return rows.groupBy("source").applyInPandas(lambda part: settle(part, most), schema)
 
 
 def mix(
