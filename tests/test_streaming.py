@@ -13,7 +13,7 @@ from tracewell.catalogue import streams
 from tracewell.catalogue import telemetry as telemetry_queries
 from tracewell.operators import flatten, latency, selftime
 from tracewell.plans import cart, dashboard
-from tracewell.sinks import deltas, tables
+from tracewell.sinks import deltas, levels, tables
 from tracewell.sources import orders as order_source
 from tracewell.sources import telemetry
 from tracewell.streaming import cart as cart_stream
@@ -65,7 +65,7 @@ def test_maintained_tables_equal_batch(spark, request_files, tmp_path):
     run()
     run()  # nothing new: a restarted group resumes behind what it has read
     spans = flatten.spans(telemetry.traces(spark, request_files))
-    assert deltas.read(spark, store, stream.COUNTS).select("batch_id").distinct().count() == 5
+    assert levels.Log(spark, store, stream.COUNT_LOG).batches() == [0, 1, 2, 3, 4]
     expected = {
         "p95": latency.p95_latency(spans, "1 day"),
         "throughput": latency.throughput(spans, "1 day"),
@@ -78,10 +78,6 @@ def test_maintained_tables_equal_batch(spark, request_files, tmp_path):
     }
     for name, read in readers.items():
         assert rows(read(spark, store)) == rows(expected[name]), name
-    stream.compact(spark, store, 2)
-    stream.compact(spark, store, 3)
-    for name, read in readers.items():
-        assert rows(read(spark, store)) == rows(expected[name]), name
 
 
 def test_replayed_batch_changes_nothing(spark, request_files, tmp_path):
@@ -99,8 +95,8 @@ def test_empty_first_batch_and_unfinished_batches(spark, request_files, tmp_path
     spans = flatten.spans(telemetry.traces(spark, request_files)).drop("resource", "scope", "attributes", "events")
     for batch_id, part in enumerate((spans.where("false"), spans)):
         stream._add_self_time(part, store, batch_id, lateness=None)
-    (tmp_path / "store" / stream.SELF_DELTAS / "batch_id=2").mkdir()  # without _SUCCESS: not finished
-    assert deltas.read(spark, store, stream.SELF_DELTAS).select("batch_id").distinct().count() <= 2
+    left = tmp_path / "store" / stream.SELF_DELTAS / "runs" / "run=0-2-2" / "bucket=0"  # without a manifest: not finished
+    levels.Log(spark, store, stream.DELTA_LOG)._rows(["run=0-1-1/bucket=0"]).write.parquet(str(left))
     assert rows(stream.operation_execution_time(spark, store)) == rows(selftime.operation_execution_time(spans))
 
 
@@ -108,21 +104,47 @@ def test_streams_read_folders_of_files_in_several_batches(spark, tmp_path):
     fixtures.table(spark, SF, "events").repartition(4).write.parquet(str(tmp_path / "events.parquet"))
     assert fixtures.stream(spark, str(tmp_path), "events").isStreaming
     store = streams._maintained(spark, str(tmp_path), "1 day", stream.SELF_DELTAS)
-    assert deltas.read(spark, store, stream.SELF_DELTAS).select("batch_id").distinct().count() == 3
+    assert levels.Log(spark, store, stream.DELTA_LOG).batches() == [0, 1, 2]
     got = stream.operation_execution_time(spark, store)
     assert rows(got) == rows(telemetry_queries.operation_execution_time(spark, SF))
 
 
-def test_scheduled_compaction_keeps_results_and_deletes_folded_batches(spark, request_files, tmp_path):
+def test_folded_levels_keep_results(spark, request_files, tmp_path):
     store = str(tmp_path / "store")
     source = telemetry.traces(
         spark, request_files, fields=selftime.SPAN_FIELDS, envelope=False, stream=True, maxFilesPerTrigger="1"
     )
-    stream.maintain(source, store, str(tmp_path / "cp"), available_now=True, compact_every=2).awaitTermination()
+    layout = {"fanout": 2, "bucket_bytes": 20_000, "grace": 1}
+    stream.maintain(source, store, str(tmp_path / "cp"), width="1 day", available_now=True, **layout).awaitTermination()
     spans = flatten.spans(telemetry.traces(spark, request_files))
     assert rows(stream.operation_execution_time(spark, store)) == rows(selftime.operation_execution_time(spans))
-    assert rows(stream.throughput(spark, store)) == rows(latency.throughput(spans))
-    assert sorted(p.name for p in (tmp_path / "store" / stream.COUNTS).iterdir()) == [f"batch_id={i}" for i in (2, 3, 4)]
+    assert rows(stream.throughput(spark, store)) == rows(latency.throughput(spans, "1 day"))
+    assert rows(stream.p95_latency(spark, store)) == rows(latency.p95_latency(spans, "1 day"))
+    for spec in (stream.COUNT_LOG, stream.PARENT_LOG, stream.CHILD_LOG, stream.DELTA_LOG, stream.SERVED_LOG):
+        log = levels.Log(spark, store, spec)
+        assert {r.level for r in log.manifest().runs} == {0, 2} and log.batches() == [3, 4]
+        here = {p.name for p in (tmp_path / "store" / spec.name / "runs").iterdir()}
+        known = [log.manifest(), log.manifest(upto=3)]
+        assert here == {f"run={r.name}" for m in known for r in [*m.runs, m.own]}
+
+
+def test_served_series_reads_its_days_only(spark, request_files, tmp_path):
+    store = str(tmp_path / "store")
+    source = telemetry.traces(
+        spark, request_files, fields=selftime.SPAN_FIELDS, envelope=False, stream=True, maxFilesPerTrigger="1"
+    )
+    kept = (stream.COUNTS,)
+    stream.maintain(source, store, str(tmp_path / "cp"), available_now=True, tables_kept=kept, fanout=3).awaitTermination()
+    spans = flatten.spans(telemetry.traces(spark, request_files))
+    bounds = ("2024-01-03 00:00:00", "2024-01-05 12:00:00")
+    for got, want in (
+        (stream.p95_series, dashboard.p95_series(latency.p95_latency(spans), *bounds)),
+        (stream.throughput_series, dashboard.throughput_series(latency.throughput(spans), *bounds)),
+    ):
+        series = got(spark, store, *bounds)
+        assert rows(series) == rows(want) and rows(series)
+        days = {f.split("/date=")[1].split("/")[0] for f in series.inputFiles()}
+        assert days == {"2024-01-03", "2024-01-04", "2024-01-05"}
 
 
 def test_flat_tables_append(spark, request_files, tmp_path):

@@ -43,6 +43,15 @@ def stream_operation_execution_time(spark: SparkSession, sf_dir: str) -> DataFra
     return telemetry.operation_execution_time(spark, _maintained(spark, sf_dir, batch.DAY, telemetry.SELF_DELTAS))
 
 
+def served_p95_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latency panel from the served table of a stream whose batches come in the wrong order."""
+    return telemetry.p95_series(spark, _maintained(spark, sf_dir, batch.DAY, telemetry.COUNTS), *batch.RANGE)
+
+
+def served_throughput_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return telemetry.throughput_series(spark, _maintained(spark, sf_dir, "10 seconds", telemetry.COUNTS), *batch.RANGE)
+
+
 def _order_messages(spark: SparkSession, sf_dir: str, broken: str = "o_orderkey % 9 = 0") -> DataFrame:
     """Orders as JSON payloads; some are cut short."""
     payload = """to_json(named_struct('order_id', CAST(o_orderkey AS STRING), 'shipping_tracking_id', o_orderpriority,
@@ -91,6 +100,8 @@ QUERIES = {
         stream_throughput,
         stream_p95_latency_daily,
         stream_operation_execution_time,
+        served_p95_series,
+        served_throughput_series,
         stream_order_accounting,
         stream_order_quarantine,
         stream_order_total,
@@ -101,6 +112,8 @@ ORACLE = {
     "stream_throughput": batch.ORACLE["throughput"],
     "stream_p95_latency_daily": batch.ORACLE["p95_latency_daily"],
     "stream_operation_execution_time": batch.ORACLE["operation_execution_time"],
+    "served_p95_series": batch.ORACLE["p95_series"],
+    "served_throughput_series": batch.ORACLE["throughput_series"],
     "stream_order_accounting": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority AS shipping_tracking_id,
        CAST(floor(o_totalprice) AS BIGINT) AS units FROM orders WHERE o_orderkey % 9 <> 0""",
     "stream_order_quarantine": """SELECT left('{"order_id":"' || o_orderkey || '","shipping_tracking_id":"', 25) AS value

@@ -74,6 +74,11 @@ def p95_from_counts(counts: DataFrame) -> DataFrame:
     return picked.select(latency.alias("latencyMs"), "time")
 
 
+def windows_from_counts(counts: DataFrame) -> DataFrame:
+    """Percentile and number of requests of every window, ``(time, latencyMs, throughput)``."""
+    return p95_from_counts(counts).join(throughput_from_counts(counts), "time")
+
+
 def p95_latency(spans: DataFrame, width: str = WINDOW_WIDTH) -> DataFrame:
     return p95_from_counts(latency_counts(spans, width))
 

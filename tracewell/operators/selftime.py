@@ -61,9 +61,7 @@ def signed_deltas(parents: DataFrame, children: DataFrame) -> DataFrame:
 
 def merge_parents(parents: DataFrame) -> DataFrame:
     """Parent sums of several batches, again one row per identity and name."""
-    return parents.groupBy("traceId", "spanId", "name").agg(
-        F.sum("own_ms").alias("own_ms"), F.sum("timed").alias("timed")
-    )
+    return parents.groupBy("traceId", "spanId", "name").agg(F.sum("timed").alias("timed"))
 
 
 def merge_children(children: DataFrame) -> DataFrame:

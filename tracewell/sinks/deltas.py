@@ -1,12 +1,12 @@
-"""Logs of mergeable changes, one folder per micro-batch.
+"""Logs of rows, one folder per micro-batch.
 
-A batch overwrites its own folder, so a replay after a failure changes nothing. Readers add the batches
-up. ``compact`` folds finished batches into a base; readers then list only the batches after it.
+A batch overwrites its own folder, so a replay after a failure changes nothing. Readers see finished batches.
+Logs whose rows add up are kept by :mod:`tracewell.sinks.levels`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -14,9 +14,6 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from tracewell.sinks import tables
 
 BATCH = "batch_id"
-UPTO = "upto"
-
-Fold = Callable[[DataFrame], DataFrame]
 
 
 def write(df: DataFrame, store: str, name: str, batch_id: int, partition_by: Sequence[str] = ()) -> None:
@@ -46,37 +43,3 @@ def _numbered(spark: SparkSession, folder: str, key: str) -> list[int]:
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{key}=*/_SUCCESS")
     found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done)
     return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or ())
-
-
-def rows(spark: SparkSession, store: str, name: str, upto: int | None = None, schema: StructType | None = None) -> DataFrame:
-    """The newest base and the batches after it, not beyond ``upto``."""
-    folder = tables.path(store, name)
-    bases = [b for b in _numbered(spark, f"{folder}_base", UPTO) if upto is None or b < upto]
-    start = bases[-1] if bases else -1
-    batches = [b for b in _numbered(spark, folder, BATCH) if b > start and (upto is None or b <= upto)]
-    found = _folders(spark, folder, BATCH, batches, schema).drop(BATCH) if batches or not bases else None
-    if bases:
-        base = _folders(spark, f"{folder}_base", UPTO, bases[-1:], schema).drop(BATCH, UPTO)
-        found = base if found is None else found.unionByName(base)
-    return found
-
-
-def merged(spark: SparkSession, store: str, name: str, fold: Fold) -> DataFrame:
-    """The log folded. ``fold`` must give the same result when it is applied to partly folded rows, as
-    sums per key do."""
-    return fold(rows(spark, store, name))
-
-
-def compact(
-    spark: SparkSession, store: str, name: str, upto: int, fold: Fold, schema: StructType | None = None
-) -> None:
-    """Fold the batches up to ``upto`` into a new base. The previous base and the batches since it stay, for readers
-    that have listed them; what the previous base had folded goes."""
-    folder = tables.path(store, name)
-    older = [b for b in _numbered(spark, f"{folder}_base", UPTO) if b < upto]
-    fold(rows(spark, store, name, upto, schema)).write.mode("overwrite").parquet(f"{folder}_base/{UPTO}={upto}")
-    if older:
-        gone = [f"{folder}/{BATCH}={b}" for b in _numbered(spark, folder, BATCH) if b <= older[-1]]
-        gone += [f"{folder}_base/{UPTO}={b}" for b in older[:-1]]
-        for place in map(spark._jvm.org.apache.hadoop.fs.Path, gone):
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -1,29 +1,72 @@
 """Continuously maintained telemetry tables.
 
-Flat tables are append streams. Aggregates are kept as logs of mergeable changes: each micro-batch adds
+Flat tables are append streams. Aggregates are kept as levelled logs of mergeable changes: each micro-batch adds
 its counts per window and latency, and its signed contributions to self time. Late rows therefore update
-their window whenever they arrive, no operator state grows, and a replayed batch overwrites itself.
+their window whenever they arrive, no operator state grows, and a replayed batch changes nothing. Latency and
+throughput are served from a table of their own, in which a batch replaces the windows it touched.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType, TimestampNTZType
+from pyspark.sql.types import DateType, LongType, StringType, TimestampNTZType
 
 from tracewell.functions import text
 from tracewell.operators import flatten, latency, selftime
-from tracewell.sinks import deltas, tables
+from tracewell.plans import dashboard
+from tracewell.sinks import levels, tables
 
 COUNTS = "latency_counts"
 SELF_DELTAS = "self_time_deltas"
 PARENTS = "self_time_parents"
 CHILDREN = "self_time_children"
+SERVED = "latency_served"
 SEEN_DATE = "seen_date"
+DATE = "date"
+
+TIME, LONG, DAY, STRING = TimestampNTZType(), LongType(), DateType(), StringType()
+
+COUNT_LOG = levels.Spec(
+    COUNTS,
+    levels.columns(("time", TIME), ("ms", LONG), ("n", LONG), (DATE, DAY)),
+    keys=("time", "ms", DATE),
+    route=("time",),
+    sums=("n",),
+    day=DATE,
+)
+SERVED_LOG = levels.Spec(
+    SERVED,
+    levels.columns(("time", TIME), ("latencyMs", LONG), ("throughput", LONG), ("version", LONG), (DATE, DAY)),
+    keys=("time", DATE),
+    route=("time",),
+    newest=("latencyMs", "throughput"),
+    version="version",
+    day=DATE,
+)
+DELTA_LOG = levels.Spec(
+    SELF_DELTAS, levels.columns(("name", STRING), ("delta", LONG)), keys=("name",), route=("name",), sums=("delta",)
+)
+PARENT_LOG = levels.Spec(
+    PARENTS,
+    levels.columns(("traceId", STRING), ("spanId", STRING), ("name", STRING), ("timed", LONG), (SEEN_DATE, DAY)),
+    keys=("traceId", "spanId", "name", SEEN_DATE),
+    route=("traceId", "spanId"),
+    sums=("timed",),
+    day=SEEN_DATE,
+)
+CHILD_LOG = levels.Spec(
+    CHILDREN,
+    levels.columns(("c_trace", STRING), ("c_parent", STRING), ("child_ms", LONG), (SEEN_DATE, DAY)),
+    keys=("c_trace", "c_parent", SEEN_DATE),
+    route=("c_trace", "c_parent"),
+    sums=("child_ms",),
+    day=SEEN_DATE,
+)
 
 
 def _start(writer, checkpoint: str, available_now: bool, interval: str) -> StreamingQuery:
@@ -97,90 +140,63 @@ def windowed_throughput(
     )
 
 
-# Folding of the change logs ----------------------------------------------------------------------
-
+# Changes of one batch -------------------------------------------------------------------------------
 
-def fold_counts(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("time", "ms").agg(F.sum("n").alias("n"))
 
+def _add_self_time(
+    spans: DataFrame, store: str, batch_id: int, lateness: timedelta | None = None, **layout: int
+) -> None:
+    """Contributions of one batch: own durations, minus those of children for every parent/child pair in which at least
+    one side is new. Earlier sides are read from earlier batches only, so a replay sees what the first attempt saw,
+    and only from the buckets that hold keys of this batch, whatever the length of the log.
 
-def fold_deltas(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("name").agg(F.sum("delta").alias("delta"))
-
-
-def fold_parents(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("traceId", "spanId", "name", SEEN_DATE).agg(
-        F.sum("own_ms").alias("own_ms"), F.sum("timed").alias("timed"), F.max("seen").alias("seen")
-    )
-
-
-def fold_children(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("c_trace", "c_parent", SEEN_DATE).agg(
-        F.sum("child_ms").alias("child_ms"), F.max("seen").alias("seen")
-    )
-
-
-# Fixed by the folds: what the pairing logs hold.
-PARENT_ROWS = (
-    StructType()
-    .add("traceId", "string")
-    .add("spanId", "string")
-    .add("name", "string")
-    .add("own_ms", "long")
-    .add("timed", "long")
-    .add("seen", TimestampNTZType())
-    .add(SEEN_DATE, "date")
-)
-CHILD_ROWS = (
-    StructType()
-    .add("c_trace", "string")
-    .add("c_parent", "string")
-    .add("child_ms", "long")
-    .add("seen", TimestampNTZType())
-    .add(SEEN_DATE, "date")
-)
-
-
-def _add_self_time(spans: DataFrame, store: str, batch_id: int, lateness: timedelta | None) -> None:
-    """Contributions of one batch: own durations, minus those of children for every parent/child pair
-    in which at least one side is new. Earlier sides are read from earlier batches only, so a replay
-    sees what the first attempt saw, and are cut to the keys of this batch before they are grouped.
-
-    A pair may be split over batches by any distance. With ``lateness`` only earlier rows seen at most
-    that long before this batch are read; the folders of older dates are skipped.
+    A pair may be split over batches by any distance. With ``lateness`` the days that lie further behind the latest
+    day seen are left out and deleted.
+    """
+    spark = spans.sparkSession
+    day = F.max("eventTime").cast("date").alias(SEEN_DATE)
+    parent_log = levels.Log(spark, store, PARENT_LOG, lateness, **layout)
+    child_log = levels.Log(spark, store, CHILD_LOG, lateness, **layout)
+    sums = selftime.parent_sums(spans, day).persist()
+    try:
+        paired = sums.where("traceId IS NOT NULL AND spanId IS NOT NULL AND timed > 0")
+        parents = parent_log.added(paired, batch_id)
+        children = child_log.added(selftime.child_sums(spans, day), batch_id)
+        parent_keys = parents.select(F.col("traceId").alias("c_trace"), F.col("spanId").alias("c_parent"))
+        child_keys = children.select(F.col("c_trace").alias("traceId"), F.col("c_parent").alias("spanId"))
+        old_children = child_log.read(upto=batch_id - 1, touching=parent_keys)
+        old_children = old_children.join(parent_keys.distinct(), ["c_trace", "c_parent"], "left_semi")
+        old_parents = parent_log.read(upto=batch_id - 1, touching=child_keys)
+        old_parents = old_parents.join(child_keys.distinct(), ["traceId", "spanId"], "left_semi")
+        changes = [
+            sums.groupBy("name").agg(F.sum("own_ms").alias("delta")),
+            selftime.signed_deltas(parents, selftime.merge_children(old_children.unionByName(children))),
+            selftime.signed_deltas(selftime.merge_parents(old_parents), children),
+        ]
+        combined = DELTA_LOG.folded(changes[0].unionByName(changes[1]).unionByName(changes[2]))
+        levels.Log(spark, store, DELTA_LOG, **layout).add(combined, batch_id)
+    finally:
+        sums.unpersist()
+
+
+def _add_latency(
+    spans: DataFrame, store: str, batch_id: int, width: str, retention: timedelta | None = None, **layout: int
+) -> None:
+    """Counts of one batch, and the windows it touched, computed anew and served under the batch as their version.
+
+    Only the days and buckets of touched windows are read.
     """
     spark = spans.sparkSession
-    seen = F.max("eventTime").alias("seen")
-    new = {}
-    for name, sums, schema in (
-        (PARENTS, selftime.parent_sums(spans, seen), PARENT_ROWS),
-        (CHILDREN, selftime.child_sums(spans, seen), CHILD_ROWS),
-    ):
-        dated = sums.withColumn(SEEN_DATE, F.col("seen").cast("date"))
-        deltas.write(dated, store, name, batch_id, partition_by=(SEEN_DATE,))
-        written = deltas.read(spark, store, name, schema)
-        new[name] = written.where(F.col(deltas.BATCH) == batch_id).drop(deltas.BATCH)
-    first = spans.agg(F.min("eventTime")).first()[0] if lateness is not None else None
-
-    def earlier(name: str, schema: StructType) -> DataFrame:
-        rows = deltas.rows(spark, store, name, batch_id - 1, schema)
-        if first is None:
-            return rows
-        oldest = F.lit(str(first - lateness)).cast("timestamp_ntz")
-        return rows.where((F.col(SEEN_DATE) >= oldest.cast("date")) & (F.col("seen") >= oldest))
-
-    parents, children = new[PARENTS], new[CHILDREN]
-    wanted = parents.select(F.col("traceId").alias("c_trace"), F.col("spanId").alias("c_parent")).distinct()
-    old_children = earlier(CHILDREN, CHILD_ROWS).join(wanted, ["c_trace", "c_parent"], "left_semi")
-    asking = children.select(F.col("c_trace").alias("traceId"), F.col("c_parent").alias("spanId")).distinct()
-    old_parents = earlier(PARENTS, PARENT_ROWS).join(asking, ["traceId", "spanId"], "left_semi")
-    changes = [
-        parents.groupBy("name").agg(F.sum("own_ms").alias("delta")),
-        selftime.signed_deltas(parents, selftime.merge_children(old_children.unionByName(children))),
-        selftime.signed_deltas(selftime.merge_parents(old_parents), children),
-    ]
-    combined = changes[0].unionByName(changes[1]).unionByName(changes[2])
-    deltas.write(fold_deltas(combined), store, SELF_DELTAS, batch_id)
+    log = levels.Log(spark, store, COUNT_LOG, retention, **layout)
+    new = log.added(latency.latency_counts(spans, width).withColumn(DATE, F.col("time").cast("date")), batch_id)
+    touched = new.select("time").distinct()
+    days = new.agg(F.min(DATE), F.max(DATE)).first()
+    counted = log.read(upto=batch_id, touching=touched, days=tuple(days) if days[0] else None)
+    counted = COUNT_LOG.folded(counted.join(touched, "time", "left_semi"))
+    windows = latency.windows_from_counts(counted).withColumns(
+        {"version": F.lit(batch_id).cast("bigint"), DATE: F.col("time").cast("date")}
+    )
+    levels.Log(spark, store, SERVED_LOG, retention, **layout).add(windows, batch_id)
 
 
 def maintain(
@@ -193,25 +209,26 @@ def maintain(
     available_now: bool = False,
     interval: str = "10 seconds",
     tables_kept: Sequence[str] = (COUNTS, SELF_DELTAS),
-    compact_every: int = 64,
+    retention: timedelta | None = None,
+    **layout: int,
 ) -> StreamingQuery:
     """Keep latency, throughput and self time up to date from a stream of trace requests.
 
-    ``tables_kept`` names what is wanted: counts per window and latency, self time, or both. After every
-    ``compact_every`` batches the finished ones are folded, and what an earlier fold had replaced is deleted. Narrow the source to :data:`tracewell.operators.selftime.SPAN_FIELDS`; nothing else is read.
+    ``tables_kept`` names what is wanted: counts per window and latency with the served windows, self time, or both.
+    ``lateness`` bounds how far apart the days of a parent and its child may be, ``retention`` how long windows stay.
+    ``layout`` (``fanout``, ``bucket_bytes``, ``grace``) is that of :class:`tracewell.sinks.levels.Log`. Narrow the source
+    to :data:`tracewell.operators.selftime.SPAN_FIELDS`; nothing else is read.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spans = batch.persist()
         try:
             if COUNTS in tables_kept:
-                deltas.write(latency.latency_counts(spans, width), store, COUNTS, batch_id)
+                _add_latency(spans, store, batch_id, width, retention, **layout)
             if SELF_DELTAS in tables_kept:
-                _add_self_time(spans, store, batch_id, lateness)
+                _add_self_time(spans, store, batch_id, lateness, **layout)
         finally:
             spans.unpersist()
-        if batch_id and batch_id % compact_every == 0:
-            compact(batch.sparkSession, store, batch_id - 1, tables_kept)
 
     slim = flatten.spans(requests, on_bad_record="null", root=root).select(
         "traceId", "spanId", "parentSpanId", "name", "elapsedTimeMillis", "eventTime"
@@ -222,27 +239,32 @@ def maintain(
 # Reading -----------------------------------------------------------------------------------------
 
 
-def counts(spark: SparkSession, store: str) -> DataFrame:
-    return deltas.merged(spark, store, COUNTS, fold_counts)
+def served(
+    spark: SparkSession, store: str, time_from: datetime | str | None = None, time_to: datetime | str | None = None
+) -> DataFrame:
+    """``(time, latencyMs, throughput)`` of every window, or of those on the days of a time range."""
+    days = None
+    if time_from is not None and time_to is not None:
+        days = tuple(datetime.fromisoformat(str(t)).date() for t in (time_from, time_to))
+    return levels.Log(spark, store, SERVED_LOG).folded(days=days).select("time", "latencyMs", "throughput")
 
 
 def p95_latency(spark: SparkSession, store: str) -> DataFrame:
-    return latency.p95_from_counts(counts(spark, store))
+    return served(spark, store).select("latencyMs", "time")
 
 
 def throughput(spark: SparkSession, store: str) -> DataFrame:
-    return latency.throughput_from_counts(counts(spark, store))
+    return served(spark, store).select("throughput", "time")
 
 
-def operation_execution_time(spark: SparkSession, store: str) -> DataFrame:
-    return deltas.merged(spark, store, SELF_DELTAS, fold_deltas).select("name", F.col("delta").alias("elapsed"))
+def p95_series(spark: SparkSession, store: str, time_from: datetime | str, time_to: datetime | str) -> DataFrame:
+    """The latency panel over a range, newest first; no other day's folders are opened."""
+    return dashboard.p95_series(served(spark, store, time_from, time_to), time_from, time_to)
 
 
-def compact(spark: SparkSession, store: str, upto: int, tables_kept: Sequence[str] = (COUNTS, SELF_DELTAS)) -> None:
-    """Fold the change logs up to a finished batch, so reads stay short and pairing reads each key once."""
-    if COUNTS in tables_kept:
-        deltas.compact(spark, store, COUNTS, upto, fold_counts)
-    if SELF_DELTAS in tables_kept:
-        deltas.compact(spark, store, SELF_DELTAS, upto, fold_deltas)
-        deltas.compact(spark, store, PARENTS, upto, fold_parents, PARENT_ROWS)
-        deltas.compact(spark, store, CHILDREN, upto, fold_children, CHILD_ROWS)
+def throughput_series(spark: SparkSession, store: str, time_from: datetime | str, time_to: datetime | str) -> DataFrame:
+    return dashboard.throughput_series(served(spark, store, time_from, time_to), time_from, time_to)
+
+
+def operation_execution_time(spark: SparkSession, store: str) -> DataFrame:
+    return levels.Log(spark, store, DELTA_LOG).folded().select("name", F.col("delta").alias("elapsed"))
