@@ -256,32 +256,36 @@ def _cart_lines():
     return writes
 
 
-def test_cart_stream_equals_batch(spark, tmp_path):
-    pytest.importorskip("google.protobuf")
+def carts(df):
+    return {(r.user_id, r.product_id): r.quantity for r in df.collect()}
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_cart_stream_equals_batch_in_any_order(spark, tmp_path, shuffled):
+    """Late writes count: emptyings between older additions, and writes that bridge the gap between two carts."""
     writes = _cart_lines()
-    for i in range(4):
-        put(tmp_path, i, "\n".join(map(json.dumps, writes[i * 30 : (i + 1) * 30])))
-    previous = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", cart_stream.STATE_STORE)
-    try:
-        source = spark.readStream.schema(schemas.CART_EVENT).option("maxFilesPerTrigger", 1).json(str(tmp_path))
-        seen = []
-        query = (
-            cart_stream.carts(source, lateness="0 seconds")
-            .writeStream.outputMode("update")
-            .foreachBatch(lambda df, i: seen.extend((i, r) for r in df.collect()))
-            .option("checkpointLocation", str(tmp_path / "cp"))
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", previous)
-    state = {}
-    for _, r in sorted(seen, key=lambda s: (s[0], s[1].as_of)):
-        state[(r.user_id, r.product_id)] = r.quantity
-    got = {k: q for k, q in state.items() if q}
-    end = max(datetime.fromisoformat(w["event_time"]) for w in writes)
-    batch = spark.read.schema(schemas.CART_EVENT).json(str(tmp_path) + "/*.json")
-    expected = {(r.user_id, r.product_id): r.quantity for r in cart.state(batch, as_of=end).collect()}
-    assert got == expected
+    source = spark.createDataFrame([(w | {"event_time": datetime.fromisoformat(w["event_time"])}) for w in writes], schemas.CART_EVENT)
+    if shuffled:
+        random.Random(11).shuffle(writes)
+    store, end = str(tmp_path), max(datetime.fromisoformat(w["event_time"]) for w in writes)
+    for i in range(6):
+        part = source.where(F.col("seq").isin([w["seq"] for w in writes[i * 20 : (i + 1) * 20]]))
+        for _ in range(1 + (i == 3)):  # one batch is replayed
+            cart_stream._apply(part, store, i, cart.TIME_TO_LIVE, fanout=3, bucket_bytes=3000, grace=1)
+        seen = source.where(F.col("seq").isin([w["seq"] for w in writes[: (i + 1) * 20]]))
+        if i in (1, 5):
+            assert carts(cart_stream.items(spark, store)) == carts(cart.state(seen)), i
+    for now in (end, end + timedelta(minutes=61)):
+        assert carts(cart_stream.items(spark, store, as_of=now)) == carts(cart.state(source, as_of=now))
+
+
+def test_cart_stream_resumes(spark, tmp_path):
+    source, store = tmp_path / "in", str(tmp_path / "store")
+    source.mkdir()
+    writes = _cart_lines()
+    for i in range(2):
+        put(source, i, "\n".join(map(json.dumps, writes[i * 60 : (i + 1) * 60])))
+        stream_in = spark.readStream.schema(schemas.CART_EVENT).json(str(source))
+        cart_stream.maintain(stream_in, store, str(tmp_path / "cp"), available_now=True).awaitTermination()
+    batch = spark.read.schema(schemas.CART_EVENT).json(str(source) + "/*.json")
+    assert carts(cart_stream.items(spark, store)) == carts(cart.state(batch))

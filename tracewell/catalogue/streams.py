@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell import fixtures
+from tracewell.catalogue import shop
 from tracewell.catalogue import telemetry as batch
 from tracewell.operators import selftime
 from tracewell.session import checkpoint_path, configure
 from tracewell.sinks import deltas
-from tracewell.streaming import orders, telemetry
+from tracewell.streaming import cart, orders, telemetry
 
 
 def _run_folder(spark: SparkSession) -> tuple[str, str]:
@@ -52,6 +53,14 @@ def served_throughput_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.throughput_series(spark, _maintained(spark, sf_dir, "10 seconds", telemetry.COUNTS), *batch.RANGE)
 
 
+def stream_cart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carts after writes that came in the wrong order."""
+    store, checkpoint = _run_folder(spark)
+    writes = fixtures.cart_writes(spark, sf_dir, streaming=True)
+    cart.maintain(writes, store, checkpoint, ttl=shop.CART_LIFE, available_now=True).awaitTermination()
+    return cart.items(spark, store, shop.CART_LIFE)
+
+
 def _order_messages(spark: SparkSession, sf_dir: str, broken: str = "o_orderkey % 9 = 0") -> DataFrame:
     """Orders as JSON payloads; some are cut short."""
     payload = """to_json(named_struct('order_id', CAST(o_orderkey AS STRING), 'shipping_tracking_id', o_orderpriority,
@@ -102,6 +111,7 @@ QUERIES = {
         stream_operation_execution_time,
         served_p95_series,
         served_throughput_series,
+        stream_cart_state,
         stream_order_accounting,
         stream_order_quarantine,
         stream_order_total,
@@ -114,6 +124,7 @@ ORACLE = {
     "stream_operation_execution_time": batch.ORACLE["operation_execution_time"],
     "served_p95_series": batch.ORACLE["p95_series"],
     "served_throughput_series": batch.ORACLE["throughput_series"],
+    "stream_cart_state": shop.ORACLE["cart_state"],
     "stream_order_accounting": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority AS shipping_tracking_id,
        CAST(floor(o_totalprice) AS BIGINT) AS units FROM orders WHERE o_orderkey % 9 <> 0""",
     "stream_order_quarantine": """SELECT left('{"order_id":"' || o_orderkey || '","shipping_tracking_id":"', 25) AS value

@@ -30,14 +30,21 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
-def replay(spark: SparkSession, sf_dir: str, name: str, order: str, batches: int = 3) -> DataFrame:
-    """A table as a stream of several micro-batches, the largest values of ``order`` first.
+def replay(
+    spark: SparkSession, sf_dir: str, name: str, order: str, batches: int = 3, descending: bool = True
+) -> DataFrame:
+    """A table as a stream of several micro-batches by a whole-numbered column, the largest values first if ``descending``.
 
-    The whole table is laid out anew in as many files, below the checkpoint root.
+    The whole table is laid out anew, below the checkpoint root, in as many files one after the other, so that their times
+    give the order. A batch holds an equal part of the column's range.
     """
     rows = table(spark, sf_dir, name)
     folder = checkpoint_path(spark, f"replay-{uuid.uuid4().hex}")
-    rows.repartitionByRange(batches, F.col(order).desc()).write.parquet(folder)
+    low, high = rows.agg(F.min(order), F.max(order)).first()
+    part = F.expr(f"({order} - {low}) * {batches} DIV ({high} - {low} + 1)") if low is not None else F.lit(0)
+    steps = reversed(range(batches)) if descending else range(batches)
+    for step in steps:
+        rows.where(part == step).coalesce(1).write.mode("append").parquet(folder)
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
@@ -182,9 +189,11 @@ def products(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame
     )
 
 
-def cart_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cart_writes(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """Cart writes; streamed in several batches, the latest writes first."""
+    source = replay(spark, sf_dir, "events", "event_id", batches=4) if streaming else table(spark, sf_dir, "events")
     return (
-        table(spark, sf_dir, "events")
+        source
         .selectExpr(
             "CAST(user_id AS STRING) AS user_id",
             "CAST(event_id % 7 AS STRING) AS product_id",

@@ -1,103 +1,130 @@
-"""Cart state as a stateful stream.
+"""Cart state from a stream of writes that may come in any order.
 
-State per user is a map from product to quantity, the time of the last write, and a timer that removes the
-cart when it has not been written for the time to live. Each micro-batch emits the items that changed; a
-quantity of zero means the item is gone.
+Writes are kept as two levelled logs that don't depend on the order of arrival: per user and time-to-live bin the first and
+last write and the last time the cart was emptied, and what was added at which moment. A batch works out the carts of
+the users it touched from these, and replaces their items in a served table. No write is lost for being late.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import timedelta
+from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from tracewell.plans.cart import EMPTY, TIME_TO_LIVE
-
-OUTPUT = "user_id string, product_id string, quantity bigint, as_of timestamp"
-STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-class CartProcessor(StatefulProcessor):
-    """Applies writes of one user in time order. The number of writes in memory is bounded by the size
-    limit of the micro-batch, set on the source."""
-
-    def __init__(self, ttl: timedelta = TIME_TO_LIVE):
-        self._ttl_us = ttl // timedelta(microseconds=1)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._items = handle.getMapState("items", "product_id string", "quantity bigint")
-        self._written = handle.getValueState("written", "at_us bigint")
-
-    def _rows(self, user: str, changed: dict[str, int], at_us: int) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "user_id": pd.Series([user] * len(changed), dtype=object),
-                "product_id": pd.Series(list(changed), dtype=object),
-                "quantity": pd.Series(list(changed.values()), dtype="int64"),
-                "as_of": pd.to_datetime([at_us] * len(changed), unit="us"),
-            }
-        )
-
-    def _clear(self, changed: dict[str, int]) -> None:
-        for (product,) in list(self._items.keys()):
-            changed[product] = 0
-        self._items.clear()
-
-    def _reset_timer(self, at_us: int) -> None:
-        """A cart ends once more than the time to live has passed; timers count whole milliseconds."""
-        for timer in list(self._handle.listTimers()):
-            self._handle.deleteTimer(timer)
-        self._handle.registerTimer((at_us + self._ttl_us) // 1000 + 1)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        writes = pd.concat(list(rows)).sort_values(["event_time", "seq"])
-        changed: dict[str, int] = {}
-        last = self._written.get()[0] if self._written.exists() else None
-        for write in writes.itertuples(index=False):
-            at_us = write.event_time.value // 1000
-            if last is not None and at_us - last > self._ttl_us:
-                self._clear(changed)
-            if write.kind == EMPTY:
-                self._clear(changed)
-            else:
-                held = self._items.getValue((write.product_id,))[0] if self._items.containsKey((write.product_id,)) else 0
-                changed[write.product_id] = held + int(write.quantity)
-                self._items.updateValue((write.product_id,), (changed[write.product_id],))
-            last = at_us if last is None else max(last, at_us)
-        self._written.update((last,))
-        self._reset_timer(last)
-        yield self._rows(key[0], changed, last)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        changed: dict[str, int] = {}
-        self._clear(changed)
-        self._written.clear()
-        yield self._rows(key[0], changed, expiredTimerInfo.getExpiryTimeInMs() * 1000)
-
-    def close(self) -> None:
-        pass
-
-
-def carts(writes: DataFrame, lateness: str, ttl: timedelta = TIME_TO_LIVE) -> DataFrame:
-    """Changed cart items as a streaming frame for update mode.
-
-    Writes that are more than ``lateness`` older than the newest one seen are not applied, as event time has passed
-    them; choose it no shorter than sources may lag. The query's progress counts them (``numRowsDroppedByWatermark``).
-    ``writes`` has the columns of a cart write. Needs the RocksDB state store (:data:`STATE_STORE`).
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import DateType, DecimalType, IntegerType, LongType, StringType
+
+from tracewell.plans import cart
+from tracewell.sinks import levels
+
+BINS, ADDS, SERVED = "cart_bins", "cart_adds", "cart_served"
+DAY, SALT = "day", "salt"
+#: Parts of a user's added items, so that a user with very many writes does not fill one bucket.
+SALTS = 8
+
+TEXT, LONG = StringType(), LongType()
+BIN_LOG = levels.Spec(
+    BINS,
+    levels.columns(("user_id", TEXT), ("bin", LONG), ("first", LONG), ("last", LONG), ("emptied", DecimalType(38, 0)), (DAY, DateType())),
+    keys=("user_id", "bin", DAY),
+    route=("user_id",),
+    minima=("first",),
+    maxima=("last", "emptied"),
+    day=DAY,
+)
+ADD_LOG = levels.Spec(
+    ADDS,
+    levels.columns(("user_id", TEXT), (SALT, IntegerType()), ("product_id", TEXT), ("t", LONG), ("seq", LONG), ("quantity", LONG), (DAY, DateType())),
+    keys=("user_id", SALT, "product_id", "t", "seq", DAY),
+    route=("user_id", SALT),
+    sums=("quantity",),
+    day=DAY,
+)
+SERVED_LOG = levels.Spec(
+    SERVED,
+    levels.columns(("user_id", TEXT), ("product_id", TEXT), ("quantity", LONG), ("last_write", LONG), ("version", LONG)),
+    keys=("user_id", "product_id"),
+    route=("user_id",),
+    newest=("quantity", "last_write"),
+    version="version",
+)
+
+
+def _day(micros: str):
+    return F.timestamp_micros(micros).cast("date")
+
+
+def _apply(
+    writes: DataFrame, store: str, batch_id: int, ttl: timedelta, retention: timedelta | None = None, **layout: int
+) -> None:
+    """Add the writes of one batch and serve the carts of its users anew.
+
+    Added items are read from the buckets of these users, and from the day on which the first of their carts began.
     """
-    timed = writes.withColumn("event_time", F.col("event_time").cast("timestamp"))
-    return (
-        timed.withWatermark("event_time", lateness)
-        .groupBy("user_id")
-        .transformWithStateInPandas(
-            statefulProcessor=CartProcessor(ttl),
-            outputStructType=OUTPUT,
-            outputMode="Update",
-            timeMode="EventTime",
-        )
+    spark = writes.sparkSession
+    ttl_us = ttl // timedelta(microseconds=1)
+    timed = cart.timed(writes).where("t IS NOT NULL")
+    bins = cart.bins(timed, ttl_us).withColumns({"emptied": F.col("emptied").cast("decimal(38,0)"), DAY: _day("first")})
+    bin_log = levels.Log(spark, store, BIN_LOG, retention, **layout)
+    touched = bin_log.added(bins, batch_id).select("user_id").distinct()
+
+    adds = timed.where(F.col("kind") == cart.ADD).withColumns(
+        {SALT: F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int"), DAY: _day("t"), "quantity": F.col("quantity").cast("bigint")}
     )
+    add_log = levels.Log(spark, store, ADD_LOG, retention, **layout)
+    add_log.add(ADD_LOG.folded(adds), batch_id)
+
+    known = bin_log.read(upto=batch_id, touching=touched).join(touched, "user_id", "left_semi")
+    cutoffs = cart.cutoffs(BIN_LOG.folded(known), ttl_us).persist()
+    served = levels.Log(spark, store, SERVED_LOG, **layout)
+    try:
+        first, last = cutoffs.agg(F.min(_day("begun")), F.max(_day("last_write"))).first()
+        parts = touched.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        added = add_log.read(upto=batch_id, touching=parts, days=(first, last) if first else None)
+        held = cart.current(added, cutoffs)
+        before = served.read(upto=batch_id - 1, touching=touched).join(touched, "user_id", "left_semi")
+        none = before.select("user_id", "product_id", F.lit(0).cast("bigint").alias("quantity"))  # unless still held
+        now = held.unionByName(none).groupBy("user_id", "product_id").agg(F.sum("quantity").alias("quantity"))
+        rows = now.join(cutoffs.select("user_id", "last_write"), "user_id")
+        served.add(rows.withColumn("version", F.lit(batch_id).cast("bigint")), batch_id)
+    finally:
+        cutoffs.unpersist()
+
+
+def maintain(
+    writes: DataFrame,
+    store: str,
+    checkpoint: str,
+    ttl: timedelta = cart.TIME_TO_LIVE,
+    retention: timedelta | None = None,
+    available_now: bool = False,
+    interval: str = "10 seconds",
+    **layout: int,
+) -> StreamingQuery:
+    """Keep carts up to date from a stream of cart writes (columns as in :mod:`tracewell.plans.cart`).
+
+    With ``retention`` the days of writes that lie further behind the latest one are dropped. ``layout`` is that of
+    :class:`tracewell.sinks.levels.Log`.
+    """
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            _apply(held, store, batch_id, ttl, retention, **layout)
+        finally:
+            held.unpersist()
+
+    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    return writes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def items(
+    spark: SparkSession, store: str, ttl: timedelta = cart.TIME_TO_LIVE, as_of: datetime | None = None
+) -> DataFrame:
+    """Items of each cart, ``(user_id, product_id, quantity)``; with ``as_of`` carts that have expired by then are left
+    out."""
+    found = levels.Log(spark, store, SERVED_LOG).folded().where("quantity <> 0")
+    if as_of is not None:
+        now = F.unix_micros(F.lit(str(as_of)).cast("timestamp"))
+        found = found.where(now - F.col("last_write") <= F.lit(ttl // timedelta(microseconds=1)))
+    return found.select("user_id", "product_id", "quantity")
