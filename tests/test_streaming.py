@@ -14,6 +14,7 @@ from tracewell.catalogue import telemetry as telemetry_queries
 from tracewell.operators import flatten, latency, selftime
 from tracewell.plans import cart, dashboard
 from tracewell.sinks import deltas, levels, tables
+from tracewell.sources import catalog as catalog_source
 from tracewell.sources import orders as order_source
 from tracewell.sources import telemetry
 from tracewell.streaming import cart as cart_stream
@@ -237,6 +238,62 @@ def test_monitor_counts_and_fails_on_bad_payload(spark, tmp_path):
         run(bad, "monitor_bad")
 
 
+def test_order_numbers_survive_replays(spark, tmp_path):
+    """A stream that is cut before its ledger entry gives the same numbers when its batch is tried again."""
+    source, store, checkpoint = tmp_path / "in", str(tmp_path / "store"), str(tmp_path / "cp")
+    source.mkdir()
+
+    def run():
+        messages = order_source.from_files(spark, str(source), max_files=1)
+        placed = messages.withColumn("offset", F.get_json_object("value", "$.order_id").substr(2, 9).cast("long"))
+        order_stream.number(placed, store, checkpoint, available_now=True).awaitTermination()
+
+    for i, part in enumerate((ORDERS[:2], ORDERS[2:5], ORDERS[5:])):
+        put(source, i, "\n".join(reversed(part)))
+    run()
+    last = sorted((tmp_path / "cp" / "commits").glob("[0-9]*"))[-1]
+    last.unlink()
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    run()  # the last batch again
+    (source / "bad").write_text("broken")
+    with pytest.raises(Exception, match="order parsing failed"):
+        run()
+    got = deltas.read(spark, store, order_stream.NUMBERED).collect()
+    assert sorted((r.order_id, r.running_count) for r in got) == [(f"o{i}", i + 1) for i in range(6)]
+
+
+def test_a_replayed_batch_sees_its_first_catalog(spark, tmp_path):
+    state = {"price": 1, "loads": 0}
+
+    def load():
+        state["loads"] += 1
+        if state["price"] is None:
+            raise OSError("no catalog")
+        return spark.createDataFrame([("p", state["price"])], "id string, price long")
+
+    def versions():
+        ticks = iter(range(0, 10_000, 100))
+        return catalog_source.Versions(load, str(tmp_path), clock=lambda: next(ticks))
+
+    first = versions()
+    assert first.at(spark, 0).first().price == 1
+    assert first.at(spark, 1).first().price == 1  # no new snapshot
+    state["price"] = 2
+    assert first.at(spark, 2).first().price == 2
+    assert first.at(spark, 2).first().price == 2 and versions().at(spark, 2).first().price == 2
+    state["price"] = None
+    assert first.at(spark, 3).first().price == 2 and versions().at(spark, 4).first().price == 2
+    state["price"] = 3
+    again = versions()
+    assert again.at(spark, 4).first().price == 2 and again.at(spark, 5).first().price == 3
+    assert again.at(spark, 6).first().price == 3
+    kept = sorted(p.name for p in (tmp_path / catalog_source.Versions.SNAPSHOTS).iterdir())
+    assert kept == ["batch_id=5"]
+    state["price"] = None
+    with pytest.raises(OSError, match="no catalog"):
+        catalog_source.Versions(load, str(tmp_path / "other")).at(spark, 0)
+
+
 def _cart_lines():
     start = datetime(2024, 1, 1)
     random_ = random.Random(3)

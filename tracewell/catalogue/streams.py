@@ -5,6 +5,7 @@ Each call writes below a new folder of the checkpoint root and is checked by the
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from tracewell.catalogue import telemetry as batch
 from tracewell.operators import selftime
 from tracewell.session import checkpoint_path, configure
 from tracewell.sinks import deltas
+from tracewell.sources import catalog
 from tracewell.streaming import cart, orders, telemetry
 
 
@@ -61,6 +63,33 @@ def stream_cart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cart.items(spark, store, shop.CART_LIFE)
 
 
+def stream_order_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items joined to a catalog that changes between batches: brands are added, and prices rise by a unit."""
+    store, checkpoint = _run_folder(spark)
+    loads, ticks = itertools.count(), itertools.count(0, 60)
+
+    def load() -> DataFrame:
+        step = next(loads)
+        found = fixtures.products(spark, sf_dir, shop.IN_CATALOG if step == 0 else "true")
+        return found.withColumn("price_usd", F.col("price_usd").withField("units", F.col("price_usd.units") + F.lit(step)))
+
+    products = catalog.Versions(load, store, clock=lambda: next(ticks))
+    items = fixtures.items(spark, sf_dir, streaming=True)
+    orders.enrich(items, store, checkpoint, products, available_now=True).awaitTermination()
+    found = deltas.read(spark, store, orders.ENRICHED)
+    return found.select("order_id", "product_id", "quantity", "name", "price_usd.units", F.col(deltas.BATCH).cast("bigint").alias("batch"))
+
+
+def stream_order_running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order ids with the number of orders so far, the key standing in for the offset."""
+    store, checkpoint = _run_folder(spark)
+    messages = fixtures.replay(spark, sf_dir, "orders", "o_orderkey", descending=False).selectExpr(
+        "to_json(named_struct('order_id', CAST(o_orderkey AS STRING))) AS value", "o_orderkey AS offset"
+    )
+    orders.number(messages, store, checkpoint, available_now=True).awaitTermination()
+    return deltas.read(spark, store, orders.NUMBERED).select("order_id", "running_count")
+
+
 def _order_messages(spark: SparkSession, sf_dir: str, broken: str = "o_orderkey % 9 = 0") -> DataFrame:
     """Orders as JSON payloads; some are cut short."""
     payload = """to_json(named_struct('order_id', CAST(o_orderkey AS STRING), 'shipping_tracking_id', o_orderpriority,
@@ -112,6 +141,8 @@ QUERIES = {
         served_p95_series,
         served_throughput_series,
         stream_cart_state,
+        stream_order_enrich,
+        stream_order_running_count,
         stream_order_accounting,
         stream_order_quarantine,
         stream_order_total,
@@ -125,6 +156,15 @@ ORACLE = {
     "served_p95_series": batch.ORACLE["p95_series"],
     "served_throughput_series": batch.ORACLE["throughput_series"],
     "stream_cart_state": shop.ORACLE["cart_state"],
+    "stream_order_enrich": f"""WITH {shop._ITEMS}, {shop._PRODUCTS}, ends AS (
+  SELECT min(l_orderkey) AS low, max(l_orderkey) AS high FROM lineitem),
+dealt AS (SELECT items.*, (CAST(order_id AS BIGINT) - low) * 3 // (high - low + 1) AS batch FROM items, ends),
+failed AS (SELECT DISTINCT order_id FROM dealt LEFT JOIN products ON id = product_id
+           WHERE id IS NULL OR (batch = 0 AND NOT ({shop.IN_CATALOG})))
+SELECT order_id, product_id, CAST(quantity AS INTEGER) AS quantity, name, units + batch AS units, batch
+FROM dealt JOIN products ON id = product_id WHERE order_id NOT IN (SELECT order_id FROM failed)""",
+    "stream_order_running_count": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+       count(*) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS running_count FROM orders""",
     "stream_order_accounting": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority AS shipping_tracking_id,
        CAST(floor(o_totalprice) AS BIGINT) AS units FROM orders WHERE o_orderkey % 9 <> 0""",
     "stream_order_quarantine": """SELECT left('{"order_id":"' || o_orderkey || '","shipping_tracking_id":"', 25) AS value

@@ -150,9 +150,10 @@ def metric_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Shop inputs -------------------------------------------------------------------------------------
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines with the currency of their order."""
-    return table(spark, sf_dir, "lineitem").selectExpr(
+def items(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
+    """Order lines with the currency of their order; streamed by order in three batches, the smallest keys first."""
+    source = replay(spark, sf_dir, "lineitem", "l_orderkey", descending=False) if streaming else table(spark, sf_dir, "lineitem")
+    return source.selectExpr(
         "CAST(l_orderkey AS STRING) AS order_id",
         "CAST(l_partkey AS STRING) AS product_id",
         "CAST(l_quantity AS INT) AS quantity",

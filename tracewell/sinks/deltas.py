@@ -43,3 +43,18 @@ def _numbered(spark: SparkSession, folder: str, key: str) -> list[int]:
     done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{key}=*/_SUCCESS")
     found = done.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(done)
     return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or ())
+
+
+def batch(spark: SparkSession, store: str, name: str, batch_id: int) -> DataFrame | None:
+    """The rows of one finished batch, found without listing the others; None if there is none."""
+    folder = tables.path(store, name)
+    done = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{BATCH}={batch_id}/_SUCCESS")
+    if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+        return None
+    return spark.read.parquet(f"{folder}/{BATCH}={batch_id}")
+
+
+def forget(spark: SparkSession, store: str, name: str, batch_id: int) -> None:
+    """Delete one batch, which may be gone already."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{tables.path(store, name)}/{BATCH}={batch_id}")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
