@@ -3,8 +3,9 @@
 Lines are normalised. Lines that may have edit similarity 0.8 meet on keys: bands of minimal hashes of their character
 n-grams, halves of their words, and for lines under ten characters all texts with one character left out. Candidates
 whose character SimHashes are within ``RADIUS`` bits are verified by edit similarity and linked, and each connected
-group keeps its first occurrence. Of a key shared by more than ``PAIRED`` lines the links are a breadth-first forest by
-edit similarity, which connects its lines exactly as all of its pairs would.
+group keeps its first occurrence. Lines that the first bands' links connect are not compared again on the others. Of a key
+shared by more than ``PAIRED`` lines the links are a breadth-first forest by edit similarity, which connects its lines
+exactly as all of its pairs would.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -258,47 +260,86 @@ def line_pairs(keyed: DataFrame) -> DataFrame:
     return grouped.mapInArrow(run, "a long, b long, crowded long").distinct()
 
 
-def forest(lh: np.ndarray, text: list[str], similarity: float) -> list[tuple[int, int]]:
-    """Links that connect the lines exactly as all pairs within the radius and similar in edits would."""
-    fp, size = word_fingerprints(text), np.fromiter(map(len, text), np.int64, len(text))
-    found, rest = [], np.arange(len(text))
+def forest(
+    lh: np.ndarray, text: list[str], fp: np.ndarray, group: np.ndarray, similarity: float
+) -> list[tuple[int, int]]:
+    """Links that, with those known inside each ``group``, connect the lines exactly as all pairs within the radius and
+    similar in edits would."""
+    size, found, rest = np.fromiter(map(len, text), np.int64, len(text)), [], np.arange(len(text))
     while len(rest):
-        queue, rest = [rest[0]], rest[1:]
+        whole = group[rest] == group[rest[0]]
+        queue, rest = rest[whole].tolist(), rest[~whole]
         while queue and len(rest):
             i = queue.pop()
-            maybe = np.flatnonzero(_near(fp[rest], size[rest], fp[i], size[i]))
-            good = maybe[[edit_similar(text[i], text[j], similarity) for j in rest[maybe]]] if len(maybe) else maybe
-            found += [(int(lh[i]), int(lh[j])) for j in rest[good]]
-            queue += rest[good].tolist()
-            rest = np.delete(rest, good)
+            met = set()
+            for j in rest[_near(fp[rest], size[rest], fp[i], size[i])]:
+                if group[j] not in met and edit_similar(text[i], text[j], similarity):
+                    met.add(group[j])
+                    found.append((int(lh[i]), int(lh[j])))
+            if met:
+                reached = np.isin(group[rest], list(met))
+                queue += rest[reached].tolist()
+                rest = rest[~reached]
     return found
 
 
 def crowded_links(crowded: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links ``(a, b)`` of the lines ``crowded(key, lh)`` that share a key, by their texts; a key's lines are in one task."""
+    """Links ``(a, b)`` between the groups ``g`` of the lines ``crowded(key, lh, g)`` that share a key, by their texts; a
+    key's lines are in one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, text = None, [], []
+        now, held = None, []
 
         def solve() -> pa.RecordBatch:
-            links = np.array(forest(np.array(held, np.int64), text, similarity), np.int64).reshape(-1, 2)
+            lh, fp, group, text = zip(*held, strict=True)
+            links = forest(np.array(lh), list(text), np.array(fp), np.array(group), similarity)
+            links = np.array(links, np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(links.min(axis=1)), pa.array(links.max(axis=1))], ["a", "b"])
 
         for batch in batches:
-            for key, lh, line in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if key != now and held:
                     yield solve()
-                    held, text = [], []
+                    held = []
                 now = key
-                held.append(lh)
-                text.append(line)
+                held.append(row)
         if held:
             yield solve()
 
-    both = crowded.join(texts, "lh").select("key", "lh", "text")
+    both = crowded.join(texts, "lh").select("key", "lh", "fp", "g", "text")
     return both.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
 
 
+def linked(found: DataFrame, texts: DataFrame, similarity: float, seen: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
+    """The links ``(a, b)`` among the candidates ``found`` of :func:`line_pairs`.
+
+    Candidates that were ``seen`` before, or whose lines are in one component of ``known``, change nothing and aren't
+    compared again.
+    """
+    pairs = found.where("crowded is null").select("a", "b")
+    crowded = found.where("crowded is not null").select(F.col("crowded").alias("key"), F.col("a").alias("lh"))
+    if known is None:
+        crowded = crowded.withColumn("g", F.col("lh"))
+    else:
+        pairs = pairs.join(seen.where("crowded is null").select("a", "b"), ["a", "b"], "left_anti")
+        for c in ("a", "b"):
+            own = known.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
+            pairs = pairs.join(own, c, "left")
+        pairs = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+        crowded = crowded.join(known.withColumnRenamed("node", "lh"), "lh", "left")
+        crowded = crowded.select("key", "lh", F.coalesce("component", "lh").alias("g"))
+        several = crowded.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high")).where("low <> high")
+        crowded = crowded.join(several.select("key"), "key", "left_semi")
+    pairs, crowded = stored(pairs, "open"), stored(crowded, "open")
+    ends = pairs.select(F.col("a").alias("lh")).unionByName(pairs.select(F.col("b").alias("lh"))).unionByName(crowded.select("lh"))
+    texts = stored(texts.join(ends.distinct(), "lh", "left_semi"), "needed")  # all texts are moved once
+    links = stored(similar(pairs, texts, similarity).unionByName(crowded_links(crowded, texts, similarity)), "similar")
+    for done in (pairs, crowded, texts):
+        forget(done)
+    release(found.sparkSession)
+    return links
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``(lh, text)``: the normalised lines at ``wanted(lh, id, th, line)``."""
     listed = wanted.groupBy("id", "th").agg(F.collect_list(F.struct("lh", "line")).alias("lines"))
@@ -392,16 +433,20 @@ def drop_lists(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     lines = stored(lines, "lines")
     texts = stored(printed(_texts(docs, lines.select("lh", "at.id", "at.th", "at.line"))), "texts")
     release(spark)
-    alike = None
-    for turn in range(PASSES):
-        found = stored(line_pairs(keyed_lines(texts, range(turn, BANDS, PASSES))), "pairs")
-        release(spark)
-        close = similar(found.where("crowded is null").select("a", "b"), texts, similarity)
-        crowded = found.where("crowded is not null").select(F.col("crowded").alias("key"), F.col("a").alias("lh"))
-        now = stored(close.unionByName(crowded_links(crowded, texts, similarity)), "similar")
-        forget(found)
+    first = stored(line_pairs(keyed_lines(texts, range(0, BANDS, PASSES))), "pairs")
+    release(spark)
+    alike = linked(first, texts, similarity)
+    known = stored(components(alike), "known")
+    rest = []
+    for turn in range(1, PASSES):
+        rest.append(stored(line_pairs(keyed_lines(texts, range(turn, BANDS, PASSES))), "pairs"))
         release(spark)
-        alike = now if alike is None else alike.unionByName(now)
+    found = reduce(DataFrame.unionByName, rest).distinct()
+    more = linked(found, texts, similarity, first, known)
+    for done in (first, known, *rest):
+        forget(done)
+    release(spark)
+    alike = alike.unionByName(more)
     group = components(alike).withColumnRenamed("node", "lh")
     group = stored(lines.join(group, "lh", "left").select("lh", "n", "at", F.coalesce("component", "lh").alias("g")), "groups")
     keep = group.groupBy("g").agg(F.sum("n").alias("all"), F.min("at").alias("keep")).where("all > 1")
