@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from tracewell.llm import decontam, lines, packing, quality, queries, simhash
 from tracewell.llm.common import stored
 
-#: Words of a shingle in the near-duplicate stage.
-SHINGLE_WORDS = 5
-
 #: No SQL: scores and packing depend on a fitted model and on tokenization. Tests compare with brute force instead.
 ORACLE_SQL = None
 
@@ -34,8 +31,11 @@ def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id, one row of it if it repeats."""
-    return simhash.one_of_each(docs, width=SHINGLE_WORDS).select(docs.columns)
+    """One document of each near-duplicate group: the one with the smallest id, one row of it if it repeats.
+
+    Shingles of four words and four bits at most, as the operator has them by default.
+    """
+    return simhash.one_of_each(docs).select(docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
