@@ -36,17 +36,20 @@ def test_quality(spark, steps):
     assert all(r.text == texts[r.doc_id] for r in steps[1])
 
 
+def similar_lines(kinds):
+    """All pairs of edit similarity 0.8. An edit changes three trigrams at most, which settles nearly all pairs."""
+    grams = [Counter(k[i : i + 3] for i in range(len(k) - 2)) for k in kinds]
+    for (a, p), (b, q) in itertools.combinations(sorted(zip(kinds, grams, strict=True), key=lambda x: len(x[0])), 2):
+        room = int(0.2 * len(b) + 1e-9)
+        if len(b) - len(a) <= room and (p & q).total() >= len(b) - 2 - 3 * room and edit_distance(a, b) <= room:
+            yield a, b
+
+
 def test_lines(steps):
     occurrences = [(r.doc_id, k, lines.normalised(x)) for r in steps[1] for k, x in enumerate(r.text.split("\n"))]
     occurrences = sorted(o for o in occurrences if o[2])
     kinds = sorted({o[2] for o in occurrences})
-    prints = [int(f) & (1 << 64) - 1 for f in lines.word_fingerprints(kinds)]
-    close = []
-    for (a, p), (b, q) in itertools.combinations(zip(kinds, prints, strict=True), 2):
-        if (p ^ q).bit_count() <= lines.RADIUS:
-            room = int(0.2 * max(len(a), len(b)) + 1e-9)
-            if abs(len(a) - len(b)) <= room and edit_distance(a, b) <= room:
-                close.append((a, b))
+    close = list(similar_lines(kinds))
     of, first = groups(kinds, close), {}
     for o in occurrences:
         first.setdefault(of[o[2]], o[:2])
@@ -59,7 +62,7 @@ def test_lines(steps):
 
 
 def test_near_duplicates(steps):
-    prints = {r.doc_id: brute_fingerprint(r.text, corpus_pipeline.SHINGLE_WORDS) for r in steps[2]}
+    prints = {r.doc_id: brute_fingerprint(r.text) for r in steps[2]}
     near = [(a, b) for a, b in itertools.combinations(sorted(prints), 2) if (prints[a] ^ prints[b]).bit_count() <= 4]
     kept = {i for i, root in groups(sorted(prints), near).items() if i == root}
     assert {r.doc_id for r in steps[3]} == kept < set(prints)
