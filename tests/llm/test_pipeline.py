@@ -1,9 +1,11 @@
 """Every stage of the corpus pipeline against brute force on its own input, and the whole run."""
 
 import itertools
+import random
 from collections import Counter
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
 from test_copies import brute_fingerprint, edit_distance, groups
@@ -37,12 +39,28 @@ def test_quality(spark, steps):
 
 
 def similar_lines(kinds):
-    """All pairs of edit similarity 0.8. An edit changes three trigrams at most, which settles nearly all pairs."""
-    grams = [Counter(k[i : i + 3] for i in range(len(k) - 2)) for k in kinds]
-    for (a, p), (b, q) in itertools.combinations(sorted(zip(kinds, grams, strict=True), key=lambda x: len(x[0])), 2):
-        room = int(0.2 * len(b) + 1e-9)
-        if len(b) - len(a) <= room and (p & q).total() >= len(b) - 2 - 3 * room and edit_distance(a, b) <= room:
-            yield a, b
+    """All pairs of edit similarity 0.8; letters that differ in number settle most pairs."""
+    kinds = sorted(kinds, key=len)
+    size = np.array([len(k) for k in kinds])
+    letters = {c: i for i, c in enumerate(sorted(set("".join(kinds))))}
+    counts = np.zeros((len(kinds), len(letters)), np.int16)
+    for i, k in enumerate(kinds):
+        for c, n in Counter(k).items():
+            counts[i, letters[c]] = n
+    for i, k in enumerate(kinds):
+        room = (0.2 * size[i + 1 :] + 1e-9).astype(int)
+        change = counts[i + 1 :] - counts[i]
+        least = np.maximum(np.maximum(change, 0).sum(axis=1), np.maximum(-change, 0).sum(axis=1))
+        for j in np.flatnonzero(least <= room):
+            if lines._distance(k, kinds[i + 1 + j]) <= room[j]:
+                yield k, kinds[i + 1 + j]
+
+
+def test_distance_is_the_edit_distance():
+    draw = random.Random(2)
+    for _ in range(400):
+        a, b = ("".join(draw.choices("abcé ", k=draw.randint(1, 30))) for _ in range(2))
+        assert lines._distance(a, b) == edit_distance(a, b)
 
 
 def test_lines(steps):
