@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewell import fixtures, schemas
 from tracewell.functions import attributes, text
-from tracewell.operators import conformance, counters, flatten, histogram, latency, selftime
+from tracewell.operators import conformance, counters, flatten, histogram, latency, rules, selftime
 from tracewell.plans import dashboard, program
 from tracewell.sources import telemetry
 
@@ -253,6 +253,41 @@ def trace_conformance_by_trace(spark, sf_dir):
     return conformance.check(_ruled(spark, sf_dir), RULES, by=("traceId",))
 
 
+def _rule_texts(spark, sf_dir):
+    """Rules over the users, span names and kinds of the events, as text: a few hundred, most with several conditions."""
+    events = fixtures.table(spark, sf_dir, "events")
+    kind = f"element_at(array({', '.join(map(repr, rules.KINDS))}), CAST(1 + event_id % 5 AS INT))"
+    users = events.selectExpr(
+        "concat('user-', user_id) AS rule_id",
+        """concat('span[tracetest.span.type="http" user="', user_id, '" http.method="POST"]') AS selector""",
+        "'attr:http.status_code = 200' AS assertion",
+    )
+    named = events.selectExpr(
+        f"concat('kind-', event_type, '-', {kind}) AS rule_id",
+        f"""concat('span[tracetest.span.type="http" name="', event_type, '" kind="', {kind}, '"]') AS selector""",
+        "'attr:response.body | json_path \\'$.k\\' <= 8' AS assertion",
+    )
+    counted = events.selectExpr(
+        "concat('count-', user_id % 10, '-', event_type) AS rule_id",
+        """concat('span[name="', event_type, '" user="', user_id, '"]') AS selector""",
+        "'attr:tracetest.selected_spans.count >= 12' AS assertion",
+    ).groupBy("rule_id", "assertion").agg(F.min("selector").alias("selector")).select("rule_id", "selector", "assertion")
+    whole = spark.createDataFrame(
+        [
+            ("all-errors", 'span[name="error"]', 'attr:http.status_code = "500"'),
+            ("no-database", 'span[tracetest.span.type="database"]', "attr:tracetest.selected_spans.count >= 1"),
+            ("every-span", "span[]", 'attr:response.body contains "k"'),
+            ("unknown", 'span[name="click"]', "attr:nothing != 1"),
+        ],
+        "rule_id string, selector string, assertion string",
+    )
+    return users.unionByName(named).distinct().unionByName(counted).unionByName(whole)
+
+
+def trace_rules(spark, sf_dir):
+    return rules.check(_ruled(spark, sf_dir), rules.parse(_rule_texts(spark, sf_dir)))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -284,6 +319,7 @@ QUERIES = {
         request_counter,
         trace_conformance,
         trace_conformance_by_trace,
+        trace_rules,
     )
 }
 
@@ -437,6 +473,23 @@ FROM b GROUP BY 1, 2, 3, 4""",
        count(*) AS requests FROM events GROUP BY 1, 2, 3""",
     "trace_conformance": _conformance(),
     "trace_conformance_by_trace": _conformance("traceId"),
+    "trace_rules": """WITH e AS (
+  SELECT *, event_id % 3 = 0 AS posted, event_type = 'error' AS failed, CAST(props ->> '$.k' AS INTEGER) AS k,
+         ['internal', 'server', 'client', 'producer', 'consumer'][1 + event_id % 5] AS kind FROM events),
+picked AS (SELECT 'count-' || user_id % 10 || '-' || event_type AS rule_id, event_type,
+                  min('span[name="' || event_type || '" user="' || user_id || '"]') AS selector FROM e GROUP BY 1, 2),
+found AS (
+  SELECT 'user-' || user_id AS rule_id, count(*) FILTER (posted) AS matched, count(*) FILTER (posted AND NOT failed) AS passed
+  FROM e GROUP BY 1
+  UNION ALL SELECT 'kind-' || event_type || '-' || kind, count(*), count(*) FILTER (k <= 8) FROM e GROUP BY 1
+  UNION ALL SELECT 'all-errors', count(*), count(*) FROM e WHERE failed
+  UNION ALL SELECT 'every-span', count(*), count(*) FROM e
+  UNION ALL SELECT 'unknown', count(*), 0 FROM e WHERE event_type = 'click'),
+counted AS (SELECT rule_id, count(*) AS matched FROM picked p JOIN e
+              ON selector = 'span[name="' || e.event_type || '" user="' || user_id || '"]' GROUP BY rule_id)
+SELECT rule_id, CAST(matched AS BIGINT) AS matched, CAST(passed AS BIGINT) AS passed, matched = passed AS ok FROM found
+UNION ALL SELECT rule_id, matched, CASE WHEN matched >= 12 THEN matched ELSE 0 END, matched >= 12 FROM counted
+UNION ALL SELECT 'no-database', 0, 0, false""",
 }
 
 ORACLE["logs_json_ingest"] = ORACLE["logs_flatten"]
