@@ -99,9 +99,9 @@ def _order_messages(spark: SparkSession, sf_dir: str, broken: str = "o_orderkey
     )
 
 
-def _accounted(spark: SparkSession, sf_dir: str) -> str:
+def _accounted(spark: SparkSession, sf_dir: str, messages=_order_messages) -> str:
     store, checkpoint = _run_folder(spark)
-    orders.account(_order_messages(spark, sf_dir), store, checkpoint, available_now=True).awaitTermination()
+    orders.account(messages(spark, sf_dir), store, checkpoint, available_now=True).awaitTermination()
     return store
 
 
@@ -110,6 +110,16 @@ def stream_order_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("order_id", "shipping_tracking_id", F.col("shipping_cost.units").alias("units"))
 
 
+def stream_order_wire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders accounted from binary payloads, a ninth of which are cut."""
+    payloads = lambda spark, sf_dir: fixtures.order_payloads(fixtures.replay(spark, sf_dir, "orders", "o_orderkey"))
+    found = deltas.read(spark, _accounted(spark, sf_dir, payloads), orders.ACCOUNTED)
+    item = F.col("items")[0]["item"]
+    return found.select(
+        "order_id", "shipping_tracking_id", "shipping_cost.*", item["product_id"].alias("product_id"), item["quantity"].alias("quantity")
+    )
+
+
 def stream_order_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deltas.read(spark, _accounted(spark, sf_dir), orders.QUARANTINE).select("value")
 
@@ -144,6 +154,7 @@ QUERIES = {
         stream_order_enrich,
         stream_order_running_count,
         stream_order_accounting,
+        stream_order_wire,
         stream_order_quarantine,
         stream_order_total,
     )
@@ -167,6 +178,10 @@ FROM dealt JOIN products ON id = product_id WHERE order_id NOT IN (SELECT order_
        count(*) OVER (ORDER BY o_orderkey ROWS UNBOUNDED PRECEDING) AS running_count FROM orders""",
     "stream_order_accounting": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority AS shipping_tracking_id,
        CAST(floor(o_totalprice) AS BIGINT) AS units FROM orders WHERE o_orderkey % 9 <> 0""",
+    "stream_order_wire": """SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_orderpriority AS shipping_tracking_id,
+       'USD' AS currency_code, CAST(floor(o_totalprice) AS BIGINT) AS units,
+       CAST(o_orderkey % 1000 * 1000000 AS INTEGER) AS nanos, CAST(o_custkey AS VARCHAR) AS product_id,
+       CAST(1 + o_orderkey % 300 AS INTEGER) AS quantity FROM orders WHERE o_orderkey % 9 <> 0""",
     "stream_order_quarantine": """SELECT left('{"order_id":"' || o_orderkey || '","shipping_tracking_id":"', 25) AS value
 FROM orders WHERE o_orderkey % 9 = 0""",
     "stream_order_total": "SELECT count(*) AS total FROM orders",

@@ -162,6 +162,35 @@ def items(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFram
     )
 
 
+def _varint(n: str) -> str:
+    """SQL of a whole number from 0 to 2^62 as wire bytes in hex, seven bits a byte, the lowest first."""
+    parts = f"sequence(0, if({n} = 0, 0, CAST(floor(log2({n})) AS INT) DIV 7))"
+    byte = f"(shiftright({n}, 7 * i) & 127) | if(shiftright({n}, 7 * (i + 1)) > 0, 128, 0)"
+    return f"array_join(transform({parts}, i -> lpad(hex({byte}), 2, '0')), '')"
+
+
+def _field(number: int, hexed: str) -> str:
+    """SQL of a field of under 128 bytes, given in hex."""
+    return f"concat('{8 * number + 2:02X}', lpad(hex(length({hexed}) DIV 2), 2, '0'), {hexed})"
+
+
+def order_payloads(orders: DataFrame) -> DataFrame:
+    """Orders as binary messages of one item, with a field that readers don't know; every ninth lacks its last byte."""
+    number = lambda n, value: f"concat('{8 * n:02X}', {_varint(f'CAST({value} AS BIGINT)')})"
+    cost = f"concat({_field(1, "hex('USD')")}, {number(2, 'floor(o_totalprice)')}, {number(3, 'o_orderkey % 1000 * 1000000')})"
+    item = f"concat({_field(1, 'hex(CAST(o_custkey AS STRING))')}, {number(2, '1 + o_orderkey % 300')})"
+    parts = [
+        _field(1, "hex(CAST(o_orderkey AS STRING))"),
+        _field(2, "hex(o_orderpriority)"),
+        _field(3, "cost"),
+        number(14, "o_orderkey"),
+        _field(5, "line"),
+    ]
+    made = orders.selectExpr("*", f"{cost} AS cost", f"{item} AS item").selectExpr("*", f"{_field(1, 'item')} AS line")
+    made = made.selectExpr("o_orderkey", f"unhex(concat({', '.join(parts)})) AS whole")
+    return made.selectExpr("if(o_orderkey % 9 = 0, left(whole, length(whole) - 1), whole) AS value")
+
+
 def product_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Catalog files as JSON text."""
     cents = "CAST(round(p_retailprice * 100) AS BIGINT)"
