@@ -18,7 +18,7 @@ from tracewell.operators import selftime
 from tracewell.session import checkpoint_path, configure
 from tracewell.sinks import deltas
 from tracewell.sources import catalog
-from tracewell.streaming import cart, orders, telemetry
+from tracewell.streaming import cart, counters, orders, telemetry
 
 
 def _run_folder(spark: SparkSession) -> tuple[str, str]:
@@ -55,6 +55,15 @@ def served_throughput_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return telemetry.throughput_series(spark, _maintained(spark, sf_dir, "10 seconds", telemetry.COUNTS), *batch.RANGE)
 
 
+def stream_counter_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by type as cumulative hourly series, from batches in the wrong order."""
+    store, checkpoint = _run_folder(spark)
+    rows = fixtures.replay(spark, sf_dir, "events", "event_id")
+    labels = ["event_type"]
+    counters.maintain(rows, store, checkpoint, "events", labels, "ts", width="1 hour", available_now=True).awaitTermination()
+    return counters.series(spark, store, "events", labels, width="1 hour")
+
+
 def stream_cart_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Carts after writes that came in the wrong order."""
     store, checkpoint = _run_folder(spark)
@@ -150,6 +159,7 @@ QUERIES = {
         stream_operation_execution_time,
         served_p95_series,
         served_throughput_series,
+        stream_counter_series,
         stream_cart_state,
         stream_order_enrich,
         stream_order_running_count,
@@ -166,6 +176,11 @@ ORACLE = {
     "stream_operation_execution_time": batch.ORACLE["operation_execution_time"],
     "served_p95_series": batch.ORACLE["p95_series"],
     "served_throughput_series": batch.ORACLE["throughput_series"],
+    "stream_counter_series": """WITH d AS (SELECT event_type, date_trunc('hour', ts) AS b, count(*) AS n FROM events GROUP BY ALL),
+ends AS (SELECT event_type, min(b) AS low, (SELECT max(b) FROM d) AS high FROM d GROUP BY event_type),
+grid AS (SELECT event_type, unnest(generate_series(low, high, INTERVAL 1 HOUR)) AS time FROM ends)
+SELECT grid.event_type, grid.time, CAST(sum(coalesce(n, 0)) OVER (PARTITION BY grid.event_type ORDER BY grid.time) AS BIGINT) AS total
+FROM grid LEFT JOIN d ON d.event_type = grid.event_type AND d.b = grid.time""",
     "stream_cart_state": shop.ORACLE["cart_state"],
     "stream_order_enrich": f"""WITH {shop._ITEMS}, {shop._PRODUCTS}, ends AS (
   SELECT min(l_orderkey) AS low, max(l_orderkey) AS high FROM lineitem),

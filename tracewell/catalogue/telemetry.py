@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewell import fixtures, schemas
 from tracewell.functions import attributes, text
-from tracewell.operators import conformance, counters, flatten, histogram, latency, rules, selftime
+from tracewell.operators import conformance, counters, flatten, histogram, latency, points, rules, selftime
 from tracewell.plans import dashboard, program
 from tracewell.sources import telemetry
 
@@ -120,6 +120,16 @@ def scalar_metrics(metrics):
     )
 
 
+def metric_points(spark, sf_dir):
+    """One row for each data point of metrics with several of them and payloads of several kinds."""
+    found = points.data_points(flatten.metrics(fixtures.point_requests(spark, sf_dir)))
+    day = F.timestamp_seconds(F.col("time_nanos") / F.lit(1_000_000_000)).cast("date")
+    return found.select(
+        "name", "kind", F.col("point_no").cast("bigint").alias("point_no"), day.cast("string").alias("day"), "value", "count", "sum",
+        F.array_join("bounds", ",").alias("bounds"), F.array_join("buckets", ",").alias("buckets"),
+    )
+
+
 def span_name_normalize(spark, sf_dir):
     fields = ("spanId", "name", "startTimeUnixNano", "endTimeUnixNano")
     spans = _spans(spark, sf_dir, fields=fields, envelope=False, name=ROUTED_NAME)
@@ -297,6 +307,7 @@ QUERIES = {
         logs_json_ingest,
         metrics_flatten,
         metrics_json_ingest,
+        metric_points,
         span_name_normalize,
         span_attr,
         span_events,
@@ -429,6 +440,15 @@ FROM spans""",
        count(*) AS sum_value, max(CAST(round(value * 100) AS BIGINT)) AS gauge_value, true AS no_histogram,
        event_type AS service, '1' AS scope_version, 'events' AS source
 FROM events GROUP BY event_type, CAST(ts AS DATE)""",
+    "metric_points": """WITH e AS (SELECT *, CAST(round(value * 100) AS BIGINT) AS cents, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
+       'app.' || event_type AS name FROM events),
+shards AS (SELECT unnest([0, 1, 2]) AS i)
+SELECT name, 'sum' AS kind, CAST(i AS BIGINT) AS point_no, day, CAST(count(*) FILTER (event_id % 3 = i) AS DOUBLE) AS value,
+       NULL::BIGINT AS count, NULL::DOUBLE AS sum, NULL::VARCHAR AS bounds, NULL::VARCHAR AS buckets FROM e CROSS JOIN shards GROUP BY ALL
+UNION ALL SELECT name, 'gauge', 0, day, max(cents) / 100, NULL, NULL, NULL, NULL FROM e GROUP BY ALL
+UNION ALL SELECT name, 'histogram', 0, day, NULL, count(*), CAST(sum(cents) AS DOUBLE) / 100, '10.0,50.0',
+       count(*) FILTER (cents <= 1000) || ',' || count(*) FILTER (cents > 1000 AND cents <= 5000) || ',' || count(*) FILTER (cents > 5000)
+FROM e GROUP BY ALL""",
     "span_name_normalize": """SELECT CAST(event_id AS VARCHAR) AS spanId,
        CASE event_id % 3 WHEN 0 THEN 'GET /api/products/{productId}' WHEN 1 THEN '/cart' ELSE event_type END AS name
 FROM events""",

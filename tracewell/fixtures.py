@@ -147,6 +147,33 @@ def metric_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def point_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per day and event type: a sum of three points, a gauge of one, a histogram of one, and no summary."""
+    shards, bounds = range(3), (10, 50)
+    rows = (
+        table(spark, sf_dir, "events")
+        .selectExpr("*", "CAST(ts AS DATE) AS day", "CAST(round(value * 100) AS BIGINT) AS cents")
+        .groupBy("event_type", "day")
+        .agg(
+            *(F.expr(f"count_if(event_id % 3 = {i})").alias(f"n_{i}") for i in shards),
+            F.expr("max(cents) / 100D").alias("top"),
+            F.expr("sum(cents) / 100D").alias("total"),
+            F.expr(f"array(count_if(cents <= {bounds[0] * 100}), count_if(cents > {bounds[0] * 100} AND cents <= {bounds[1] * 100}), "
+                   f"count_if(cents > {bounds[1] * 100}))").alias("buckets"),
+        )
+    )
+    time = "'timeUnixNano', CAST(unix_date(day) * 86400000000000 AS STRING)"
+    points = {
+        "sum": ", ".join(f"named_struct({time}, 'asInt', CAST(n_{i} AS STRING))" for i in shards),
+        "gauge": f"named_struct({time}, 'asDouble', top)",
+        "histogram": f"""named_struct({time}, 'count', CAST(aggregate(buckets, 0L, (a, b) -> a + b) AS STRING), 'sum', total,
+            'explicitBounds', array({', '.join(f'{b}D' for b in bounds)}), 'bucketCounts', transform(buckets, b -> CAST(b AS STRING)))""",
+    }
+    values = ", ".join(f"'{k}', to_variant_object(named_struct('dataPoints', array({v})))" for k, v in points.items())
+    metric = f"named_struct('name', concat('app.', event_type), 'unit', '1', {values}, 'summary', CAST(NULL AS VARIANT))"
+    return rows.selectExpr(f"array(named_struct('scopeMetrics', array(named_struct('metrics', array({metric}))))) AS resourceMetrics")
+
+
 # Shop inputs -------------------------------------------------------------------------------------
 
 
