@@ -238,6 +238,29 @@ def test_packing_round_trip(spark, words, rng):
     assert packing.pack_documents(table.where("false"), path).count() == 0
 
 
+def test_ids_of_long_white_space(rng):
+    from array import array
+
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    encode, tokenizer = packing.text_encoder(path, added_tokens=True), Tokenizer.from_file(path)
+    texts = [" " * 2_000_000, "\n" * 1_000_000 + "x", "a" + " " * 1_000_000 + "b", "é" * 50_000 + " " * 300]
+    for n in (255, 256, 257, 600):
+        for tail in ("", "x", " x", "'s", "1", "é", "<|endoftext|>", " <|endoftext|> "):
+            texts += ["ab" + (blank * n)[:n] + tail for blank in (" ", "\n", " \n", "\xa0", "\x1c")]
+    pieces = ["w", "é7", ".", "<|endoftext|>", *("".join(rng.choices(" \t\n\x85\u2003\u3000\u200b", [9, 1, 1, 1, 1, 1, 1], k=400)) for _ in range(9))]
+    texts += ["".join(rng.choices(pieces, k=6)) for _ in range(200)]
+    for text in texts:
+        assert list(array("I", encode(text))) == tokenizer.encode(text, add_special_tokens=False).ids, repr(text[:40])
+
+
+def test_equal_rows_are_packed_in_several_tasks(spark):
+    cut = spark.range(400, numPartitions=4).selectExpr("CAST(NULL AS BIGINT) AS id", "1L AS length")
+    tasks = {r.sequence_id >> 40 for r in packing.pack(cut, pieces_per_task=100).collect()}
+    assert tasks == {0, 1, 2, 3}
+
+
 def test_packed_ids_are_those_of_the_tokenizer_at_its_defaults(spark, tmp_path):
     import corpus_pipeline
     from tokenizers import Tokenizer
