@@ -209,6 +209,58 @@ def test_wrapper_inference():
     assert body[2][0][1][2][0][1] == "Site" and content[2][0][1][2][0][1] is None
 
 
+def main_texts(spark, bodies, host="h"):
+    pages = [(i, f"http://{host}/{i}", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
+    found = wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    return [r.text for r in sorted(found, key=lambda r: r.id)]
+
+
+def prose(rng, words, n=60):
+    return " ".join(rng.choices(words, k=n))
+
+
+OUTSIDE = '<nav><a href="/">Home</a></nav><header>Site</header>{}<div class="comments"><p>I say so</p></div><footer>Imprint</footer>'
+
+
+@pytest.mark.parametrize(
+    "wrapping",
+    [
+        '<div class="content has-sidebar">{}</div>', '<div class="ad-free">{}</div>', '<div class="post no-comments">{}</div>',
+        '<div class="social-science">{}</div>', '<div class="search-result-article">{}</div>', '<div class="article-header">{}</div>',
+        '<div class="news-alert">{}</div>', '<form action="/">{}</form>',
+        '<div class="page">{}<div class="sidebar">On the side</div></div>',
+    ],
+)
+def test_articles_in_marked_containers(spark, rng, words, wrapping):
+    texts = [[prose(rng, words) for _ in range(4)] for _ in range(8)]
+    bodies = [OUTSIDE.format(wrapping.format("".join(f"<p>{p}</p>" for p in t))) for t in texts]
+    assert main_texts(spark, bodies) == ["\n".join(t) for t in texts]
+
+
+def test_leads_many_groups_and_formulas(spark, rng, words):
+    texts, bodies = [], []
+    for i in range(6):
+        kinds = ["p", "h2", "pre", "ul"]
+        blocks = [(rng.choice(kinds), prose(rng, words, 9)) for _ in range(150)]
+        lead, formula = prose(rng, words, 40), prose(rng, words, 9)
+        inner = "".join(f"<ul><li>{t}</li></ul>" if k == "ul" else f"<{k}>{t}</{k}>" for k, t in blocks)
+        inner += f"<p>{formula} <math><mi>x</mi></math> {formula}<svg><text>y</text></svg></p>"
+        bodies.append(OUTSIDE.format(f'<div class="lead"><p>{lead}</p></div><div class="body">{inner}</div><div class="author">{"" if i else "By A. Writer"}</div>'))
+        texts.append([lead, *(t for _, t in blocks), f"{formula} {formula}", *([] if i else ["By A. Writer"])])
+    assert main_texts(spark, bodies) == ["\n".join(t) for t in texts]
+
+
+def test_broken_and_deeply_nested_pages(spark):
+    bodies = [
+        "<div>" * 3000 + "deep text" + "</div>" * 3000 + "<p>after</p>", "x <b>" * 3000, "<a " * 16000, "<!-- x <a b=\"" * 16000,
+        "text <a b=\">" * 20000, "<script></script " * 10000, "<!" * 50000, "a < b <c" * 20000, "<a b=\"c' " * 20000 + ">",
+        "<p>one <a href=\"x>y\">two</a>", '<p>1 <q title=">">2</q></p><p title="never ends>3<p>4',
+    ]
+    got = main_texts(spark, bodies)
+    assert got[0] == "deep text\nafter" and got[1] == " ".join(["x"] * 3000)
+    assert got[9] == "one two" and got[10].split("\n") == ["1 2", "3", "4"]
+
+
 def test_packing_round_trip(spark, words, rng):
     from tokenizers import Tokenizer
 
