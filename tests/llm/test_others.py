@@ -209,6 +209,52 @@ def test_wrapper_inference():
     assert body[2][0][1][2][0][1] == "Site" and content[2][0][1][2][0][1] is None
 
 
+def check_links(spark, data, kind="double"):
+    vec = np.array(data, float)
+    vec = vec / np.abs(vec).max(axis=1, keepdims=True)
+    vec /= np.linalg.norm(vec, axis=1, keepdims=True)
+    close = vec @ vec.T >= 0.9
+    component = np.arange(len(vec))
+    while True:
+        least = np.where(close, component[None, :], len(vec)).min(axis=1)
+        if (least == component).all():
+            break
+        component = least
+    table = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(data)], f"vec_id long, embedding array<{kind}>")
+    got = {r.id: r for r in vectors.near_vectors(table.repartition(4)).collect()}
+    assert [got[i].n_links for i in range(len(vec))] == (close.sum(axis=1) - 1).tolist()
+    assert [got[i].component_id for i in range(len(vec))] == component.tolist()
+
+
+def around(draw, centre, n, cosine):
+    """``n`` unit vectors at a cosine with a centre."""
+    noise = draw.standard_normal((n, len(centre)))
+    noise -= (noise @ centre)[:, None] * centre
+    noise /= np.linalg.norm(noise, axis=1, keepdims=True)
+    return cosine * centre + np.sqrt(1 - cosine**2) * noise
+
+
+def test_links_between_groups_that_fill_the_lists(spark):
+    draw = np.random.default_rng(8)
+    e = np.eye(48)
+    turned = 0.925 * e[0] + np.sqrt(1 - 0.925**2) * e[1]
+    rows = [around(draw, e[0], 12, 0.9985), around(draw, turned, 12, 0.9985), draw.standard_normal((300, 48))]
+    for i in range(3):  # large groups: apart, in a chain, and reaching across by a few members only
+        centre = draw.standard_normal(48)
+        centre /= np.linalg.norm(centre)
+        rows.append(around(draw, centre, 200, 0.97 - 0.01 * i))
+        other = around(draw, centre, 1, 0.87)[0]
+        rows.append(around(draw, other, 40, 0.99))
+    check_links(spark, np.concatenate(rows), "float")
+
+
+def test_links_of_large_and_small_numbers(spark):
+    draw = np.random.default_rng(9)
+    rows = draw.standard_normal((40, 6))
+    rows[20:] = rows[:20] + 0.1 * draw.standard_normal((20, 6))
+    check_links(spark, np.concatenate([rows[:20] * 1e200, rows[20:] * 1e-200, [[1e200, 1e200, 0, 0, 0, 0], [1, 1, 0, 0, 0, 0]]]))
+
+
 def main_texts(spark, bodies, host="h"):
     pages = [(i, f"http://{host}/{i}", f"<html><body>{b}</body></html>") for i, b in enumerate(bodies)]
     found = wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
