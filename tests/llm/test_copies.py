@@ -5,6 +5,7 @@ import itertools
 import random
 from collections import Counter
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -170,6 +171,21 @@ def test_a_very_long_text(spark, words, rng):
     assert got[2].kept == b""
 
 
+def test_letter_counts_never_rule_out_similar_lines(rng):
+    pairs = []
+    for _ in range(400):
+        a = "".join(rng.choices("abcdeé 🙂", k=rng.randint(1, 60)))
+        b = list(a)
+        for _ in range(rng.randint(0, 6)):
+            i = rng.randrange(len(b) + 1)
+            b[i : i + rng.randint(0, 1)] = rng.choice(["", "x", "a", " "])
+        pairs.append((a, "".join(b)))
+    counts = [lines.letter_counts([p[k] for p in pairs]) for k in (0, 1)]
+    distance = [edit_distance(a, b) for a, b in pairs]
+    assert lines.may_be_similar(*counts, np.array(distance)).all()
+    assert not lines.may_be_similar(*counts, np.array(distance) // 3).all()
+
+
 def one_word_changes(n, seed=5):
     """Pairs of a distinct sf0.01 line and the line with one word replaced, of edit similarity 0.8 at least."""
     draw = random.Random(seed)

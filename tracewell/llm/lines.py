@@ -11,9 +11,7 @@ exactly as all of its pairs would.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -260,19 +258,45 @@ def line_pairs(keyed: DataFrame) -> DataFrame:
     return grouped.mapInArrow(run, "a long, b long, crowded long").distinct()
 
 
+#: Buckets of letters and of pairs of letters in a line's counts.
+LETTERS, COUPLES = 32, 256
+
+
+def letter_counts(texts: list[str]) -> np.ndarray:
+    """A row of counts for each text: its letters by bucket, then its pairs of neighbouring letters."""
+    code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    size = np.fromiter(map(len, texts), np.int64, len(texts))
+    row = np.repeat(np.arange(len(texts)), size)
+    width = LETTERS + COUPLES
+    couple = np.flatnonzero(row[1:] == row[:-1])
+    at = np.concatenate((row * width + code % LETTERS, row[couple] * width + LETTERS + (code[couple] * 31 + code[couple + 1]) % COUPLES))
+    return np.bincount(at, minlength=len(texts) * width).reshape(len(texts), width).astype(np.int32)
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether counts allow an edit distance of ``most``: an edit changes one letter for another, and four pairs, at most."""
+    change = a - b
+    letters = change[..., :LETTERS]
+    apart = np.maximum(np.maximum(letters, 0).sum(axis=-1), np.maximum(-letters, 0).sum(axis=-1)) > most
+    return ~apart & (np.abs(change[..., LETTERS:]).sum(axis=-1) <= 4 * most)
+
+
 def forest(
     lh: np.ndarray, text: list[str], fp: np.ndarray, group: np.ndarray, similarity: float
 ) -> list[tuple[int, int]]:
     """Links that, with those known inside each ``group``, connect the lines exactly as all pairs within the radius and
     similar in edits would."""
     size, found, rest = np.fromiter(map(len, text), np.int64, len(text)), [], np.arange(len(text))
+    counts = letter_counts(text)
     while len(rest):
         whole = group[rest] == group[rest[0]]
         queue, rest = rest[whole].tolist(), rest[~whole]
         while queue and len(rest):
             i = queue.pop()
             met = set()
-            for j in rest[_near(fp[rest], size[rest], fp[i], size[i])]:
+            near = rest[_near(fp[rest], size[rest], fp[i], size[i])]
+            most = ((1 - similarity) * np.maximum(size[near], size[i]) + 1e-9).astype(np.int64)
+            for j in near[may_be_similar(counts[near], counts[i], most)]:
                 if group[j] not in met and edit_similar(text[i], text[j], similarity):
                     met.add(group[j])
                     found.append((int(lh[i]), int(lh[j])))
@@ -391,7 +415,7 @@ def _distance(a: str, b: str) -> int:
 def edit_similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
     """Whether one less the edit distance by the longer length is at least ``similarity``.
 
-    Bounds settle most pairs: what is left between common ends, words replaced in place, characters that differ.
+    Bounds settle many pairs: what is left between common ends, words replaced in place.
     """
     most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
     if abs(len(a) - len(b)) > most:
@@ -405,9 +429,6 @@ def edit_similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
     x, y = a.split(" "), b.split(" ")
     if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y, strict=True) if p != q) <= most:
         return True
-    p, q = Counter(a), Counter(b)
-    if max((p - q).total(), (q - p).total()) > most:
-        return False
     return _distance(a, b) <= most
 
 
@@ -418,9 +439,14 @@ def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            s, t = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            good = pa.array([edit_similar(x, y, similarity) for x, y in zip(s, t, strict=True)], pa.bool_())
-            yield batch.select(["a", "b"]).filter(good)
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                s, t = part.column(2).to_pylist(), part.column(3).to_pylist()
+                size = np.maximum(*(np.fromiter(map(len, x), np.int64, len(x)) for x in (s, t)))
+                most = ((1 - similarity) * size + 1e-9).astype(np.int64)
+                maybe = may_be_similar(letter_counts(s), letter_counts(t), most)
+                good = [bool(m) and edit_similar(x, y, similarity) for m, x, y in zip(maybe, s, t, strict=True)]
+                yield part.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.select("a", "b", "s", "t").mapInArrow(run, "a long, b long")
 
@@ -433,20 +459,15 @@ def drop_lists(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     lines = stored(lines, "lines")
     texts = stored(printed(_texts(docs, lines.select("lh", "at.id", "at.th", "at.line"))), "texts")
     release(spark)
-    first = stored(line_pairs(keyed_lines(texts, range(0, BANDS, PASSES))), "pairs")
-    release(spark)
-    alike = linked(first, texts, similarity)
-    known = stored(components(alike), "known")
-    rest = []
-    for turn in range(1, PASSES):
-        rest.append(stored(line_pairs(keyed_lines(texts, range(turn, BANDS, PASSES))), "pairs"))
+    seen_pairs = alike = known = None
+    for turn in range(PASSES):
+        found = stored(line_pairs(keyed_lines(texts, range(turn, BANDS, PASSES))), "pairs")
         release(spark)
-    found = reduce(DataFrame.unionByName, rest).distinct()
-    more = linked(found, texts, similarity, first, known)
-    for done in (first, known, *rest):
-        forget(done)
-    release(spark)
-    alike = alike.unionByName(more)
+        links = linked(found, texts, similarity, seen_pairs, known)
+        alike = links if alike is None else alike.unionByName(links)
+        if known is None:
+            known = stored(components(alike), "known")
+        seen_pairs = found if seen_pairs is None else seen_pairs.unionByName(found)
     group = components(alike).withColumnRenamed("node", "lh")
     group = stored(lines.join(group, "lh", "left").select("lh", "n", "at", F.coalesce("component", "lh").alias("g")), "groups")
     keep = group.groupBy("g").agg(F.sum("n").alias("all"), F.min("at").alias("keep")).where("all > 1")
