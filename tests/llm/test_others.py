@@ -156,6 +156,19 @@ def test_decontamination(spark, rng, words):
     assert decontam.matches(table.where("false"), bench).count() == 0
 
 
+@pytest.mark.parametrize("copies", [10, 200])
+def test_a_paraphrase_in_a_third_of_the_documents(spark, rng, copies):
+    """The more copies leak, the more common their words are, also against those that the copies replaced."""
+    words = sorted({"".join(rng.choices("abcdeéü", k=rng.randint(2, 7))) for _ in range(3000)})
+    item = rng.sample(words, 15)
+    changed = [f"other{i}" if i in (2, 7, 11) else w for i, w in enumerate(item)]
+    docs = [" ".join(rng.choices(words, k=40) + changed + rng.choices(words, k=40)) for _ in range(copies)]
+    docs += [" ".join(rng.choices(words, k=95)) for _ in range(2 * copies)]
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(rng.choices(words, k=20)))], "item_id long, text string")
+    assert {(r.id, r.item) for r in decontam.matches(table, bench).collect()} == {(i, 0) for i in range(copies)}
+
+
 def test_common_subsequence(rng):
     for _ in range(200):
         a, b = rng.choices(range(5), k=rng.randint(0, 20)), rng.choices(range(5), k=rng.randint(0, 20))

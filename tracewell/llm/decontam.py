@@ -25,7 +25,9 @@ HALF = 64
 RANK = 128
 #: A term in a larger share of the passages has no weight, unless it is one of an item's rarest terms.
 COMMON_SHARE = 0.002
-RAREST = 3
+RAREST = 8
+#: What a term weighs at least, if it has weight: the words of an item that leaked into many documents are common there.
+LEAST_WEIGHT = 2.0
 COSINE = 0.35
 LCS_SHARE = 0.6
 #: With the whole answer in the passage, this share of the item is enough.
@@ -129,13 +131,18 @@ def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.nda
 
 
 def term_weights(frequency: np.ndarray, passages: int, parts: list[Part]) -> np.ndarray:
-    """The terms' inverse document frequencies; common ones have none, but each part keeps its rarest terms."""
+    """The terms' inverse document frequencies; common ones have none, but each part keeps its rarest terms.
+
+    Terms that no passage has count for nothing: of an item whose words are common because many copies of it leaked, the
+    words that the copies replaced would otherwise be all that is left.
+    """
     idf = np.log((1.0 + passages) / (1.0 + frequency)) + 1e-3
-    kept = frequency <= max(20.0, COMMON_SHARE * passages)
+    kept = (frequency > 0) & (frequency <= max(20.0, COMMON_SHARE * passages))
     for part in parts:
         own = np.unique(part.words)
+        own = own[frequency[own] > 0]
         kept[own[np.argsort(frequency[own], kind="stable")[:RAREST]]] = True
-    return np.where(kept, idf, 0.0)
+    return np.where(kept, np.maximum(idf, LEAST_WEIGHT), 0.0)
 
 
 def passage_rows(docs: DataFrame, terms: dict[str, int], weight: np.ndarray) -> DataFrame:
@@ -239,15 +246,18 @@ MATCH_FIELDS = [("item", None), ("passage", T.IntegerType()), ("cosine", T.Doubl
 def _search(docs: DataFrame, items: DataFrame, parts: list[Part], terms: dict[str, int], rank: int) -> DataFrame:
     frequency, passages = document_frequencies(docs, terms)
     weight = term_weights(frequency, passages, parts)
+    schema = T.StructType(
+        [docs.schema["id"], docs.schema["th"], *[T.StructField(n, t or items.schema["item"].dataType) for n, t in MATCH_FIELDS]]
+    )
+    parts = [p for p in parts if (weight[p.words] > 0).any()]  # no passage has a word of the others
+    if not parts:
+        return docs.sparkSession.createDataFrame([], schema)
     rank = min(rank, len(weight))
     rows = stored(passage_rows(docs, terms, weight), "passages")
     space = latent_space(rows, weight, rank)
     own = [np.unique([w for w in p.words if weight[w] > 0]) for p in parts]
     begin = np.cumsum([0, *map(len, own)])[:-1]
     wanted = latent(space, weight, np.concatenate(own).astype(np.int64), begin)
-    schema = T.StructType(
-        [docs.schema["id"], docs.schema["th"], *[T.StructField(n, t or items.schema["item"].dataType) for n, t in MATCH_FIELDS]]
-    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = [(masks_of(p.words), masks_of(p.answer)) for p in parts]
