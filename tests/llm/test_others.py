@@ -222,6 +222,26 @@ def test_wrapper_inference():
     assert body[2][0][1][2][0][1] == "Site" and content[2][0][1][2][0][1] is None
 
 
+def test_surrogates_where_a_shape_is_exhausted(spark):
+    names = [f"{c}." for c in "AEIOUBCDFGHJKLMNPQRSTVWXYZ"] + ["Ñ.", "Я.", "Ω.", "Aa", "Ae"]
+    docs = [(i, f"Dr. {n} wrote") for i, n in enumerate(names)]
+    found = surrogates.pseudonymise(spark.createDataFrame(docs, "doc_id long, text string"), "k").collect()
+    new = [r.text.removeprefix("Dr. ").removesuffix(" wrote").rstrip(".").lower() for r in found]
+    old = {n.rstrip(".").lower() for n in names}
+    assert len(found) == len(names) == len(set(new)) and not old & set(new)
+
+
+def test_many_names_take_time_in_proportion():
+    import time
+
+    def seconds(n):
+        start = time.perf_counter()
+        assert len(surrogates.find("Mr Jones met Jones. " * n)) == 2 * n
+        return time.perf_counter() - start
+
+    assert seconds(20_000) < 20 * max(0.02, seconds(2_000))
+
+
 def check_links(spark, data, kind="double"):
     vec = np.array(data, float)
     vec = vec / np.abs(vec).max(axis=1, keepdims=True)

@@ -21,7 +21,9 @@ from pyspark.sql import types as T
 
 from tracewell.llm.common import stored
 
-MOST_DRAWS = 16
+MOST_DRAWS = 24
+#: From this draw on, names and mailboxes get a letter more with each: a short shape may have no free value left.
+WIDER = 8
 
 # Given names by script and gender; surrogates come from the same list.
 GIVEN_NAMES = {
@@ -115,9 +117,11 @@ def find(text: str) -> list[tuple[int, int, str]]:
             end = span[1]
     known = {text[a:b].lower(): kind for a, b, kind in out if kind in ("given", "surname") and b - a > 2}
     if known:  # a name that stands alone is the same person's
-        taken = [(a, b) for a, b, _ in out]
+        taken, k = list(out), 0  # in order, as the names are
         for m in NAME.finditer(text):
-            if m[0].lower() in known and not any(a < m.end() and m.start() < b for a, b in taken):
+            while k < len(taken) and taken[k][1] <= m.start():
+                k += 1
+            if m[0].lower() in known and (k == len(taken) or taken[k][0] >= m.end()):
                 out.append((m.start(), m.end(), known[m[0].lower()]))
         out.sort()
     return out
@@ -159,6 +163,12 @@ def _reshape(value: str, key: bytes, tweak: str, classes: list[str | None]) -> s
     return "".join(reversed(out))
 
 
+def _wider(stem: str, draw: int) -> str:
+    """The stem with a letter of its script more for every draw from ``WIDER`` on."""
+    pair = next((p for p, first, last in (("ен", "а", "я"), ("εν", "α", "ω")) if any(first <= c <= last for c in stem)), "en")
+    return stem + "".join(pair[i % 2] for i in range(max(0, draw - WIDER + 1)))
+
+
 def canonical(kind: str, text: str) -> str:
     """What all spellings of an entity share."""
     if kind in ("phone", "card"):
@@ -206,13 +216,15 @@ def surrogate(kind: str, value: str, key: bytes, draw: int = 0) -> str:
         return value[:keep] + _reshape(value[keep:], key, tweak + value[:keep], [ALPHABETS[0]] * (len(value) - keep))
     if kind == "email":
         local, _, domain = value.partition("@")
+        value = f"{_wider(local, draw)}@{domain}"
         keep = len(domain) - domain.rindex(".")
         classes = [CLASS_OF.get(c) for c in value[: len(value) - keep]] + [None] * keep
         return _reshape(value, key, tweak, classes)
     if kind == "surname":
         ending = GENDERED.search(value)
         keep = len(ending[0]) if ending and len(ending[0]) < len(value) else 0
-        return _reshape(value, key, tweak, [CLASS_OF.get(c) for c in value[: len(value) - keep]] + [None] * keep)
+        stem = _wider(value[: len(value) - keep], draw)
+        return _reshape(stem + value[len(value) - keep :], key, tweak, [CLASS_OF.get(c) for c in stem] + [None] * keep)
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+", value):
         return _reshape(value, key, tweak, [HEX] * len(value))
     lower = value.lower()
@@ -249,7 +261,8 @@ def draws(found: DataFrame, key: bytes) -> DataFrame:
     """``(kind, value, draw)`` of the entities that need another draw than the first.
 
     A draw fails if its surrogate is another entity's original, or another entity's surrogate. Given names, whose
-    lists are closed, are exchanged among themselves and only have to stay apart.
+    lists are closed, are exchanged among themselves and only have to stay apart. Names and mailboxes whose shape has no
+    free value, such as initials that all occur, become longer.
     """
 
     def made(df: DataFrame) -> DataFrame:
