@@ -23,7 +23,7 @@ from tracewell.llm.common import stored
 #: Passages are two neighbouring halves of so many words; item parts have at most one half.
 HALF = 64
 RANK = 128
-#: A term in a larger share of the passages has no weight, unless it is one of an item's rarest terms.
+#: A term in a larger share of the passages has no weight, unless it is one of the rarest such terms of an item.
 COMMON_SHARE = 0.002
 RAREST = 8
 #: What a term weighs at least, if it has weight: the words of an item that leaked into many documents are common there.
@@ -131,16 +131,17 @@ def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.nda
 
 
 def term_weights(frequency: np.ndarray, passages: int, parts: list[Part]) -> np.ndarray:
-    """The terms' inverse document frequencies; common ones have none, but each part keeps its rarest terms.
+    """The terms' inverse document frequencies; common ones have none, but each part keeps the rarest of its own.
 
     Terms that no passage has count for nothing: of an item whose words are common because many copies of it leaked, the
     words that the copies replaced would otherwise be all that is left.
     """
     idf = np.log((1.0 + passages) / (1.0 + frequency)) + 1e-3
-    kept = (frequency > 0) & (frequency <= max(20.0, COMMON_SHARE * passages))
+    rare = (frequency > 0) & (frequency <= max(20.0, COMMON_SHARE * passages))
+    kept = rare.copy()
     for part in parts:
         own = np.unique(part.words)
-        own = own[frequency[own] > 0]
+        own = own[(frequency[own] > 0) & ~rare[own]]
         kept[own[np.argsort(frequency[own], kind="stable")[:RAREST]]] = True
     return np.where(kept, np.maximum(idf, LEAST_WEIGHT), 0.0)
 
@@ -267,9 +268,11 @@ def _search(docs: DataFrame, items: DataFrame, parts: list[Part], terms: dict[st
                 text, number, term, _ = passage_terms(texts, weight)
                 found = []
                 edge = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(number, prepend=-1) != 0))
-                z = latent(space, weight, term, edge) if len(edge) else np.empty((0, rank), np.float32)
-                for block in range(0, len(edge), 4096):
-                    cosine = z[block : block + 4096] @ wanted.T
+                stops = np.append(edge, len(term))
+                for block in range(0, len(edge), 1024):
+                    some = stops[block : block + 1025]
+                    z = latent(space, weight, term[some[0] : some[-1]], some[:-1] - some[0])
+                    cosine = z @ wanted.T
                     for i, k in np.argwhere(cosine >= COSINE):
                         row, passage = int(text[edge[block + i]]), int(number[edge[block + i]])
                         words = texts[row][passage * HALF : (passage + 2) * HALF]
