@@ -277,11 +277,12 @@ def _rule_texts(spark, sf_dir):
         f"""concat('span[tracetest.span.type="http" name="', event_type, '" kind="', {kind}, '"]') AS selector""",
         "'attr:response.body | json_path \\'$.k\\' <= 8' AS assertion",
     )
-    counted = events.selectExpr(
-        "concat('count-', user_id % 10, '-', event_type) AS rule_id",
+    picked = events.groupBy("event_type", (F.col("user_id") % 10).alias("lot")).agg(F.min("user_id").alias("user_id"))
+    counted = picked.selectExpr(
+        "concat('count-', lot, '-', event_type) AS rule_id",
         """concat('span[name="', event_type, '" user="', user_id, '"]') AS selector""",
         "'attr:tracetest.selected_spans.count >= 12' AS assertion",
-    ).groupBy("rule_id", "assertion").agg(F.min("selector").alias("selector")).select("rule_id", "selector", "assertion")
+    )
     whole = spark.createDataFrame(
         [
             ("all-errors", 'span[name="error"]', 'attr:http.status_code = "500"'),
@@ -496,8 +497,7 @@ FROM b GROUP BY 1, 2, 3, 4""",
     "trace_rules": """WITH e AS (
   SELECT *, event_id % 3 = 0 AS posted, event_type = 'error' AS failed, CAST(props ->> '$.k' AS INTEGER) AS k,
          ['internal', 'server', 'client', 'producer', 'consumer'][1 + event_id % 5] AS kind FROM events),
-picked AS (SELECT 'count-' || user_id % 10 || '-' || event_type AS rule_id, event_type,
-                  min('span[name="' || event_type || '" user="' || user_id || '"]') AS selector FROM e GROUP BY 1, 2),
+picked AS (SELECT 'count-' || user_id % 10 || '-' || event_type AS rule_id, event_type, min(user_id) AS user_id FROM e GROUP BY 1, 2),
 found AS (
   SELECT 'user-' || user_id AS rule_id, count(*) FILTER (posted) AS matched, count(*) FILTER (posted AND NOT failed) AS passed
   FROM e GROUP BY 1
@@ -505,8 +505,8 @@ found AS (
   UNION ALL SELECT 'all-errors', count(*), count(*) FROM e WHERE failed
   UNION ALL SELECT 'every-span', count(*), count(*) FROM e
   UNION ALL SELECT 'unknown', count(*), 0 FROM e WHERE event_type = 'click'),
-counted AS (SELECT rule_id, count(*) AS matched FROM picked p JOIN e
-              ON selector = 'span[name="' || e.event_type || '" user="' || user_id || '"]' GROUP BY rule_id)
+counted AS (SELECT rule_id, count(*) AS matched FROM picked p JOIN e ON p.event_type = e.event_type AND p.user_id = e.user_id
+            GROUP BY rule_id)
 SELECT rule_id, CAST(matched AS BIGINT) AS matched, CAST(passed AS BIGINT) AS passed, matched = passed AS ok FROM found
 UNION ALL SELECT rule_id, matched, CASE WHEN matched >= 12 THEN matched ELSE 0 END, matched >= 12 FROM counted
 UNION ALL SELECT 'no-database', 0, 0, false""",
