@@ -272,10 +272,15 @@ def _search(docs: DataFrame, items: DataFrame, parts: list[Part], terms: dict[st
                     some = stops[block : block + 1025]
                     z = latent(space, weight, term[some[0] : some[-1]], some[:-1] - some[0])
                     cosine = z @ wanted.T
-                    for i, k in np.argwhere(cosine >= COSINE):
-                        row, passage = int(text[edge[block + i]]), int(number[edge[block + i]])
-                        words = texts[row][passage * HALF : (passage + 2) * HALF]
+                    last = -1
+                    for i, k in np.argwhere(cosine >= COSINE).tolist():
+                        if i != last:
+                            row, passage = int(text[edge[block + i]]), int(number[edge[block + i]])
+                            words = texts[row][passage * HALF : (passage + 2) * HALF]
+                            there, last = set(words).__contains__, i
                         part, (mask, answer) = parts[k], masks[k]
+                        if sum(map(there, part.words)) < LCS_SHARE_WITH_ANSWER * len(part.words):
+                            continue  # too few of the item's words are there, in whatever order
                         share = common_subsequence(mask, len(part.words), words) / len(part.words)
                         if share < LCS_SHARE_WITH_ANSWER:
                             continue
