@@ -88,12 +88,34 @@ def term_numbers(texts: list[str | None], terms: dict[str, int]) -> list[list[in
     return [[get(w, -1) for w in words_of(x)] for x in texts]
 
 
-def passage_terms(texts: list[list[int]], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Of each passage the different terms with weight: text, number in the text and term, ascending; all passages."""
-    size = np.fromiter(map(len, texts), np.int64, len(texts))
+def numbered(docs: DataFrame, terms: dict[str, int]) -> DataFrame:
+    """``(id, th, words)``: the texts of ``docs(id, th, text)`` as numbers of terms, -1 for words that aren't any. Texts are read
+    once here; what follows reads the numbers, which take a fraction of their room."""
+    schema = T.StructType([docs.schema["id"], docs.schema["th"], T.StructField("words", T.ArrayType(T.IntegerType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin in range(0, batch.num_rows, 500):
+                part = batch.slice(begin, 500)
+                words = pa.array(term_numbers(part.column(2).to_pylist(), terms), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), words], schema.names)
+
+    return stored(docs.select("id", "th", "text").mapInArrow(run, schema), "words")
+
+
+def parts_of(lists: pa.ListArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Up to 500 lists at a time: the first one's place, all their numbers, and their sizes."""
+    for begin in range(0, len(lists), 500):
+        part = lists.slice(begin, 500)
+        offsets = part.offsets.to_numpy()
+        yield begin, part.values.to_numpy()[offsets[0] : offsets[-1]].astype(np.int64), np.diff(offsets).astype(np.int64)
+
+
+def passage_terms(flat: np.ndarray, size: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Of each passage the different terms with weight: text, number in the text and term, ascending; all passages. Texts
+    come as one array of terms and their sizes."""
     halves = -(-size // HALF)
     last = np.maximum(halves - 2, 0)
-    flat = np.fromiter((t for x in texts for t in x), np.int64, int(size.sum()))
     at = np.flatnonzero((flat >= 0) & (weight[flat] > 0))
     starts = np.cumsum(size) - size
     text = np.searchsorted(starts, at, side="right") - 1
@@ -108,23 +130,21 @@ def passage_terms(texts: list[list[int]], weight: np.ndarray) -> tuple[np.ndarra
     return text, number - base[text], term, int((last + 1)[size > 0].sum())
 
 
-def document_frequencies(docs: DataFrame, terms: dict[str, int]) -> tuple[np.ndarray, int]:
+def document_frequencies(words: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
     """In how many passages each term is, and the number of passages. Bounded by the terms."""
-    n_terms = len(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, total = np.zeros(n_terms + 1, np.int64), 0
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                texts = term_numbers(batch.column(0).slice(begin, 500).to_pylist(), terms)
-                _, _, term, n = passage_terms(texts, np.ones(n_terms))
+            for _, flat, size in parts_of(batch.column(0)):
+                _, _, term, n = passage_terms(flat, size, np.ones(n_terms))
                 count[:n_terms] += np.bincount(term, minlength=n_terms)
                 total += n
         count[n_terms] = total
         some = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(count[some])], ["term", "n"])
 
-    table = docs.select("text").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    table = words.select("words").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     count = np.zeros(n_terms + 1, np.int64)
     count[table["term"].to_numpy()] = table["n"].to_numpy()
     return count[:n_terms], int(count[n_terms])
@@ -145,20 +165,19 @@ def term_weights(frequency: np.ndarray, passages: int, parts: list[Part]) -> np.
     return np.where(kept, np.maximum(idf, LEAST_WEIGHT), 0.0)
 
 
-def passage_rows(docs: DataFrame, terms: dict[str, int], weight: np.ndarray) -> DataFrame:
+def passage_rows(words: DataFrame, weight: np.ndarray) -> DataFrame:
     """The terms with weight of every passage that has any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin in range(0, batch.num_rows, 500):
-                texts = term_numbers(batch.column(0).slice(begin, 500).to_pylist(), terms)
-                text, number, term, _ = passage_terms(texts, weight)
+            for _, flat, size in parts_of(batch.column(0)):
+                text, number, term, _ = passage_terms(flat, size, weight)
                 edge = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(number, prepend=-1) != 0))
                 offsets = pa.array(np.concatenate((edge, [len(term)])).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(term.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([lists], ["terms"])
 
-    return docs.select("text").mapInArrow(run, "terms array<int>")
+    return words.select("words").mapInArrow(run, "terms array<int>")
 
 
 def _rows_times(values: np.ndarray, begin: np.ndarray, columns: np.ndarray, matrix: np.ndarray) -> np.ndarray:
@@ -244,7 +263,8 @@ MATCH_FIELDS = [("item", None), ("passage", T.IntegerType()), ("cosine", T.Doubl
 
 
 def _search(docs: DataFrame, items: DataFrame, parts: list[Part], terms: dict[str, int], rank: int) -> DataFrame:
-    frequency, passages = document_frequencies(docs, terms)
+    words = numbered(docs, terms)
+    frequency, passages = document_frequencies(words, len(terms))
     weight = term_weights(frequency, passages, parts)
     schema = T.StructType(
         [docs.schema["id"], docs.schema["th"], *[T.StructField(n, t or items.schema["item"].dataType) for n, t in MATCH_FIELDS]]
@@ -253,7 +273,7 @@ def _search(docs: DataFrame, items: DataFrame, parts: list[Part], terms: dict[st
     if not parts:
         return docs.sparkSession.createDataFrame([], schema)
     rank = min(rank, len(weight))
-    rows = stored(passage_rows(docs, terms, weight), "passages")
+    rows = stored(passage_rows(words, weight), "passages")
     space = latent_space(rows, weight, rank)
     own = [np.unique([w for w in p.words if weight[w] > 0]) for p in parts]
     begin = np.cumsum([0, *map(len, own)])[:-1]
@@ -262,10 +282,9 @@ def _search(docs: DataFrame, items: DataFrame, parts: list[Part], terms: dict[st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         masks = [(masks_of(p.words), masks_of(p.answer)) for p in parts]
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                texts = term_numbers(batch.column(2).slice(at, 500).to_pylist(), terms)
-                text, number, term, _ = passage_terms(texts, weight)
-                found = []
+            for at, flat, size in parts_of(batch.column(2)):
+                text, number, term, _ = passage_terms(flat, size, weight)
+                ends, found = np.cumsum(size), []
                 edge = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(number, prepend=-1) != 0))
                 stops = np.append(edge, len(term))
                 for block in range(0, len(edge), 1024):
@@ -276,7 +295,8 @@ def _search(docs: DataFrame, items: DataFrame, parts: list[Part], terms: dict[st
                     for i, k in np.argwhere(cosine >= COSINE).tolist():
                         if i != last:
                             row, passage = int(text[edge[block + i]]), int(number[edge[block + i]])
-                            words = texts[row][passage * HALF : (passage + 2) * HALF]
+                            start = int(ends[row] - size[row]) + passage * HALF
+                            words = flat[start : min(start + 2 * HALF, int(ends[row]))].tolist()
                             there, last = set(words).__contains__, i
                         part, (mask, answer) = parts[k], masks[k]
                         if sum(map(there, part.words)) < LCS_SHARE_WITH_ANSWER * len(part.words):
@@ -298,7 +318,7 @@ def _search(docs: DataFrame, items: DataFrame, parts: list[Part], terms: dict[st
     from pyspark.sql.pandas.types import to_arrow_type
 
     pa_type = to_arrow_type(items.schema["item"].dataType)
-    return docs.mapInArrow(run, schema)
+    return words.mapInArrow(run, schema)
 
 
 def matches(
