@@ -94,3 +94,22 @@ def test_rules_on_spans(spark, spans):
     assert {r.rule_id: r.m for r in totals} == {i: m for i, _, _, m, _ in RULES if m}
     assert by_trace.where("rule_id = 'whole'").count() == 2
     assert rules.check(spans.limit(0), parsed).where("matched = 0").count() == len(RULES)
+
+
+def test_rules_are_filed_under_what_fewest_rules_ask_for(spark, spans):
+    common = 'span[tracetest.span.type="http" name="call" user="{}"]'
+    texts = [(f"user-{i}", common.format(i), "attr:n = 3") for i in range(40)]
+    texts += [("plain", 'span[tracetest.span.type="http" name="plain"]', "attr:n = 3"), ("whole", "span[]", "attr:n = 3")]
+    parsed = rules.parse(spark.createDataFrame(texts + texts[:1], "rule_id string, selector string, assertion string"))
+    got = sorted((r.rule_id, r.filed_key, r.filed_value) for r in rules.filed(parsed).collect())
+    want = [(f"user-{i}", "user", str(i)) for i in [0, *range(40)]] + [("plain", "name", "plain"), ("whole", "", "")]
+    assert got == sorted(want)
+
+
+def test_spans_are_not_held_in_memory_to_be_joined(spark, spans):
+    parsed = rules.parse(spark.createDataFrame([r[:3] for r in RULES], "rule_id string, selector string, assertion string"))
+    plan = rules.check(spans, parsed)._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    )
+    join = next(line for line in plan.split("\n") if "Join [key#" in line)
+    assert "ShuffledHashJoin" in join and "BuildRight" in join

@@ -1,8 +1,9 @@
 """Trace rules as a table: selectors and assertions in their text form, hundreds of them checked in one pass.
 
 A rule reads ``span[key="value" ...]`` and ``attr:key | json_path '$.path' = value``. Every rule is filed under one of its
-equalities, that of the span name if it has one. Spans are joined to rules by what they carry; the other conditions and
-the assertion are then verified on the pairs, so a span meets only the rules that name something it has.
+equalities, the one that the fewest rules ask for. Spans are joined to rules by what they carry; the other conditions and
+the assertion are then verified on the pairs, so a span meets only the rules that name something it has, and not all
+those that share a condition which most spans meet.
 """
 
 from __future__ import annotations
@@ -120,6 +121,18 @@ def _holds(actual: Column) -> Column:
     return F.coalesce(test.otherwise(compared(actual, expected)), F.lit(False))
 
 
+def filed(rules: DataFrame) -> DataFrame:
+    """``rules`` with ``filed_key`` and ``filed_value``, the condition that fewest rules have, that of the span name or
+    else the first one among equals; empty for rules without conditions."""
+    selectors = rules.groupBy("conditions").agg(F.count(F.lit(1)).alias("rules"))
+    asked = selectors.select("conditions", "rules", F.posexplode("conditions").alias("at", "mark"))
+    shared = asked.groupBy("mark").agg(F.sum("rules").alias("shared"))
+    order = F.struct("shared", F.col("mark.key") != NAME, "at", "mark")
+    rarest = asked.join(shared, "mark").groupBy("conditions").agg(F.min(order)["mark"].alias("mark"))
+    part = lambda name: F.coalesce(F.col("mark")[name], F.lit("")).alias(f"filed_{name}")
+    return rules.join(rarest, "conditions", "left").select(*rules.columns, part("key"), part("value"))
+
+
 def check(spans: DataFrame, rules: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """``(*by, rule_id, matched, passed, ok)``: how many spans each rule selects and how many of these pass.
 
@@ -127,16 +140,18 @@ def check(spans: DataFrame, rules: DataFrame, by: tuple[str, ...] = ()) -> DataF
     is asserted on the number of selected spans. Without ``by`` every rule has a row, with ``by`` (such as the trace) those
     that select a span of the group.
     """
-    first = F.filter("conditions", lambda c: c["key"] == NAME)
-    filed = F.coalesce(F.get(first, 0), F.get("conditions", 0), F.struct(F.lit("").alias("key"), F.lit("").alias("value")))
-    filed_rules = rules.withColumns({"filed_key": filed["key"], "filed_value": filed["value"]})
+    filed_rules = filed(rules)
+    filed_keys = filed_rules.agg(F.collect_set("filed_key").alias("filed_keys"))  # names of attributes, one row
 
-    carried = _carried(spans, list(by))
+    carried = _carried(spans, list(by)).crossJoin(filed_keys)
     marks = F.concat(F.array(F.struct(F.lit("").alias("key"), F.lit("").alias("value"))), F.filter(
         F.zip_with("keys", "values", lambda k, v: F.struct(k.alias("key"), v.alias("value"))), lambda m: m["value"].isNotNull()
     ))
-    pairs = carried.select("*", F.inline(F.array_distinct(marks)))
-    met = pairs.join(filed_rules, (F.col("key") == F.col("filed_key")) & (F.col("value") == F.col("filed_value")))
+    marks = F.filter(marks, lambda m: F.array_contains("filed_keys", m["key"]))
+    pairs = carried.select(*by, "keys", "values", F.inline(F.array_distinct(marks)))
+    # Spark takes spans for small, as their files are; the hint keeps them from being the side that is held in memory
+    on = (F.col("key") == F.col("filed_key")) & (F.col("value") == F.col("filed_value"))
+    met = pairs.join(filed_rules.hint("shuffle_hash"), on)
     chosen = met.where(F.forall("conditions", lambda c: F.coalesce(_value(c["key"]) == c["value"], F.lit(False))))
 
     actual = _value(F.col("attribute"))
