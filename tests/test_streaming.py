@@ -346,3 +346,24 @@ def test_cart_stream_resumes(spark, tmp_path):
         cart_stream.maintain(stream_in, store, str(tmp_path / "cp"), available_now=True).awaitTermination()
     batch = spark.read.schema(schemas.CART_EVENT).json(str(source) + "/*.json")
     assert carts(cart_stream.items(spark, store)) == carts(cart.state(batch))
+
+
+def test_a_replayed_batch_is_written_and_read_by_many_tasks(spark, tmp_path):
+    """Also where a part of the range holds few rows or none, and the first task reads none of a batch's rows."""
+    keys = [*range(3000, 4000), *range(700), *range(3)]
+    table = spark.sparkContext.parallelize(keys, 4).map(lambda k: (k, str(k))).toDF("id long, text string")
+    table.write.parquet(str(tmp_path / "t.parquet"))
+    for descending, batches, ids in ((False, 4, range(4)), (True, 8, range(8))):
+        found = fixtures.replay(spark, str(tmp_path), "t", "id", batches=batches, descending=descending, file_rows=100)
+        seen = {}
+
+        def keep(batch, batch_id, seen=seen):
+            read = batch.select("id", F.input_file_name().alias("file")).collect()
+            seen[batch_id] = (sorted(r.id for r in read), len({r.file for r in read}))
+
+        found.writeStream.foreachBatch(keep).option("checkpointLocation", str(tmp_path / f"cp{batches}")).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+        parts = [sorted(k for k in keys if k * batches // 4000 == i) for i in range(batches)]
+        assert [seen[i][0] for i in ids] == (parts[::-1] if descending else parts)
+        assert len(seen) == batches and max(n for _, n in seen.values()) >= 5

@@ -30,22 +30,37 @@ def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
+#: Rows of a replayed file at most, so that many tasks write a micro-batch and read it.
+FILE_ROWS = 250_000
+
+
 def replay(
-    spark: SparkSession, sf_dir: str, name: str, order: str, batches: int = 3, descending: bool = True
+    spark: SparkSession, sf_dir: str, name: str, order: str, batches: int = 3, descending: bool = True, file_rows: int = FILE_ROWS
 ) -> DataFrame:
     """A table as a stream of several micro-batches by a whole-numbered column, the largest values first if ``descending``.
 
-    The whole table is laid out anew, below the checkpoint root, in as many files one after the other, so that their times
-    give the order. A batch holds an equal part of the column's range.
+    The whole table is laid out anew, below the checkpoint root, one batch's files after the other's, so that their times
+    give the order. A batch holds an equal part of the column's range. It is written by as many tasks as read the table;
+    all have the same number of files, as a trigger takes a fixed number, so empty ones are added where fewer came out.
     """
     rows = table(spark, sf_dir, name)
     folder = checkpoint_path(spark, f"replay-{uuid.uuid4().hex}")
     low, high = rows.agg(F.min(order), F.max(order)).first()
     part = F.expr(f"({order} - {low}) * {batches} DIV ({high} - {low} + 1)") if low is not None else F.lit(0)
+    by_task = rows.groupBy(part.alias("step"), F.spark_partition_id().alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    first = F.when(F.min("task") > 0, 1).otherwise(0)  # the first task leaves a file even if it has no row
+    per_step = by_task.groupBy("step").agg((F.sum(F.ceil(F.col("n") / file_rows)) + first).alias("files"))
+    files = max(1, per_step.agg(F.max("files")).first()[0] or 1)
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.parquet")
+    there = place.getFileSystem(spark._jsc.hadoopConfiguration())
     steps = reversed(range(batches)) if descending else range(batches)
-    for step in steps:
-        rows.where(part == step).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    for done, step in enumerate(steps, 1):
+        rows.where(part == step).write.option("maxRecordsPerFile", file_rows).mode("append").parquet(folder)
+        for _ in range(files * done - len(there.globStatus(place))):
+            spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(folder)
+        if len(there.globStatus(place)) != files * done:
+            raise RuntimeError(f"a step of {folder} has more than {files} files")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def events(spark: SparkSession, sf_dir: str, streaming: bool = False) -> DataFrame:
