@@ -88,3 +88,15 @@ def test_payload_column(spark):
     parsed = orders.parse(spark.createDataFrame(rows, "value binary"))
     assert sorted(r.order_id for r in orders.valid(parsed).collect()) == ["", "o-1"]
     assert sorted((bytes(r.value) if r.value is not None else b"null") for r in orders.unparsable(parsed).collect()) == sorted([ORDER[:-1], b"null"])
+
+
+def test_columns_are_those_of_the_decoded_messages():
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kind = to_arrow_type(schemas.ORDER)
+    found = [None, wire.decode(ORDER, schemas.ORDER), wire.decode(b"", schemas.ORDER), None, wire.decode(ORDER, schemas.ORDER)]
+    for messages in (found, found[:1], []):
+        got = wire._columns(messages, kind)
+        got.validate(full=True)
+        assert got.equals(pa.array(messages, kind))
