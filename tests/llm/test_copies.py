@@ -229,3 +229,28 @@ def test_lines_against_all_pairs_by_edit_similarity(spark):
     got = {r.doc_id for r in lines.dedupe_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect() if r.text}
     assert got >= set(first.values())
     assert len(got - set(first.values())) <= 0.01 * len(docs)
+
+
+def test_letters_rule_out_chance_meetings_but_no_similar_lines(rng):
+    pairs = [(a, b) for a, b in one_word_changes(600, 8) if len(a) < 200]
+    unlike = ["".join(rng.choices("etaoinshrdlu ", k=80)) for _ in range(200)]
+    for first, second, alike in (*[(a, b, True) for a, b in pairs], *[(a, b, False) for a, b in itertools.pairwise(unlike)]):
+        most = np.array([int(0.2 * max(len(first), len(second)) + 1e-9)])
+        packed = [lines.packed_letters([x]) for x in (first, second)]
+        sizes = [np.array([len(x)], np.int32) for x in (first, second)]
+        allowed = bool(lines.letters_allow(*packed, *sizes, most)[0])
+        assert allowed or not alike
+        change = np.abs(np.subtract(*(lines.letter_counts([x])[0, : lines.LETTERS] for x in (first, second))))
+        if change.max() < 8:  # four bits show it whole
+            assert allowed == (change.sum() + abs(len(first) - len(second)) <= 2 * most[0])
+    assert lines.packed_letters(["", "x" * (lines.LETTERED + 1)]).tolist() == [[0, 0], [0, 0]]
+
+
+def test_unlike_lines_of_a_key_are_not_listed(spark, rng):
+    texts = ["".join(rng.choices("etaoin ", k=60)) for _ in range(15)] + ["".join(rng.choices("shrdlu ", k=60)) for _ in range(15)]
+    texts += [texts[0][:-1] + "q", texts[15][:-3] + "etc"]
+    known = [(1, i, 5, len(t), *lines.packed_letters([t])[0].tolist()) for i, t in enumerate(texts)]
+    keyed = spark.createDataFrame(known, "key long, lh long, fp long, size int, low long, high long")
+    got = {(r.a, r.b) for r in lines.line_pairs(keyed).collect()}
+    like = {(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if lines.edit_similar(texts[i], texts[j])}
+    assert like and like <= got and not any((i % 30 < 15) != (j % 30 < 15) for i, j in got if j < 30)

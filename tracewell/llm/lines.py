@@ -35,6 +35,10 @@ BANDS = 16
 PASSES = 4
 #: Keys shared by more lines are searched breadth first.
 PAIRED = 32
+#: Longest line whose letters are counted beside its keys; longer ones seldom meet by chance.
+LETTERED = 250
+#: Buckets of letters and of pairs of letters in a line's counts.
+LETTERS, COUPLES = 32, 256
 
 
 _words, _digit = re.compile(r"\w+").findall, re.compile(r"\d")
@@ -175,33 +179,36 @@ def occurrences(docs: DataFrame) -> DataFrame:
 
 
 def printed(texts: DataFrame) -> DataFrame:
-    """``texts(lh, text)`` with the fingerprints ``fp``."""
+    """``texts(lh, text)`` with the fingerprints ``fp`` and the letter counts ``low`` and ``high``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = pa.array(word_fingerprints(batch.column(1).to_pylist()), pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, fp], ["lh", "text", "fp"])
+            text = batch.column(1).to_pylist()
+            counts = packed_letters(text)
+            more = [pa.array(x, pa.int64()) for x in (word_fingerprints(text), counts[:, 0].copy(), counts[:, 1].copy())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *more], ["lh", "text", "fp", "low", "high"])
 
-    return texts.select("lh", "text").mapInArrow(run, "lh long, text string, fp long")
+    return texts.select("lh", "text").mapInArrow(run, "lh long, text string, fp long, low long, high long")
 
 
 def keyed_lines(texts: DataFrame, bands: range) -> DataFrame:
-    """``(key, lh, fp, size)``: the keys of the bands of each line of ``texts(lh, text, fp)``."""
+    """``(key, lh, fp, size, low, high)``: the keys of the bands of each line of ``texts(lh, text, fp, low, high)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin in range(0, batch.num_rows, 2000):
-                lh, text, fp = batch.slice(begin, 2000).columns
+                lh, text, fp, low, high = batch.slice(begin, 2000).columns
                 text = text.to_pylist()
                 keys = line_keys(text, bands)
                 take = pa.array(np.repeat(np.arange(len(text)), list(map(len, keys))))
                 size = pa.array(list(map(len, text)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(chain.from_iterable(keys), pa.int64()), lh.take(take), fp.take(take), size.take(take)],
-                    ["key", "lh", "fp", "size"],
+                    [pa.array(chain.from_iterable(keys), pa.int64()), *[x.take(take) for x in (lh, fp, size, low, high)]],
+                    ["key", "lh", "fp", "size", "low", "high"],
                 )
 
-    return texts.select("lh", "text", "fp").mapInArrow(run, "key long, lh long, fp long, size int")
+    columns = "key long, lh long, fp long, size int, low long, high long"
+    return texts.select("lh", "text", "fp", "low", "high").mapInArrow(run, columns)
 
 
 def _near(fp: np.ndarray, size: np.ndarray, other: np.ndarray, other_size: np.ndarray) -> np.ndarray:
@@ -210,14 +217,42 @@ def _near(fp: np.ndarray, size: np.ndarray, other: np.ndarray, other_size: np.nd
     return close & (np.minimum(size, other_size) >= SIMILARITY * np.maximum(size, other_size) - 1e-6)
 
 
-def line_pairs(keyed: DataFrame) -> DataFrame:
-    """Candidates ``(a, b, crowded)`` of ``keyed(key, lh, fp, size)``: pairs, or a line ``a`` and its ``crowded`` key."""
+def packed_letters(texts: list[str]) -> np.ndarray:
+    """The lowest four bits of each text's letter counts by bucket, in two numbers; zeros for texts beyond ``LETTERED``."""
+    few = [i for i, text in enumerate(texts) if 0 < len(text) <= LETTERED]
+    code = np.frombuffer("".join([texts[i] for i in few]).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    row = np.repeat(np.array(few, np.int64), np.fromiter((len(texts[i]) for i in few), np.int64, len(few)))
+    counts = np.bincount(row * LETTERS + code % LETTERS, minlength=len(texts) * LETTERS).reshape(-1, LETTERS)
+    counts = (counts & 15).astype(np.uint8)
+    return (counts[:, ::2] | counts[:, 1::2] << 4).view("<i8").reshape(-1, 2)
+
+
+def letters_allow(a: np.ndarray, b: np.ndarray, size: np.ndarray, other: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether rows of :func:`packed_letters` allow an edit distance of ``most`` between texts of these sizes.
+
+    Of the letters that one text has more of and the other has more of, neither kind may exceed the edits; they add up to
+    the change of all counts and differ by the change of size. Four bits show a change of 8 at most, never too large a one.
+    """
+    x, y = (np.ascontiguousarray(c, "<i8").view(np.uint8).reshape(-1, LETTERS // 2) for c in (a, b))
+    change = np.abs(size.astype(np.int64) - other)
+    for shift in (0, 4):
+        by = (x >> shift) - (y >> shift) & 15
+        change += np.minimum(by, 16 - by).sum(axis=1, dtype=np.int64)
+    return (change <= 2 * most) | ~a.any(axis=1) | ~b.any(axis=1)
+
+
+def line_pairs(keyed: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Candidates ``(a, b, crowded)`` of ``keyed(key, lh, fp, size, low, high)``: pairs, or a line ``a`` and its ``crowded`` key.
+
+    Lines that meet by chance grow faster than the lines, so those whose letters tell them apart are not listed.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = {n: np.triu_indices(n, 1) for n in range(2, PAIRED + 1)}
 
         def solve(rows: list[np.ndarray]) -> pa.RecordBatch:
-            key, lh, fp, size = rows
+            key, lh, fp, size, *letters = rows
+            letters = np.stack(letters, axis=1)
             edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1], [True])))
             many = np.diff(edge)
             first, second, members, names = [], [], [], []
@@ -226,6 +261,9 @@ def line_pairs(keyed: DataFrame) -> DataFrame:
                 if n <= PAIRED:
                     i, j = (x.ravel() for x in (begin[:, None] + every[int(n)][0], begin[:, None] + every[int(n)][1]))
                     good = _near(fp[i], size[i], fp[j], size[j])
+                    i, j = i[good], j[good]
+                    most = ((1 - similarity) * np.maximum(size[i], size[j]) + 1e-9).astype(np.int64)
+                    good = letters_allow(letters[i], letters[j], size[i], size[j], most)
                     first.append(lh[i][good])
                     second.append(lh[j][good])
                 else:
@@ -258,10 +296,6 @@ def line_pairs(keyed: DataFrame) -> DataFrame:
     return grouped.mapInArrow(run, "a long, b long, crowded long").distinct()
 
 
-#: Buckets of letters and of pairs of letters in a line's counts.
-LETTERS, COUPLES = 32, 256
-
-
 def letter_counts(texts: list[str]) -> np.ndarray:
     """A row of counts for each text: its letters by bucket, then its pairs of neighbouring letters."""
     code = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
@@ -461,7 +495,7 @@ def drop_lists(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     release(spark)
     seen_pairs = alike = known = None
     for turn in range(PASSES):
-        found = stored(line_pairs(keyed_lines(texts, range(turn, BANDS, PASSES))), "pairs")
+        found = stored(line_pairs(keyed_lines(texts, range(turn, BANDS, PASSES)), similarity), "pairs")
         release(spark)
         links = linked(found, texts, similarity, seen_pairs, known)
         alike = links if alike is None else alike.unionByName(links)
