@@ -254,3 +254,25 @@ def test_unlike_lines_of_a_key_are_not_listed(spark, rng):
     got = {(r.a, r.b) for r in lines.line_pairs(keyed).collect()}
     like = {(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if lines.edit_similar(texts[i], texts[j])}
     assert like and like <= got and not any((i % 30 < 15) != (j % 30 < 15) for i, j in got if j < 30)
+
+
+def test_bounds_and_early_ends_agree_with_the_distance(rng):
+    for _ in range(600):
+        words = ["".join(rng.choices("abcé", k=rng.randint(1, 6))) for _ in range(rng.randint(1, 60))]
+        changed = list(words)
+        for _ in range(rng.randint(0, 12)):
+            i = rng.randrange(len(changed) + 1)
+            changed[i : i + rng.randint(0, 3)] = rng.choice([[], ["ab"], ["x", "cab"], [rng.choice(words)]])
+        a, b = " ".join(words), " ".join(changed)
+        distance, most = edit_distance(a, b) if len(a) < 90 else lines._distance(a, b), int(0.2 * max(len(a), len(b)) + 1e-9)
+        assert lines.edit_similar(a, b) == (distance <= most)
+        assert (lines._distance(a, b, most) <= most) == (distance <= most)
+        assert not lines._side_by_side(a.split(" "), b.split(" "), most) or distance <= most
+
+
+def test_lines_normalised_together(rng):
+    letters = [*"aBéÉİΣς_9٣²Ⅷ \t\r\x0b.", " ", " ", "🙂", "𝐀", "𠀀", "\U00010400", "\U000e0001", "\x85", "é"]
+    some = ["".join(rng.choices(letters, k=rng.randint(0, 12))) for _ in range(3000)]
+    some += [f"a{chr(c)}b {chr(c)}" for c in range(0x30000) if c != 10 and not 0xD800 <= c < 0xE000]
+    assert lines.all_normalised(some) == [lines.normalised(x) for x in some]
+    assert lines.all_normalised([]) == [] and lines.all_normalised([""]) == [""]

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache, reduce
 from itertools import chain
 
 import numpy as np
@@ -50,6 +51,46 @@ def normalised(line: str) -> str:
     return _digit.sub("0", plain) if _digit.search(plain) else plain
 
 
+@cache
+def _plain() -> np.ndarray:
+    """What becomes of each letter below 2**17: its lower case, 0 for digits, a space for what is in no word; ``_OWN`` where
+    lower case depends on the word or is longer."""
+    out = np.full(1 << 17, 32, np.uint32)
+    for code in range(1 << 17):
+        lower = chr(code).lower()
+        if len(lower) > 1 or code == 0x3A3:  # a capital sigma ends words in another letter
+            out[code] = _OWN
+        elif lower.isalnum() or lower == "_":
+            out[code] = 48 if lower.isdecimal() else ord(lower)
+    out[10] = 10
+    return out
+
+
+_OWN = (1 << 32) - 1
+
+
+def all_normalised(lines: list[str]) -> list[str]:
+    """:func:`normalised` of each line, none of which holds a line feed."""
+    if not lines:
+        return []
+    raw = np.frombuffer("\n".join(lines).encode("utf-32-le", "surrogatepass"), "<u4")
+    table = _plain()
+    code = table[np.minimum(raw, len(table) - 1)]
+    code[raw >= len(table)] = _OWN
+    own = np.flatnonzero(code == _OWN)
+    numbers = np.unique(np.searchsorted(np.flatnonzero(raw == 10), own)).tolist() if len(own) else []
+    code[own] = 32
+    gap = code == 32
+    inner = ~gap
+    inner[1:] |= inner[:-1] & (code[:-1] != 10)  # of a gap the first space, unless it begins a line
+    code = code[inner]
+    code = code[(code != 32) | np.append(code[1:] != 10, False)]  # unless it ends one
+    out = code.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").split("\n")
+    for k in numbers:
+        out[k] = normalised(lines[k])
+    return out
+
+
 #: For each byte its bits as the bytes of one number, so that eight counters add up at once.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view("<u8").ravel()
 _ODD = np.random.default_rng(4).integers(0, 1 << 63, 128, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -67,7 +108,8 @@ def _grams(lines: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     code = np.frombuffer((pad + pad.join(lines) + pad).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     hashes = np.zeros(max(0, len(code) - n + 1), np.uint64)
     for j in range(n):
-        hashes = hashes * np.uint64(0x100000001B3) + code[j : j + len(hashes)]
+        hashes *= np.uint64(0x100000001B3)
+        hashes += code[j : j + len(hashes)]
     size = np.fromiter(map(len, lines), np.int64, len(lines)) + n - 1
     return _mixed(hashes), np.cumsum(size) - size, size
 
@@ -95,11 +137,13 @@ def word_fingerprints(lines: list[str]) -> np.ndarray:
 def _bands(lines: list[str], n: int, rows: int, bands: range) -> np.ndarray:
     """A row of keys for each line, one for each band, a key from ``rows`` minimal hashes of n-grams."""
     hashes, starts, _ = _grams(lines, n)
-    out = np.empty((len(lines), len(bands)), np.uint64)
+    out, held = np.empty((len(lines), len(bands)), np.uint64), np.empty_like(hashes)
     for at, band in enumerate(bands):
         key = np.full(len(lines), 100 * n + band + 1, np.uint64)
         for i in range(band * rows, (band + 1) * rows):
-            key = _mixed(key * np.uint64(31) + np.minimum.reduceat(hashes * _ODD[i] + _ODD[-1 - i], starts))
+            np.multiply(hashes, _ODD[i], out=held)
+            np.add(held, _ODD[-1 - i], out=held)
+            key = _mixed(key * np.uint64(31) + np.minimum.reduceat(held, starts))
         out[:, at] = key
     return out.view(np.int64)
 
@@ -156,13 +200,12 @@ def occurrences(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 some = batch.slice(begin, 256)
-                row, line, text = [], [], []
-                for i, value in enumerate(some.column(2).to_pylist()):
-                    for k, raw in enumerate((value or "").split("\n")):
-                        if plain := normalised(raw):
-                            row.append(i)
-                            line.append(k)
-                            text.append(plain)
+                raw = [(value or "").split("\n") for value in some.column(2).to_pylist()]
+                text = all_normalised(list(chain.from_iterable(raw)))
+                row = [i for i, x in enumerate(raw) for _ in x]
+                line = [k for x in raw for k in range(len(x))]
+                row, line = ([x for x, plain in zip(of, text, strict=True) if plain] for of in (row, line))
+                text = [plain for plain in text if plain]
                 lh = np.array([xxhash.xxh3_64_intdigest(x) for x in text], np.uint64).view(np.int64)
                 take = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -365,7 +408,8 @@ def crowded_links(crowded: DataFrame, texts: DataFrame, similarity: float) -> Da
             yield solve()
 
     both = crowded.join(texts, "lh").select("key", "lh", "fp", "g", "text")
-    return both.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
+    tasks = int(both.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # given, so that few bytes aren't put in few tasks
+    return both.repartition(tasks, "key").sortWithinPartitions("key").mapInArrow(run, "a long, b long").distinct()
 
 
 def linked(found: DataFrame, texts: DataFrame, similarity: float, seen: DataFrame | None = None, known: DataFrame | None = None) -> DataFrame:
@@ -379,7 +423,7 @@ def linked(found: DataFrame, texts: DataFrame, similarity: float, seen: DataFram
     if known is None:
         crowded = crowded.withColumn("g", F.col("lh"))
     else:
-        pairs = pairs.join(seen.where("crowded is null").select("a", "b"), ["a", "b"], "left_anti")
+        pairs = pairs.distinct().join(seen.where("crowded is null").select("a", "b"), ["a", "b"], "left_anti")
         for c in ("a", "b"):
             own = known.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}"))
             pairs = pairs.join(own, c, "left")
@@ -405,12 +449,14 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                split = text.split("\n")
-                yield pa.RecordBatch.from_pydict(
-                    {"lh": [x["lh"] for x in lines], "text": [normalised(split[x["line"]]) for x in lines]},
-                    schema=pa.schema([("lh", pa.int64()), ("text", pa.string())]),
-                )
+            for begin in range(0, batch.num_rows, 256):
+                texts, lines = batch.slice(begin, 256).columns
+                raw = []
+                for text, wanted in zip(texts.to_pylist(), lines.to_pylist(), strict=True):
+                    split = text.split("\n")
+                    raw += [split[x["line"]] for x in wanted]
+                lh = lines.flatten().field("lh")
+                yield pa.RecordBatch.from_arrays([lh, pa.array(all_normalised(raw), pa.string())], ["lh", "text"])
 
     return joined.select("d.text", "w.lines").mapInArrow(run, "lh long, text string").dropDuplicates(["lh"])
 
@@ -424,8 +470,38 @@ def _shared(a: str, b: str) -> int:
     return low
 
 
-def _distance(a: str, b: str) -> int:
-    """Levenshtein distance, all cells of a column at once in the bits of a number."""
+#: Words that a changed passage may span when two lines are laid side by side; columns between looks at a column's least.
+SPAN, LOOK = 12, 48
+
+
+def _side_by_side(x: list[str], y: list[str], most: int) -> bool:
+    """Whether words put between equal ones, in the nearest way found from left to right, cost ``most`` edits at most."""
+    i = j = cost = 0
+    while i < len(x) and j < len(y):
+        if x[i] == y[j]:
+            i, j = i + 1, j + 1
+            continue
+        for far in range(1, 2 * SPAN):
+            for a in range(max(0, far - SPAN), min(far, SPAN) + 1):
+                if x[i + a : i + a + 2] == y[j + far - a : j + far - a + 2] != []:
+                    break
+            else:
+                continue
+            break
+        else:
+            break
+        cost += max(sum(map(len, x[i : i + a])) + a, sum(map(len, y[j : j + far - a])) + far - a)
+        if cost > most:
+            return False
+        i, j = i + a, j + far - a
+    return cost + max(sum(map(len, x[i:])) + len(x) - i, sum(map(len, y[j:])) + len(y) - j) <= most
+
+
+def _distance(a: str, b: str, most: int | None = None) -> int:
+    """Levenshtein distance, all cells of a column at once in the bits of a number.
+
+    The least cell of a column never falls; beyond ``most`` it is returned for the distance, which is no less.
+    """
     if len(a) < len(b):
         a, b = b, a
     if not b:
@@ -433,9 +509,10 @@ def _distance(a: str, b: str) -> int:
     masks: dict[str, int] = {}
     for i, c in enumerate(b):
         masks[c] = masks.get(c, 0) | 1 << i
-    full, top = (1 << len(b)) - 1, 1 << len(b) - 1
+    full, top, size = (1 << len(b)) - 1, 1 << len(b) - 1, (len(b) + 7) // 8
     up, down, score = full, 0, len(b)
-    for c in a:
+    look = LOOK if most is not None and len(b) > 2 * LOOK else 0
+    for at, c in enumerate(a, 1):
         eq = masks.get(c, 0)
         across = (((eq & up) + up) ^ up) | eq | down
         right, left = down | (full & ~(across | up)), up & across
@@ -443,13 +520,18 @@ def _distance(a: str, b: str) -> int:
         right, left = (right << 1 | 1) & full, left << 1 & full
         eq |= down
         up, down = left | (full & ~(eq | right)), right & eq
+        if look and at % look == 0 and at > most:
+            steps = (np.unpackbits(np.frombuffer(x.to_bytes(size, "little"), np.uint8), bitorder="little") for x in (up, down))
+            least = at + min(0, int(np.cumsum(np.subtract(*steps, dtype=np.int32)).min()))
+            if least > most:
+                return least
     return score
 
 
 def edit_similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
     """Whether one less the edit distance by the longer length is at least ``similarity``.
 
-    Bounds settle many pairs: what is left between common ends, words replaced in place.
+    Bounds settle many pairs: what is left between common ends, words replaced in place, words laid side by side.
     """
     most = int((1 - similarity) * max(len(a), len(b)) + 1e-9)
     if abs(len(a) - len(b)) > most:
@@ -463,7 +545,7 @@ def edit_similar(a: str, b: str, similarity: float = SIMILARITY) -> bool:
     x, y = a.split(" "), b.split(" ")
     if len(x) == len(y) and sum(max(len(p), len(q)) for p, q in zip(x, y, strict=True) if p != q) <= most:
         return True
-    return _distance(a, b) <= most
+    return _side_by_side(x, y, most) or _distance(a, b, most) <= most
 
 
 def similar(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -493,15 +575,14 @@ def drop_lists(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     lines = stored(lines, "lines")
     texts = stored(printed(_texts(docs, lines.select("lh", "at.id", "at.th", "at.line"))), "texts")
     release(spark)
-    seen_pairs = alike = known = None
+    found = []
     for turn in range(PASSES):
-        found = stored(line_pairs(keyed_lines(texts, range(turn, BANDS, PASSES)), similarity), "pairs")
+        found.append(stored(line_pairs(keyed_lines(texts, range(turn, BANDS, PASSES)), similarity), "pairs"))
         release(spark)
-        links = linked(found, texts, similarity, seen_pairs, known)
-        alike = links if alike is None else alike.unionByName(links)
-        if known is None:
-            known = stored(components(alike), "known")
-        seen_pairs = found if seen_pairs is None else seen_pairs.unionByName(found)
+    alike = linked(found[0], texts, similarity)
+    known = stored(components(alike), "known")
+    if later := found[1:]:
+        alike = alike.unionByName(linked(reduce(DataFrame.unionByName, later), texts, similarity, found[0], known))
     group = components(alike).withColumnRenamed("node", "lh")
     group = stored(lines.join(group, "lh", "left").select("lh", "n", "at", F.coalesce("component", "lh").alias("g")), "groups")
     keep = group.groupBy("g").agg(F.sum("n").alias("all"), F.min("at").alias("keep")).where("all > 1")
