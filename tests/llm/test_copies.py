@@ -276,3 +276,76 @@ def test_lines_normalised_together(rng):
     some += [f"a{chr(c)}b {chr(c)}" for c in range(0x30000) if c != 10 and not 0xD800 <= c < 0xE000]
     assert lines.all_normalised(some) == [lines.normalised(x) for x in some]
     assert lines.all_normalised([]) == [] and lines.all_normalised([""]) == [""]
+
+
+def test_pairs_compared_side_by_side_agree_with_single_ones(rng):
+    pairs = []
+    for many in (3, 12, 60, 180, 1500):
+        for _ in range(150 if many < 1000 else 3):
+            words = ["".join(rng.choices("abcé🙂", k=rng.randint(1, 6))) for _ in range(rng.randint(1, many))]
+            changed = list(words)
+            for _ in range(rng.randint(0, 2 + many // 5)):
+                i = rng.randrange(len(changed) + 1)
+                changed[i : i + rng.randint(0, 3)] = rng.choice([[], ["ab"], ["x", "cab"], [rng.choice(words)]])
+            pairs.append((" ".join(words), " ".join(changed)))
+    pairs += [("", ""), ("", "a"), ("a" * 64, "a" * 52 + "b" * 12), ("a" * 64, "a" * 51 + "b" * 13), ("x" * 300, "x" * 240)]
+    pairs += [("".join(rng.choices("etaoin ", k=n)), "".join(rng.choices("etaoin ", k=n))) for n in (40, 64, 65, 128, 250) * 20]
+    want = [lines._distance(a, b) <= int(0.2 * max(len(a), len(b)) + 1e-9) for a, b in pairs]
+    assert 200 < sum(want) < len(want) - 200
+    for size in (1, 40, len(pairs)):
+        got = [lines.edit_similar_all(*map(list, zip(*pairs[at : at + size], strict=True))) for at in range(0, len(pairs), size)]
+        assert np.concatenate(got).tolist() == want
+    assert lines.edit_similar_all([], []).tolist() == []
+
+
+def test_a_key_of_many_unlike_lines_is_not_crowded(spark, rng):
+    unlike = ["".join(rng.choices("etaoinshrdlu ", k=rng.randint(60, 200))) for _ in range(150)]
+    unlike += [unlike[0][:-1] + "q", unlike[5][:-3] + "etc"]
+    alike = [f"{'one line that many documents hold ' * 3}{i:03}" for i in range(120)]
+    known = [(key, 1000 * key + i, 5, len(t), *lines.packed_letters([t])[0].tolist()) for key, own in ((1, unlike), (2, alike)) for i, t in enumerate(own)]
+    keyed = spark.createDataFrame(known + known[:9], "key long, lh long, fp long, size int, low long, high long")
+    got = lines.line_pairs(keyed).collect()
+    assert {r.crowded for r in got} == {None, 2}
+    assert {r.a for r in got if r.crowded} == {2000 + i for i in range(120)}
+    pairs = {(r.a - 1000, r.b - 1000) for r in got if not r.crowded}
+    like = {(i, j) for i, j in itertools.combinations(range(len(unlike)), 2) if lines.edit_similar(unlike[i], unlike[j])}
+    assert like and like <= pairs and len(pairs) < 16 * len(unlike)
+
+
+def test_forest_connects_as_all_pairs(rng):
+    texts = ["".join(rng.choices("abcdefgh ", k=50)) for _ in range(25)]
+    for _ in range(150):
+        line = list(rng.choice(texts))
+        for _ in range(rng.randint(1, 8)):
+            line[rng.randrange(len(line))] = rng.choice("abcdefgh")
+        texts.append("".join(line))
+    search, asked = lines.forest(np.arange(len(texts)), texts), 0
+    try:
+        pairs = next(search)
+        while True:
+            asked += len(pairs[0])
+            pairs = search.send(lines.edit_similar_all(*pairs))
+    except StopIteration as done:
+        found = done.value
+    prints = lines.word_fingerprints(texts).tolist()
+    near = [(a, b) for a, b in itertools.combinations(range(len(texts)), 2) if ((prints[a] ^ prints[b]) & (1 << 64) - 1).bit_count() <= lines.RADIUS]
+    near = [(a, b) for a, b in near if lines.edit_similar(texts[a], texts[b])]
+    assert groups(range(len(texts)), found) == groups(range(len(texts)), near)
+    assert len(found) < len(near) and asked < len(texts) ** 2 / 2
+
+
+def test_keys_and_fingerprints_made_together(rng):
+    texts = ["".join(rng.choices("abcé 🙂", k=k)).strip() for k in (1, 3, 4, 9, 10, 31, 99, 200, 253, 254, 255, 510, 3000, 70_000) for _ in range(3)]
+    texts = [t or "a" for t in texts]
+    for text, got in zip(texts, lines.word_fingerprints(["", *texts])[1:].tolist(), strict=True):
+        bits = np.unpackbits(lines._grams([text], lines.GRAM)[0].astype("<u8").view(np.uint8), bitorder="little").reshape(-1, 64)
+        assert got == np.packbits(2 * bits.sum(axis=0) > len(bits), bitorder="little").view("<i8")[0]
+    alone = [set(lines.line_keys([t])[0]) for t in texts]
+    assert [set(k) for k in lines.line_keys(texts)] == alone
+    turns = [range(turn, lines.BANDS, lines.PASSES) for turn in range(lines.PASSES)]
+    found = [set() for _ in texts]
+    for row, key in lines.numbered_keys(texts, turns):
+        assert (np.diff(row) >= 0).all()
+        for i, k in zip(row.tolist(), key.tolist(), strict=True):
+            found[i].add(k)
+    assert found == alone
