@@ -342,7 +342,8 @@ def test_keys_and_fingerprints_made_together(rng):
         assert got == np.packbits(2 * bits.sum(axis=0) > len(bits), bitorder="little").view("<i8")[0]
     alone = [set(lines.line_keys([t])[0]) for t in texts]
     assert [set(k) for k in lines.line_keys(texts)] == alone
-    turns = [range(turn, lines.BANDS, lines.PASSES) for turn in range(lines.PASSES)]
+    turns = lines.passes()
+    assert sorted(band for turn in turns for band in turn) == list(range(lines.BANDS)) and len(turns) == lines.PASSES
     found = [set() for _ in texts]
     for row, key in lines.numbered_keys(texts, turns):
         assert (np.diff(row) >= 0).all()

@@ -264,6 +264,12 @@ KEYED = np.dtype([("key", "<i8"), ("lh", "<i8"), ("fp", "<i8"), ("low", "<i8"),
 BUNDLED = 1 << 19
 
 
+def passes() -> list[range]:
+    """The bands of each pass: the first has one, as the keys other than bands come with it, and the others share the rest."""
+    step = -(-(BANDS - 1) // (PASSES - 1))
+    return [range(1), *(range(at, min(at + step, BANDS)) for at in range(1, BANDS, step))]
+
+
 def occurrences(docs: DataFrame) -> DataFrame:
     """``(id, th, line, lh, about, keys0, many0, ...)``: a row for every line with a word of ``docs(id, th, text)``; lh names
     the normalised line.
@@ -272,7 +278,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     lines, their keys in each pass, and how many keys each has. So a text is normalised and its grams are hashed once, and
     what Spark handles are few rows.
     """
-    turns = [range(turn, BANDS, PASSES) for turn in range(PASSES)]
+    turns = passes()
     names = [f"{what}{turn}" for turn in range(PASSES) for what in ("keys", "many")]
     schema = T.StructType(
         [
@@ -598,6 +604,7 @@ def linked(found: DataFrame, texts: Callable[[DataFrame], DataFrame], similarity
     crowded = found.where("crowded is not null").select(F.col("crowded").alias("key"), F.col("a").alias("lh"))
     ends = pairs.select(F.col("a").alias("lh")).unionByName(pairs.select(F.col("b").alias("lh"))).unionByName(crowded.select("lh"))
     needed = stored(texts(ends.distinct()), "needed")
+    release(found.sparkSession)
     links = stored(similar(pairs, needed, similarity).unionByName(crowded_links(crowded, needed, similarity)), "similar")
     for done in (pairs, needed):
         forget(done)
